@@ -1,8 +1,8 @@
 """Dates in many spellings, as native column expressions.
 
 The shapes exclude each other, so "try the formats in turn" is: find the shape,
-read its three numbers, and for ``a/b/year`` take the preferred order of day and
-month if that date exists and the other order if not.
+rewrite the text as year-month-day, and cast once. For ``a/b/year`` the preferred
+order of day and month counts if that date exists, else the other order.
 """
 
 from __future__ import annotations
@@ -12,59 +12,51 @@ from pyspark.sql import Column, functions as F
 from ..constants import AMBIGUOUS_DATE_PATTERN
 from .strings import strip
 
-_MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 _MONTH = (
-    "(?:jan|january|feb|february|mar|march|apr|april|may|jun|june|jul|july|aug|august|"
+    "(jan|january|feb|february|mar|march|apr|april|may|jun|june|jul|july|aug|august|"
     "sep|september|oct|october|nov|november|dec|december)"
 )
-_SLASHED = r"^\d{1,2}([/-])\d{1,2}\1(\d{4}|\d{2})$"
-_ISO = r"^\d{4}([/-])\d{1,2}\1\d{1,2}$"
-_COMPACT = r"^\d{8}$"
-_MONTH_FIRST = rf"(?i)^{_MONTH}\s+\d{{1,2}}(,\s+|,|\s+)\d{{4}}$"
-_DAY_FIRST = rf"(?i)^\d{{1,2}}[\s-]+{_MONTH}[\s,-]+\d{{4}}$"
+_LAST_CENTURY = r"^(\d{1,2}([/-])\d{1,2}\2)(69|[7-9]\d)$"
+_THIS_CENTURY = r"^(\d{1,2}([/-])\d{1,2}\2)(\d{2})$"
+_SLASHED = r"^(\d{1,2})([/-])(\d{1,2})\2(\d{4})$"
+_ISO = r"^(\d{4})([/-])(\d{1,2})\2(\d{1,2})$"
+_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
+_MONTH_FIRST = rf"(?i)^{_MONTH}\s+(\d{{1,2}})(?:,\s*|\s+)(\d{{4}})$"
+_DAY_FIRST = rf"(?i)^(\d{{1,2}})[\s-]+{_MONTH}[\s,-]+(\d{{4}})$"
 _CLOCK = (
     r"^(.*?)[T\s,]+(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?\s*([AaPp][Mm])?\s*(Z|[+-]\d{2}:?\d{2})?$"
 )
 
 
-def _midnight(year: Column, month: Column, day: Column) -> Column:
-    zero = F.lit(0)
-    return F.try_make_timestamp(year, month, day, zero, zero, zero)
-
-
 def _int(text: Column) -> Column:
     return text.try_cast("int")
 
 
-def _year(text: Column) -> Column:
-    """Two digits: 69-99 lie in the last century, 00-68 in this one."""
-    y = _int(text)
-    return F.when(F.length(text) > 2, y).when(y >= 69, y + 1900).otherwise(y + 2000)
+def _named_day(text: Column, pattern: str, month: int, rest: str) -> Column:
+    """Year-month-day of a date with a month name; ``rest`` gives year and day as ``year-``, ``-day``."""
+    name = F.lower(F.substring(F.regexp_extract(text, pattern, month), 1, 3))
+    number = F.floor((F.instr(F.lit(_MONTHS), name) + 2) / 3).cast("string")
+    return F.replace(F.regexp_replace(text, pattern, rest), F.lit("m"), number)
 
 
 def parse_day(text: Column, day_first: bool = False) -> Column:
-    """The date-only spellings as midnight, or NULL."""
-    parts = F.split(text, "[/-]")
-    a, b, c = (F.get(parts, F.lit(i)) for i in range(3))
-    month_day = _midnight(_year(c), _int(a), _int(b))
-    day_month = _midnight(_year(c), _int(b), _int(a))
-    words = F.split(F.regexp_replace(text, r"[\s,-]+", " "), " ")
-    w0, w1, w2 = (F.get(words, F.lit(i)) for i in range(3))
-
-    def month_number(word: Column) -> Column:
-        names = F.array(*[F.lit(m) for m in _MONTHS])
-        return F.array_position(names, F.lower(F.substring(word, 1, 3))).cast("int")
-
-    return (
-        F.when(text.rlike(_SLASHED), F.coalesce(*((day_month, month_day) if day_first else (month_day, day_month))))
-        .when(text.rlike(_ISO), _midnight(_int(a), _int(b), _int(c)))
-        .when(text.rlike(_MONTH_FIRST), _midnight(_int(w2), month_number(w0), _int(w1)))
-        .when(text.rlike(_DAY_FIRST), _midnight(_int(w2), month_number(w1), _int(w0)))
-        .when(
-            text.rlike(_COMPACT),
-            _midnight(_int(F.substring(text, 1, 4)), _int(F.substring(text, 5, 2)), _int(F.substring(text, 7, 2))),
-        )
+    """The date-only spellings as midnight, or NULL. Two-digit years 69-99 lie in the last century."""
+    full = F.regexp_replace(F.regexp_replace(text, _LAST_CENTURY, "$119$3"), _THIS_CENTURY, "$120$3")
+    month_day, day_month = "$4-$1-$3", "$4-$3-$1"
+    preferred, other = (day_month, month_day) if day_first else (month_day, day_month)
+    slashed = F.coalesce(
+        F.regexp_replace(full, _SLASHED, preferred).try_cast("date"),
+        F.regexp_replace(full, _SLASHED, other).try_cast("date"),
+    )
+    spelled = (
+        F.when(text.rlike(_ISO), F.regexp_replace(text, _ISO, "$1-$3-$4"))
+        .when(text.rlike(_MONTH_FIRST), _named_day(text, _MONTH_FIRST, 1, "$3-m-$2"))
+        .when(text.rlike(_DAY_FIRST), _named_day(text, _DAY_FIRST, 2, "$3-m-$1"))
+        .when(text.rlike(_COMPACT), F.regexp_replace(text, _COMPACT, "$1-$2-$3"))
     )
+    day = F.when(text.rlike(r"^\d{1,2}[/-]\d{1,2}[/-]"), slashed).otherwise(spelled.try_cast("date"))
+    return day.cast("timestamp")
 
 
 def split_clock(text: Column) -> tuple[Column, Column]:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 from ..constants import MAX_PERCENT
 from .strings import strip
 
-_WHOLE_NUMBER_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_WHOLE_NUMBER_TEXT = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 
 
 def or_zero(c: Column) -> Column:
@@ -21,8 +21,7 @@ def finite(c: Column) -> Column:
 
 def number_from_text(text: Column) -> Column:
     """The whole text as a number, or NULL. Refuses Java suffixes such as ``1d``."""
-    t = strip(text)
-    return finite(F.when(t.rlike(_WHOLE_NUMBER_TEXT), t.try_cast("double")))
+    return finite(F.regexp_extract(strip(text), _WHOLE_NUMBER_TEXT, 0).try_cast("double"))
 
 
 def first_number(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import constants as K
 from ..config import Settings
-from ..functions.digest import parse_digest
+from ..functions.digest import with_digest_numbers
 from ..operators import maintenance, merge, rollups
 from ..operators.demographics import demographics_from_chunks
 from ..operators.posts import posts_from_chunks, posts_from_table
@@ -159,22 +159,18 @@ def ingest_large_csv(rows: DataFrame, tables: PageTables, settings: Settings, ba
 
 def digest_summaries(messages: DataFrame, settings: Settings) -> DataFrame:
     """One company summary per digest mail, whatever its body holds."""
-    return messages.select(
-        "*",
-        F.lit(settings.company_id).alias("company_id"),
-        F.lit(settings.company_name).alias("company_name"),
-        *[c.alias(n) for n, c in parse_digest(F.col("body")).items()],
-        settings.now.alias("date_collected"),
-    )
+    return with_digest_numbers(messages).withColumns({
+        "company_id": F.lit(settings.company_id),
+        "company_name": F.lit(settings.company_name),
+        "date_collected": settings.now,
+    })
 
 
 def ingest_digests(messages: DataFrame, tables: PageTables, settings: Settings, batch_id: str) -> int:
     """Digest mails into the company row (the last message wins) and the history (one row each)."""
     staged = tables.stage(
         batch_id, "summaries",
-        lambda: digest_summaries(messages.where(F.col("body").isNotNull()), settings).withColumn(
-            "arrival", F.struct("path")
-        ),
+        lambda: digest_summaries(messages, settings).withColumn("arrival", F.struct("path")),
     )
     tables.merge(
         "company_analytics", batch_id, staged,

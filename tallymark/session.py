@@ -14,6 +14,7 @@ def build_session(app: str = "tallymark", cpus: int | str = "*", **conf: str) ->
     builder = (
         SparkSession.builder.master(f"local[{cpus}]").appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")

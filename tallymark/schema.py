@@ -8,6 +8,9 @@ CELL = T.StructType([
     T.StructField("ts", T.TimestampType()),
 ])
 
+# The rows of Spark's binaryFile source, which a stream has to be told.
+FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
 # One row holds up to ``chunk_rows`` rows of one sheet, with what header detection needs.
 CHUNK = T.StructType([
     T.StructField("path", T.StringType()),

@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..schema import SNAPSHOT
 
 
-def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per snapshot, with its moment as a timestamp. A fixed schema saves the inference pass."""
+def read_snapshots(spark: SparkSession, folder: str, multiline: bool = True) -> DataFrame:
+    """One row per snapshot: one object per file, or one per line. The fixed schema saves an inference pass."""
     return (
-        spark.read.schema(SNAPSHOT).option("multiLine", True).json(folder)
+        spark.read.schema(SNAPSHOT).option("multiLine", multiline).json(folder)
         .withColumn("taken_at", F.try_to_timestamp("timestamp", F.lit("yyyyMMdd_HHmmss")))
     )
 

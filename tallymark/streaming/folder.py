@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Settings
 from ..plans.ingest import ingest_files
+from ..schema import FILE
 from ..sources.files import file_name, is_download
 from ..sources.tables import PageTables
 
@@ -26,6 +27,13 @@ def start_batches(
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
+def stream_files(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
+    """The files of a folder as a stream of ``binaryFile`` rows."""
+    return (
+        spark.readStream.format("binaryFile").schema(FILE).option("maxFilesPerTrigger", max_files).load(folder)
+    )
+
+
 def watch_folder(
     spark: SparkSession, folder: str, tables: PageTables, settings: Settings, checkpoint: str,
     every: str | None = None, max_files: int = 1000, clock: Callable[[], datetime] = utc_now,
@@ -35,10 +43,7 @@ def watch_folder(
     The checkpoint hands out each file once. A batch cut off half-way comes back
     under the same number and is finished from its staged rows.
     """
-    files = (
-        spark.readStream.format("binaryFile").option("maxFilesPerTrigger", max_files).load(folder)
-        .where(is_download(file_name()))
-    )
+    files = stream_files(spark, folder, max_files).where(is_download(file_name()))
 
     def ingest(batch: DataFrame, number: int) -> None:
         ingest_files(batch, tables, settings.at(clock()), f"stream-{number:08d}")

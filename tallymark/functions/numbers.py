@@ -7,7 +7,10 @@ from pyspark.sql import Column, functions as F
 from ..constants import MAX_PERCENT
 from .strings import strip
 
-_WHOLE_NUMBER_TEXT = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
+# Lengths are bounded so that no match can overflow a double.
+_WHOLE_NUMBER = r"^[+-]?(?:\d{1,200}\.?\d*|\.\d+)(?:[eE][+-]?\d{1,2})?$"
+_WHOLE_INTEGER = r"^[+-]?\d{1,18}$"
+_FIRST_NUMBER = r"(\d{1,300}(?:\.\d+)?)"
 
 
 def or_zero(c: Column) -> Column:
@@ -20,14 +23,19 @@ def finite(c: Column) -> Column:
 
 
 def number_from_text(text: Column) -> Column:
-    """The whole text as a number, or NULL. Refuses Java suffixes such as ``1d``."""
-    return finite(F.regexp_extract(strip(text), _WHOLE_NUMBER_TEXT, 0).try_cast("double"))
+    """The whole text as a number, or NULL.
+
+    The pattern refuses Java suffixes such as ``1d``, and keeps junk away from
+    the cast, where every failure would cost an exception.
+    """
+    t = strip(text)
+    return F.when(t.rlike(_WHOLE_NUMBER), t.try_cast("double"))
 
 
 def first_number(text: Column) -> Column:
     """The first run of digits in the text, thousands separators dropped; the sign is lost."""
-    bare = F.regexp_replace(text, "[%,]", "")
-    return finite(F.regexp_extract(bare, r"(\d+(?:\.\d+)?)", 1).try_cast("double"))
+    digits = F.regexp_extract(F.translate(text, "%,", ""), _FIRST_NUMBER, 1)
+    return F.when(digits != "", digits.try_cast("double"))
 
 
 def safe_int(text: Column) -> Column:
@@ -40,26 +48,26 @@ def safe_float(text: Column) -> Column:
 
 def stored_int(text: Column) -> Column:
     """A stored metric as an integer; unlike ``safe_int`` the sign stays."""
-    whole = strip(text).try_cast("bigint")
-    return F.coalesce(whole, digits_with_commas(text), F.lit(0).cast("bigint"))
+    t = strip(text)
+    return or_zero(F.when(t.rlike(_WHOLE_INTEGER), t.try_cast("bigint")).otherwise(digits_with_commas(t)))
 
 
 def digits_with_commas(text: Column) -> Column:
     """``1,234.9`` as 1234, or NULL when the text is no number."""
-    return number_from_text(F.regexp_replace(text, ",", "")).try_cast("bigint")
+    return number_from_text(F.translate(text, ",", "")).try_cast("bigint")
 
 
 def fraction_to_percent(value: Column) -> Column:
     """0.0036 means 0.36 %; 0.99 means 99 %, 1 means 1 %."""
-    return F.when((value > 0) & (value < 1), F.bround(value * 100.0, 6)).otherwise(F.bround(value, 6))
+    return F.bround(F.when((value > 0) & (value < 1), value * 100.0).otherwise(value), 6)
 
 
 def clean_rate(text: Column) -> Column:
     """A rate in percent: ``0.36%`` as it is, bare fractions times 100, junk and blanks 0."""
     t = strip(text)
-    value = number_from_text(F.regexp_replace(t, "[%,]", ""))
-    bare = number_from_text(F.regexp_replace(t, ",", ""))
-    return F.coalesce(F.when(t.endswith("%"), value).otherwise(fraction_to_percent(bare)), F.lit(0.0))
+    percent = t.endswith("%")
+    value = number_from_text(F.when(percent, F.translate(t, "%,", "")).otherwise(F.translate(t, ",", "")))
+    return F.coalesce(F.when(percent, value).otherwise(fraction_to_percent(value)), F.lit(0.0))
 
 
 def percent_of(part: Column, whole: Column, scale: int) -> Column:

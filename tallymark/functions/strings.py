@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import or_
 
@@ -26,10 +27,15 @@ def unless_blank(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def has_any(text: Column, words: list[str]) -> Column:
-    """True when the text contains one of the words, anywhere."""
+def has_any(name: Column, words: list[str]) -> Column:
+    """True when a name contains one of the words, anywhere. One pattern keeps the plan small."""
+    return name.rlike("|".join(re.escape(w) for w in words))
+
+
+def text_has_any(text: Column, words: list[str]) -> Column:
+    """The same for long texts, where a byte search per word is several times faster than a pattern."""
     return reduce(or_, [text.contains(w) for w in words])
 
 
-def ends_with_any(text: Column, suffixes: list[str]) -> Column:
-    return reduce(or_, [text.endswith(s) for s in suffixes])
+def ends_with_any(name: Column, suffixes: list[str]) -> Column:
+    return name.rlike("(?:" + "|".join(re.escape(s) for s in suffixes) + ")$")

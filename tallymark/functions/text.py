@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from .. import constants as K
-from .strings import has_any, text_or_blank, unless_blank
+from .strings import has_any, text_has_any, text_or_blank, unless_blank
 
 
 def urn_of(url: Column) -> Column:
@@ -31,15 +31,19 @@ def unique_id(*parts: Column) -> Column:
     return short_md5(F.concat_ws("|", *parts))
 
 
-def post_type(raw: Column, content: Column, url: Column, title: Column) -> Column:
-    """One of text, article, image, document, video. The order of the tests is the meaning."""
+def post_type(raw: Column, *texts: Column) -> Column:
+    """One of text, article, image, document, video. The order of the tests is the meaning.
+
+    ``texts`` are content, url and title; one that repeats another can be left out.
+    """
     word = F.lower(text_or_blank(raw))
     kind = F.when(word.isin(K.DISTRIBUTION_WORDS), "").otherwise(word)
-    text = F.lower(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in (content, url, title)]))
+    text = F.lower(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in texts]))
+    # The long text comes first: what the first test always reads, Spark computes only once.
     return (
-        F.when(kind.contains("video") | text.contains("video"), "video")
-        .when(has_any(kind, K.IMAGE_TYPE_WORDS) | has_any(text, K.IMAGE_TEXT_WORDS), "image")
-        .when(has_any(kind, K.DOCUMENT_TYPE_WORDS) | has_any(text, K.DOCUMENT_TEXT_WORDS), "document")
+        F.when(text.contains("video") | kind.contains("video"), "video")
+        .when(has_any(kind, K.IMAGE_TYPE_WORDS) | text_has_any(text, K.IMAGE_TEXT_WORDS), "image")
+        .when(has_any(kind, K.DOCUMENT_TYPE_WORDS) | text_has_any(text, K.DOCUMENT_TEXT_WORDS), "document")
         .when(has_any(kind, K.ARTICLE_TYPE_WORDS) | text.contains(K.ARTICLE_TEXT_WORD), "article")
         .when(has_any(kind, K.TEXT_TYPE_WORDS), "text")
         .when(text.contains("http"), "article")

@@ -103,7 +103,7 @@ def finish_posts(got: DataFrame, settings: Settings) -> DataFrame:
         ),
         F.when(F.col("file_ctr") > 0, F.col("file_ctr"))
         .otherwise(numbers.compute_ctr(clicks, impressions)).alias("ctr"),
-        text.post_type(F.col("raw_type"), title, url, title).alias("post_type"),
+        text.post_type(F.col("raw_type"), title, url).alias("post_type"),
         url.alias("post_url"),
         F.substring(title, 1, K.TITLE_LENGTH).alias("post_title"),
         text.hashtags(title).alias("hashtags"),

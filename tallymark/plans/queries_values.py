@@ -452,10 +452,13 @@ def text_chunks(documents: DataFrame) -> DataFrame:
             F.lit(None).cast("timestamp").alias("ts"),
         ).cast(CELL)
 
-    rows = F.transform(F.split("text", "\n"), lambda line: F.transform(F.split(line, " "), cell))
-    return documents.select("doc_id", "source", rows.alias("rows")).select(
-        "doc_id", "source", "rows", F.slice("rows", 1, 10).alias("head"),
-        F.size("rows").cast("bigint").alias("sheet_rows"),
+    def cells(lines: Column) -> Column:
+        return F.transform(lines, lambda line: F.transform(F.split(line, " "), cell))
+
+    lines = F.split("text", "\n")
+    return documents.select(
+        "doc_id", cells(lines).alias("rows"), cells(F.slice(lines, 1, 10)).alias("head"),
+        F.size(lines).cast("bigint").alias("sheet_rows"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
 from .strings import has_any, text_has_any, text_or_blank, unless_blank
@@ -31,17 +31,21 @@ def unique_id(*parts: Column) -> Column:
     return short_md5(F.concat_ws("|", *parts))
 
 
-def post_type(raw: Column, *texts: Column) -> Column:
-    """One of text, article, image, document, video. The order of the tests is the meaning.
+def with_post_type(df: DataFrame, raw: Column, *texts: Column, name: str = "post_type") -> DataFrame:
+    """Adds one of text, article, image, document, video. The order of the tests is the meaning.
 
-    ``texts`` are content, url and title; one that repeats another can be left out.
+    ``texts`` are content, url and title; one that repeats another can be left
+    out. Lower case is made in a projection of its own: Spark would otherwise
+    make it again for every word.
     """
     word = F.lower(text_or_blank(raw))
-    kind = F.when(word.isin(K.DISTRIBUTION_WORDS), "").otherwise(word)
-    text = F.lower(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in texts]))
-    # The long text comes first: what the first test always reads, Spark computes only once.
-    return (
-        F.when(text.contains("video") | kind.contains("video"), "video")
+    kind, text = F.col("_kind"), F.col("_text")
+    prepared = df.withColumns({
+        "_kind": F.when(word.isin(K.DISTRIBUTION_WORDS), "").otherwise(word),
+        "_text": F.lower(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in texts])),
+    })
+    found = (
+        F.when(kind.contains("video") | text.contains("video"), "video")
         .when(has_any(kind, K.IMAGE_TYPE_WORDS) | text_has_any(text, K.IMAGE_TEXT_WORDS), "image")
         .when(has_any(kind, K.DOCUMENT_TYPE_WORDS) | text_has_any(text, K.DOCUMENT_TEXT_WORDS), "document")
         .when(has_any(kind, K.ARTICLE_TYPE_WORDS) | text.contains(K.ARTICLE_TEXT_WORD), "article")
@@ -49,6 +53,7 @@ def post_type(raw: Column, *texts: Column) -> Column:
         .when(text.contains("http"), "article")
         .otherwise("text")
     )
+    return prepared.withColumn(name, found).drop("_kind", "_text")
 
 
 def _tagged(text: Column, sign: str, pattern: str) -> Column:

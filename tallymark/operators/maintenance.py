@@ -12,15 +12,17 @@ def cutoff(settings: Settings, days: int = K.RETENTION_DAYS) -> Column:
     return settings.now - F.make_dt_interval(F.lit(days))
 
 
+def expired(settings: Settings, days: int = K.RETENTION_DAYS, company_id: str | None = None) -> Column:
+    """Collected before the cutoff; never NULL."""
+    old = F.coalesce(F.col("date_collected") < cutoff(settings, days), F.lit(False))
+    return old if company_id is None else old & (F.col("company_id") == company_id)
+
+
 def retained(
     table: DataFrame, settings: Settings, days: int = K.RETENTION_DAYS, company_id: str | None = None
 ) -> DataFrame:
     """The rows that stay. Rows without a date are not old, so they stay."""
-    collected = F.col("date_collected")
-    keep = collected.isNull() | (collected >= cutoff(settings, days))
-    if company_id is not None:
-        keep |= F.col("company_id") != company_id
-    return table.where(keep)
+    return table.where(~expired(settings, days, company_id))
 
 
 def expired_files(files: DataFrame, settings: Settings, days: int = K.RETENTION_DAYS) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import constants as K
 from ..config import Settings
 from ..functions.numbers import or_zero, recomputed_rates
-from ..functions.text import post_type
+from ..functions.text import with_post_type
 
 _DB_COLUMNS = ["date_collected", "created_at", "updated_at"]
 _RATES = ["ctr", "engagement_rate"]
@@ -139,14 +139,18 @@ def history_rows(posts: DataFrame, settings: Settings, observed: Column | None =
     return last_per_key(rows, K.HISTORY_KEY).drop("arrival")
 
 
+def needs_type(company_id: str | None = None) -> Column:
+    """Stored under a distribution word or blank, of all companies or one."""
+    affected = F.lower(F.coalesce("post_type", F.lit(""))).isin(K.RECLASSIFIED_TYPES)
+    return affected if company_id is None else affected & (F.col("company_id") == company_id)
+
+
 def reclassify(posts: DataFrame, settings: Settings, company_id: str | None = None) -> DataFrame:
     """Stored rows whose type is a distribution word or blank get a real type."""
-    stored = F.lower(F.coalesce("post_type", F.lit("")))
-    affected = stored.isin(K.RECLASSIFIED_TYPES)
-    if company_id is not None:
-        affected &= F.col("company_id") == company_id
-    renamed = post_type(stored, F.col("post_content"), F.col("post_url"), F.col("post_title"))
-    changed = {"post_type": F.when(affected, renamed).otherwise(F.col("post_type"))}
+    affected = needs_type(company_id)
+    changed = {"post_type": F.when(affected, F.col("_new_type")).otherwise(F.col("post_type"))}
     if "updated_at" in posts.columns:
         changed["updated_at"] = F.when(affected, settings.now).otherwise(F.col("updated_at"))
-    return posts.withColumns(changed)
+    texts = [F.col(c) for c in ("post_content", "post_url", "post_title")]
+    typed = with_post_type(posts, F.col("post_type"), *texts, name="_new_type")
+    return typed.withColumns(changed).drop("_new_type")

@@ -90,6 +90,7 @@ def finish_posts(got: DataFrame, settings: Settings) -> DataFrame:
     title, url = F.col("title"), F.col("url")
     clicks, impressions = F.col("clicks"), F.col("impressions")
     df = got.withColumn("impressions", F.when(F.col("shown") == 0, F.col("views")).otherwise(F.col("shown")))
+    df = text.with_post_type(df, F.col("raw_type"), title, url)
     computed = numbers.engagement(F.col("likes"), F.col("comments"), F.col("shares"), clicks, impressions)
     return df.select(
         text.make_post_id(text.urn_of(url), url, title, F.col("post_date")).alias("post_id"),
@@ -103,7 +104,7 @@ def finish_posts(got: DataFrame, settings: Settings) -> DataFrame:
         ),
         F.when(F.col("file_ctr") > 0, F.col("file_ctr"))
         .otherwise(numbers.compute_ctr(clicks, impressions)).alias("ctr"),
-        text.post_type(F.col("raw_type"), title, url).alias("post_type"),
+        "post_type",
         url.alias("post_url"),
         F.substring(title, 1, K.TITLE_LENGTH).alias("post_title"),
         text.hashtags(title).alias("hashtags"),

@@ -12,9 +12,8 @@ from ..functions.digest import with_digest_numbers
 from ..operators import maintenance, merge, rollups
 from ..operators.demographics import demographics_from_chunks
 from ..operators.posts import posts_from_chunks, posts_from_table
-from ..schema import TABLES
-from ..sources.files import MAX_DECODED_BYTES, decode_chunks, file_name, file_route, is_export_name, large_files
-from ..sources.tables import PageTables
+from ..sources.files import MAX_DECODED_BYTES, decode_chunks, file_name, file_route, is_export_name, large_files, list_files
+from ..sources.tables import PageTables, table_schema
 
 
 @dataclass(frozen=True)
@@ -26,9 +25,9 @@ class Ingested:
 
 def _with_all_columns(df: DataFrame, table: str) -> DataFrame:
     """The columns of the target table, absent ones as NULL, plus ``arrival``."""
-    empty = df.sparkSession.createDataFrame([], TABLES[table])
-    absent = {f.name: F.lit(None).cast(f.dataType) for f in empty.schema if f.name not in df.columns}
-    return df.withColumns(absent).select(*empty.columns, "arrival", "source_file")
+    schema = table_schema(table)
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in df.columns}
+    return df.withColumns(absent).select(*schema.names, "arrival", "source_file")
 
 
 def store_posts(tables: PageTables, batch_id: str, posts: DataFrame, settings: Settings) -> DataFrame:
@@ -62,8 +61,11 @@ def store_posts(tables: PageTables, batch_id: str, posts: DataFrame, settings: S
 
 
 def _followers(tables: PageTables, settings: Settings) -> DataFrame:
+    """One row: the follower count of the company."""
+    mine = F.col("company_id") == settings.company_id
     return rollups.current_followers(
-        tables.read("follower_analytics"), tables.read("company_analytics"), settings.unknown_followers
+        tables.read("follower_analytics").where(mine), tables.read("company_analytics").where(mine),
+        settings.unknown_followers,
     )
 
 
@@ -145,10 +147,13 @@ def ingest_folder(
     too_large = [r.path for r in large_files(spark, folder, settings.manual, max_bytes).select("path").take(5)]
     if too_large:
         raise ValueError(f"ingest these with ingest_large_csv and move them out of the folder: {too_large}")
-    files = spark.read.format("binaryFile").load(folder)
-    known = tables.read("file_ledger").select("path", F.col("mtime").alias("modificationTime"))
-    fresh = files.join(known, ["path", "modificationTime"], "left_anti")
-    return ingest_files(fresh, tables, settings, batch_id)
+    listed = list_files(spark, folder).where(is_export_name(F.col("file_name"), settings.manual))
+    # The comparison with the ledger moves names only, never contents. Spark's own
+    # listing of the folder holds the same paths on the driver.
+    fresh = [r.path for r in maintenance.unprocessed(listed, tables.read("file_ledger")).select("path").collect()]
+    if not fresh:
+        return Ingested(0, 0, 0)
+    return ingest_files(spark.read.format("binaryFile").load(fresh), tables, settings, batch_id)
 
 
 def ingest_large_csv(rows: DataFrame, tables: PageTables, settings: Settings, batch_id: str) -> int:
@@ -183,12 +188,17 @@ def ingest_digests(messages: DataFrame, tables: PageTables, settings: Settings,
 
 
 def clean_up(tables: PageTables, settings: Settings, batch_id: str, days: int = K.RETENTION_DAYS) -> None:
-    """Drop posts and follower rows collected before the retention time."""
+    """Drop posts and follower rows collected before the retention time; untouched partitions stay as they are."""
     for name in ("post_analytics", "follower_analytics"):
-        tables.rewrite(name, batch_id, lambda stored: maintenance.retained(stored, settings, days))
+        tables.rewrite(
+            name, batch_id, maintenance.expired(settings, days),
+            lambda stored: maintenance.retained(stored, settings, days),
+        )
 
 
 def reclassify_posts(tables: PageTables, settings: Settings, batch_id: str) -> None:
+    """Give posts stored under a distribution word a real type."""
     tables.rewrite(
-        "post_analytics", batch_id, lambda stored: merge.reclassify(stored, settings, settings.company_id)
+        "post_analytics", batch_id, merge.needs_type(settings.company_id),
+        lambda stored: merge.reclassify(stored, settings, settings.company_id),
     )

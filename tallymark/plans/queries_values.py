@@ -291,9 +291,8 @@ def _typed_parts(part: DataFrame) -> DataFrame:
 )
 def post_types(spark: SparkSession, folder: str) -> DataFrame:
     name = F.col("p_name")
-    return _typed_parts(table(spark, folder, "part")).select(
-        "p_partkey", text.post_type(F.col("raw_type"), name, F.col("url"), name).alias("post_type")
-    )
+    parts = _typed_parts(table(spark, folder, "part"))
+    return text.with_post_type(parts, F.col("raw_type"), name, F.col("url"), name).select("p_partkey", "post_type")
 
 
 @query(

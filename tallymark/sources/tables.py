@@ -10,95 +10,135 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import constants as K
 from ..config import Settings
 from ..schema import TABLES
 
+Change = Callable[[DataFrame, DataFrame], DataFrame]
+
 # Keyed tables are cut by something the key determines, so a merge reads and
 # writes only the partitions that hold incoming keys.
 _PARTITION = {
-    "post_analytics": "key_bucket",
-    "company_analytics": "key_bucket",
-    "post_metrics_history": "observed_date",
-    "follower_analytics": "collected_day",
+    "post_analytics": ("key_bucket", "int"),
+    "company_analytics": ("key_bucket", "int"),
+    "post_metrics_history": ("observed_date", "date"),
+    "follower_analytics": ("collected_day", "date"),
 }
 
 
+def table_schema(name: str) -> T.StructType:
+    return T.StructType.fromDDL(TABLES[name])
+
+
 class PageTables:
+    """Tables below one folder.
+
+    ``key_buckets`` is fixed when the folder is first used. Choose it so that a
+    bucket of posts has a few gigabytes; only buckets with incoming ids are rewritten.
+    """
+
     def __init__(self, spark: SparkSession, root: str, settings: Settings):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), settings.key_buckets
+        self.spark, self.root = spark, root.rstrip("/")
+        layout = f"{self.root}/_layout"
+        if not self._exists(f"{layout}/_SUCCESS"):
+            spark.range(1).select(F.lit(settings.key_buckets).alias("key_buckets")).write.mode("overwrite").parquet(layout)
+        self.buckets = spark.read.parquet(layout).first()["key_buckets"]
         for name in TABLES:
-            empty = self._partitioned(name, spark.createDataFrame([], TABLES[name]))
-            writer = empty.write.mode("ignore")
-            (writer.partitionBy(_PARTITION[name]) if name in _PARTITION else writer).parquet(self.path(name))
+            if not self._exists(self.path(name)):
+                empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in table_schema(name)])
+                writer = self._partitioned(name, empty).write.mode("ignore")
+                (writer.partitionBy(_PARTITION[name][0]) if name in _PARTITION else writer).parquet(self.path(name))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _partition_value(self, name: str) -> Column:
-        if name == "follower_analytics":
-            return F.to_date("date_collected")
-        key = {"post_analytics": K.POST_KEY, "company_analytics": K.COMPANY_KEY}[name]
-        return F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int")
+    # --- folders --------------------------------------------------------------------
+    def _file_system(self, path: str):
+        context = self.spark.sparkContext
+        hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop_path, hadoop_path.getFileSystem(context._jsc.hadoopConfiguration())
 
+    def _exists(self, path: str) -> bool:
+        hadoop_path, system = self._file_system(path)
+        return system.exists(hadoop_path)
+
+    # --- reading --------------------------------------------------------------------
     def _partitioned(self, name: str, df: DataFrame) -> DataFrame:
-        by = _PARTITION.get(name)
-        return df if by is None or by in df.columns else df.withColumn(by, self._partition_value(name))
+        """With the partition column, which the key determines."""
+        by = _PARTITION.get(name, (None,))[0]
+        if by is None or by in df.columns:
+            return df
+        if by == "collected_day":
+            return df.withColumn(by, F.to_date("date_collected"))
+        key = K.POST_KEY if name == "post_analytics" else K.COMPANY_KEY
+        return df.withColumn(by, F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int"))
 
     def _stored(self, name: str) -> DataFrame:
-        schema = self._partitioned(name, self.spark.createDataFrame([], TABLES[name])).schema
+        schema = table_schema(name)
+        by = _PARTITION.get(name)
+        if by is not None and by[0] not in schema.names:
+            schema = schema.add(by[0], by[1])
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def read(self, name: str) -> DataFrame:
         """The table as last published; select, filter, order and limit as on any DataFrame."""
-        columns = self.spark.createDataFrame([], TABLES[name]).columns
-        return self._stored(name).select(*columns)
+        return self._stored(name).select(*table_schema(name).names)
 
-    # --- staging -------------------------------------------------------------------
-    def _done(self, path: str) -> bool:
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-        return hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    def _part(self, name: str, partitions: list) -> DataFrame:
+        by = _PARTITION[name][0]
+        return self._stored(name).where(F.col(by).isin(partitions)).select(*table_schema(name).names)
 
+    def _partitions(self, name: str, rows: DataFrame) -> list:
+        """The partitions of some rows: at most one value per bucket or day, however many rows."""
+        by = _PARTITION[name][0]
+        return [r[0] for r in self._partitioned(name, rows).select(by).distinct().collect()]
+
+    # --- staging -------------------------------------------------------------------
     def stage(self, batch_id: str, label: str, rows: Callable[[], DataFrame]) -> DataFrame:
         """The rows of a batch, written once; a repeated batch gets what it wrote the first time."""
         path = f"{self.root}/_staging/{batch_id}/{label}"
-        if not self._done(path):
+        if not self._exists(f"{path}/_SUCCESS"):
             rows().write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
     # --- changes -------------------------------------------------------------------
-    def merge(
-        self, name: str, batch_id: str, incoming: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame]
-    ) -> None:
+    def merge(self, name: str, batch_id: str, incoming: DataFrame, change: Change) -> None:
         """Replace the touched partitions by ``change(stored rows of them, incoming)``."""
-        by = _PARTITION[name]
 
         def changed() -> DataFrame:
-            arriving = self._partitioned(name, incoming)
-            # At most one value per bucket or day, whatever the size of the batch.
-            touched = [r[0] for r in arriving.select(by).distinct().collect()]
-            stored = self._stored(name).where(F.col(by).isin(touched)).select(*self.read(name).columns)
+            stored = self._part(name, self._partitions(name, incoming))
             return self._partitioned(name, change(stored, incoming))
 
-        staged = self.stage(batch_id, name, changed)
-        self._publish(name, staged, "dynamic")
+        self._publish(name, self.stage(batch_id, name, changed))
 
-    def rewrite(self, name: str, batch_id: str, change: Callable[[DataFrame], DataFrame]) -> None:
-        """Replace the whole table, for changes that touch every partition or empty some."""
-        staged = self.stage(batch_id, name, lambda: self._partitioned(name, change(self.read(name))))
-        self._publish(name, staged, "static")
+    def rewrite(
+        self, name: str, batch_id: str, affected: Column, change: Callable[[DataFrame], DataFrame]
+    ) -> None:
+        """Replace the partitions that hold affected rows; those left without rows are removed."""
+        touched = self._partitions(name, self._stored(name).where(affected))
+
+        def changed() -> DataFrame:
+            return self._partitioned(name, change(self._part(name, touched)))
 
-    def _publish(self, name: str, staged: DataFrame, mode: str) -> None:
-        by = _PARTITION[name]
+        staged = self.stage(batch_id, name, changed)
+        left = set(self._partitions(name, staged))
+        self._publish(name, staged)
+        for value in touched:
+            if value not in left:
+                path, system = self._file_system(f"{self.path(name)}/{_PARTITION[name][0]}={value}")
+                system.delete(path, True)
+
+    def _publish(self, name: str, staged: DataFrame) -> None:
+        by = _PARTITION[name][0]
         # Rebalancing groups the rows of a partition and splits those that are large.
         (
-            staged.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", mode)
+            staged.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(by).parquet(self.path(name))
         )
 
     def append(self, name: str, batch_id: str, rows: DataFrame) -> None:
         """Append the rows of a batch, unless an earlier attempt already did."""
         if self.read(name).where(F.col("batch_id") == batch_id).isEmpty():
-            rows.select(*self.read(name).columns).write.mode("append").parquet(self.path(name))
+            rows.select(*table_schema(name).names).write.mode("append").parquet(self.path(name))

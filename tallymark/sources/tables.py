@@ -21,10 +21,10 @@ Change = Callable[[DataFrame, DataFrame], DataFrame]
 # Keyed tables are cut by something the key determines, so a merge reads and
 # writes only the partitions that hold incoming keys.
 _PARTITION = {
-    "post_analytics": ("key_bucket", "int"),
-    "company_analytics": ("key_bucket", "int"),
-    "post_metrics_history": ("observed_date", "date"),
-    "follower_analytics": ("collected_day", "date"),
+    "post_analytics": ("key_bucket", T.IntegerType()),
+    "company_analytics": ("key_bucket", T.IntegerType()),
+    "post_metrics_history": ("observed_date", T.DateType()),
+    "follower_analytics": ("collected_day", T.DateType()),
 }
 
 

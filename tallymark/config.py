@@ -18,7 +18,7 @@ class Settings:
     day_first: bool = False
     missing_date: str = "null"  # or "now"
     tz_offset_hours: float = 0
-    header: str = "auto"  # "first", "score", "indicators" or "named"
+    header: str = "auto"  # "first", "score", "indicators", "named" or "two_names"
     drop_empty_columns: bool = False
     drop_notes: bool = False
     demographic_as_rate: bool = False
@@ -29,7 +29,7 @@ class Settings:
             "policy": ("max", "new"),
             "profile": ("export", "manual"),
             "missing_date": ("null", "now"),
-            "header": ("auto", "first", "score", "indicators", "named"),
+            "header": ("auto", "first", "score", "indicators", "named", "two_names"),
         }.items():
             if getattr(self, name) not in allowed:
                 raise ValueError(f"{name} must be one of {allowed}, not {getattr(self, name)!r}")

@@ -63,6 +63,13 @@ def by_named_columns(head: Column, sheet_rows: Column, probes: int = 6) -> Colum
     return F.coalesce(_first_row(F.slice(head, 1, probes), named), by_indicators(head))
 
 
+def by_two_names(head: Column, sheet_rows: Column) -> Column:
+    """The first of three rows with two names and data below, else row 0."""
+    return F.coalesce(
+        _first_row(F.slice(head, 1, 3), lambda r, i: (filled_count(r) >= 2) & (i + 1 < sheet_rows)), F.lit(0)
+    )
+
+
 def header_position(head: Column, sheet_rows: Column, rule: str = "auto") -> Column:
     """0-based row of the header. ``auto``: row 0 when it has two names, else the best score."""
     if rule == "first":
@@ -73,6 +80,8 @@ def header_position(head: Column, sheet_rows: Column, rule: str = "auto") -> Col
         return by_indicators(head)
     if rule == "named":
         return by_named_columns(head, sheet_rows)
+    if rule == "two_names":
+        return by_two_names(head, sheet_rows)
     return F.when(filled_count(F.get(head, F.lit(0))) >= 2, F.lit(0)).otherwise(by_score(head))
 
 

@@ -31,6 +31,7 @@ def test_rules(spark):
     assert positions(spark, "score", PLAIN, TITLED, DEEP) == [0, 2, 3]
     assert positions(spark, "indicators", PLAIN, TITLED, DEEP) == [0, 2, 3]
     assert positions(spark, "named", PLAIN, TITLED, DEEP) == [0, 0, 0]
+    assert positions(spark, "two_names", PLAIN, TITLED, DEEP) == [0, 2, 0]
 
 
 def test_first_best_score_wins(spark):

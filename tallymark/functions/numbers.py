@@ -39,6 +39,7 @@ def first_number(text: Column) -> Column:
 
 
 def safe_int(text: Column) -> Column:
+    """The first number, cut to an integer; 0 without one."""
     return or_zero(first_number(text).try_cast("bigint"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
-from .strings import has_any, text_has_any, text_or_blank, unless_blank
+from .strings import text_has_any, text_or_blank, unless_blank
 
 
 def urn_of(url: Column) -> Column:
@@ -46,10 +46,10 @@ def with_post_type(df: DataFrame, raw: Column, *texts: Column, name: str = "post
     })
     found = (
         F.when(kind.contains("video") | text.contains("video"), "video")
-        .when(has_any(kind, K.IMAGE_TYPE_WORDS) | text_has_any(text, K.IMAGE_TEXT_WORDS), "image")
-        .when(has_any(kind, K.DOCUMENT_TYPE_WORDS) | text_has_any(text, K.DOCUMENT_TEXT_WORDS), "document")
-        .when(has_any(kind, K.ARTICLE_TYPE_WORDS) | text.contains(K.ARTICLE_TEXT_WORD), "article")
-        .when(has_any(kind, K.TEXT_TYPE_WORDS), "text")
+        .when(text_has_any(kind, K.IMAGE_TYPE_WORDS) | text_has_any(text, K.IMAGE_TEXT_WORDS), "image")
+        .when(text_has_any(kind, K.DOCUMENT_TYPE_WORDS) | text_has_any(text, K.DOCUMENT_TEXT_WORDS), "document")
+        .when(text_has_any(kind, K.ARTICLE_TYPE_WORDS) | text.contains(K.ARTICLE_TEXT_WORD), "article")
+        .when(text_has_any(kind, K.TEXT_TYPE_WORDS), "text")
         .when(text.contains("http"), "article")
         .otherwise("text")
     )

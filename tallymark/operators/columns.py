@@ -131,7 +131,7 @@ def is_blank_row(cells: Column) -> Column:
 
 def is_number_cell(cell: Column) -> Column:
     """A typed number, or text of digits, points and commas only."""
-    return F.coalesce(cell["num"].isNotNull() | F.regexp_replace(cell["s"], "[.,]", "").rlike(r"^\d+$"), F.lit(False))
+    return F.coalesce(cell["num"].isNotNull() | cell["s"].rlike(r"^[.,]*\d[\d.,]*$"), F.lit(False))
 
 
 def is_data_row(cells: Column) -> Column:

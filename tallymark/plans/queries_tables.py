@@ -267,7 +267,8 @@ def current_followers(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""SELECT CAST(c_nationkey AS VARCHAR) AS company_id, arg_max(followers_count, c_custkey) AS followers_count,
-      arg_max(impressions, c_custkey) AS impressions, 0 AS clicks, 0 AS total_posts FROM ({DIGEST_SQL}) GROUP BY c_nationkey"""
+      arg_max(impressions, c_custkey) AS impressions, CAST(0 AS BIGINT) AS clicks,
+      CAST(0 AS BIGINT) AS total_posts FROM ({DIGEST_SQL}) GROUP BY c_nationkey"""
 )
 def digest_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Digest mails into the company table; the last mail of a company stays."""
@@ -400,7 +401,7 @@ def duplicate_history(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_update,
-      date_diff('day', CAST(max(ts) AS DATE), DATE '2024-02-01') AS age_days FROM events"""
+      CAST(date_diff('day', CAST(max(ts) AS DATE), DATE '2024-02-01') AS INT) AS age_days FROM events"""
 )
 def freshness(spark: SparkSession, folder: str) -> DataFrame:
     found = reports.freshness(table(spark, folder, "events").select(F.col("ts").alias("date_collected")), NOW)

@@ -367,7 +367,7 @@ DIGEST_SQL = f"""SELECT c_custkey, c_nationkey,
       '[\\s\\pZ]+', ' ', 'g')) AS t FROM customer)"""
 
 
-@query(f"SELECT c_custkey, followers_count, impressions, impressions AS reach, 0 AS clicks FROM ({DIGEST_SQL})")
+@query(f"SELECT c_custkey, followers_count, impressions, impressions AS reach, CAST(0 AS BIGINT) AS clicks FROM ({DIGEST_SQL})")
 def digest_numbers(spark: SparkSession, folder: str) -> DataFrame:
     messages = table(spark, folder, "customer").select("c_custkey", _digest_body(F.col("c_custkey")).alias("body"))
     return with_digest_numbers(messages).select("c_custkey", "followers_count", "impressions", "reach", "clicks")
@@ -477,9 +477,10 @@ _HITS = " + ".join(f"len(list_filter(tokens, lambda c: contains(c, '{w}')))" for
     f"""WITH l AS ({_LINES}), s AS (SELECT doc_id, row_idx,
         len(tokens) + len(list_filter(tokens, lambda c: regexp_matches(c, '{_HINTS}'))) AS score, {_HITS} AS hits,
         len(tokens) AS filled FROM l)
-    SELECT doc_id, arg_min(row_idx, (-score, row_idx)) AS by_score,
-      coalesce(min(row_idx) FILTER (WHERE hits >= 2), 0) AS by_indicators,
-      CASE WHEN max(filled) FILTER (WHERE row_idx = 0) >= 2 THEN 0 ELSE arg_min(row_idx, (-score, row_idx)) END AS auto
+    SELECT doc_id, CAST(arg_min(row_idx, (-score, row_idx)) AS INT) AS by_score,
+      CAST(coalesce(min(row_idx) FILTER (WHERE hits >= 2), 0) AS INT) AS by_indicators,
+      CAST(CASE WHEN max(filled) FILTER (WHERE row_idx = 0) >= 2 THEN 0
+        ELSE arg_min(row_idx, (-score, row_idx)) END AS INT) AS auto
     FROM s GROUP BY doc_id"""
 )
 def header_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -510,7 +511,7 @@ def _find_sql(names: str, word_match: bool) -> str:
     f"""WITH t AS (SELECT doc_id, names, list_transform(names, lambda n: lower(n)) AS keys FROM ({_TOKENS}))
     SELECT doc_id, array_to_string(names, '|') AS header, {_find_sql('keys', False)} AS found,
       {_find_sql('keys', True)} AS found_by_word,
-      len(list_filter(names, lambda n, i: list_position(names, n) = i)) AS distinct_names
+      CAST(len(list_filter(names, lambda n, i: list_position(names, n) = i)) AS INT) AS distinct_names
     FROM t"""
 )
 def alias_positions(spark: SparkSession, folder: str) -> DataFrame:
@@ -531,7 +532,7 @@ def alias_positions(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH l AS (SELECT doc_id, i AS row_idx, list_transform(string_split(lines[i + 1], ' '), lambda c: nullif(c, '')) AS cells
       FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents), unnest(range(len(lines))) AS r(i)),
     f AS (SELECT *, list_filter(cells, lambda c: c IS NOT NULL AND {q.strip('c')} <> '') AS filled FROM l)
-    SELECT doc_id, row_idx,
+    SELECT doc_id, CAST(row_idx AS INT) AS row_idx,
       array_to_string(list_transform(list_resize(cells, 5), lambda c: coalesce(c, '~')), '|') AS padded,
       coalesce(len(list_filter(filled, lambda c: regexp_matches(regexp_replace(c, '[.,]', '', 'g'), '^\\d+$'))) > 0, false)
         OR (len(filled) > 0 AND coalesce(list_sum(list_transform(filled, lambda c: length(c))), 0) < 100 * len(filled))

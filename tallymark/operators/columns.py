@@ -136,9 +136,17 @@ def is_number_cell(cell: Column) -> Column:
 
 def is_data_row(cells: Column) -> Column:
     """Rows with a number, or with short texts; long prose without numbers is a note."""
-    filled = F.filter(cells, lambda c: ~is_blank_cell(c))
-    letters = F.aggregate(filled, F.lit(0), lambda total, c: total + F.length(c["s"]))
-    return F.exists(filled, is_number_cell) | ((F.size(filled) > 0) & (letters < 100 * F.size(filled)))
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("letters"), F.lit(False).alias("number"))
+
+    def add(seen: Column, c: Column) -> Column:
+        counted = F.struct(
+            (seen["n"] + 1).alias("n"),
+            (seen["letters"] + F.length(c["s"])).alias("letters"),
+            (seen["number"] | is_number_cell(c)).alias("number"),
+        )
+        return F.when(is_blank_cell(c), seen).otherwise(counted)
+
+    return F.aggregate(cells, start, add, lambda seen: seen["number"] | (seen["letters"] < 100 * seen["n"]))
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:

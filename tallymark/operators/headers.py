@@ -20,8 +20,9 @@ def _tokens(row: Column) -> Column:
 
 def hint_score(row: Column) -> Column:
     """Filled cells plus filled cells that contain a header hint."""
-    tokens = _tokens(row)
-    return F.size(tokens) + F.size(F.filter(tokens, lambda t: has_any(t, K.HEADER_HINTS)))
+    return F.aggregate(
+        _tokens(row), F.lit(0), lambda total, t: total + F.when(has_any(t, K.HEADER_HINTS), 2).otherwise(1)
+    )
 
 
 def indicator_count(row: Column) -> Column:
@@ -43,9 +44,9 @@ def _first_row(head: Column, test) -> Column:
 
 
 def by_score(head: Column) -> Column:
-    """The first row with the highest hint score."""
-    scores = F.transform(head, hint_score)
-    return F.array_position(scores, F.array_max(scores)).cast("int") - 1
+    """The first row with the highest hint score; each row is scored once."""
+    ranked = F.transform(head, lambda row, i: F.struct(hint_score(row).alias("score"), (-i).alias("back")))
+    return -F.array_max(ranked)["back"]
 
 
 def by_indicators(head: Column) -> Column:

@@ -32,6 +32,8 @@ def _with_all_columns(df: DataFrame, table: str) -> DataFrame:
 
 def store_posts(tables: PageTables, batch_id: str, posts: DataFrame, settings: Settings) -> DataFrame:
     """Merge the posts, snapshot the day, roll up. ``posts`` must be staged. Returns what was taken."""
+    if posts.isEmpty():
+        return posts
     if settings.manual:
         fresh = tables.stage(
             batch_id,
@@ -87,6 +89,8 @@ def _store_summaries(tables: PageTables, batch_id: str, posts: DataFrame, settin
 
 def store_demographics(tables: PageTables, batch_id: str, records: DataFrame, settings: Settings) -> DataFrame:
     """Merge staged follower records. Returns what was taken."""
+    if records.isEmpty():
+        return records
     if settings.manual:
         fresh = tables.stage(
             batch_id, "new_demographics",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,22 +26,19 @@ def build_session(app: str = "tallymark", cpus: int | str = "*", **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, named by ``spark.checkpoint.dir``.
-
-    Only a local session, where driver and executors are one process, may fall
-    back to a temporary folder of the machine.
-    """
+    """The folder all executors reach: ``spark.checkpoint.dir``, else below the session's warehouse."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return os.path.join(tempfile.gettempdir(), "tallymark")
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tallymark-scratch"
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder below the shared one; nothing else writes to it."""
-    return f"{shared_folder(spark).rstrip('/')}/tallymark-{label}-{uuid.uuid4().hex}"
+    """A new folder below the shared one; nothing else writes to it, and it goes when the session's JVM ends."""
+    run = f"{shared_folder(spark).rstrip('/')}/tallymark-{spark.sparkContext.applicationId}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(run)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return f"{run}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

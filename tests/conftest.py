@@ -12,9 +12,10 @@ from tallymark.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     # Without the fallback a plan too large to compile fails instead of running slowly.
-    session = build_session("tests", cpus=8, spark__sql__codegen__fallback="false", spark__sql__shuffle__partitions="4")
+    session = build_session("tests", cpus=8, spark__sql__codegen__fallback="false", spark__sql__shuffle__partitions="4",
+                            spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('shared')}")
     yield session
     session.stop()
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import table
-from . import line_dedup
+from . import line_dedup, packing, simhash
 from .texts import whole_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +58,16 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_dropped").cast("long").alias("n_dropped"),
         F.sha2(whole_text("text"), 256).alias("kept_sha256"),
     )
+
+
+@query()
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"), words=3)
+    return found.select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+@query()
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)

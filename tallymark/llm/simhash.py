@@ -125,7 +125,7 @@ def keep_one(docs: DataFrame, words: int = 3) -> DataFrame:
     group, and then as one row. A row without an id stays, as nothing can name it.
     """
     named = written(near_duplicates(docs, words), "near-duplicates")
-    gone = named.groupBy("doc_id").agg(F.min(F.col("doc_id") <> F.col("component_id")).alias("all")).where("all").select("doc_id")
+    gone = named.groupBy("doc_id").agg(F.min(F.col("doc_id") != F.col("component_id")).alias("all")).where("all").select("doc_id")
     kept = docs.join(gone, "doc_id", "left_anti")
     again = named.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     if again.isEmpty():

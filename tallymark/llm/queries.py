@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import table
-from . import line_dedup, packing, simhash
-from .texts import whole_text
+from . import bpe, language, line_dedup, packing, simhash, token_counts
+from .texts import remainder, whole_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -71,3 +71,20 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)
+
+
+@query()
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", remainder("doc_id", 3) == 1)
+    filters = language.learn(docs.where("not held_out"))
+    return language.predict(docs, filters, keep=("doc_id", "held_out"))
+
+
+@query()
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+@query()
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import table
-from . import bpe, language, line_dedup, packing, simhash, token_counts
+from . import (
+    bpe, embedding_dedup, language, licences, line_dedup, neighbours, packing, scoring, simhash, token_counts,
+)
 from .texts import remainder, whole_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +90,24 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query()
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return scoring.score(docs, remainder("doc_id", 10) != 0, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query()
+def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"), threshold=0.95)
+
+
+@query()
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents"))

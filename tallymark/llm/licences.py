@@ -105,6 +105,10 @@ SUBJECTS = ["", "This work is ", "This software is ", "This project is ", "This
 VERBS = ["licensed under ", "released under ", "distributed under ", "available under "]
 
 
+# Fixed value: canonical lines that say whose copyright it is.
+RIGHTS = r"^ *(copyright (c )?|c )\d{4}|^ *all rights reserved *$"
+
+
 def known_texts() -> list[tuple[str, str]]:
     """``(licence, text)`` of the texts above and of all notices that subjects, verbs and names make."""
     notices = [
@@ -126,7 +130,7 @@ def canonical_lines(text: Column) -> Column:
         plain = F.replace(plain, F.lit(f" {word}"), F.lit(f" {same}"))
     return F.transform(
         F.split(plain, "\n", -1),
-        lambda x: F.when(~F.rlike(x, F.lit(r"^ ?(copyright( c)? |c )(c )?\d{4}|^ ?all rights reserved ?$")), F.trim(x)),
+        lambda x: F.when(~F.rlike(x, F.lit(RIGHTS)), F.trim(x)),
     )
 
 
@@ -174,3 +178,37 @@ def scan(docs: DataFrame, known: Iterable[tuple[str, str]] | None = None) -> Dat
         "doc_id", "s.scope", "s.nth", "s.digest"
     )
     return found.join(digests, "digest").select("doc_id", "scope", "nth", "licence")
+
+
+def sql() -> str:
+    """The same rows in DuckDB, over the whole ``documents``."""
+
+    def lines(text: str) -> str:
+        line = "concat(' ', x, ' ')"
+        for word, same in SPELLINGS:
+            line = f"replace({line}, ' {word}', ' {same}')"
+        line = f"CASE WHEN NOT regexp_matches({line}, '{RIGHTS}') THEN trim({line}) END"
+        return f"list_transform(string_split(regexp_replace(lower({text}), '[^\\pL\\pN\\n]+', ' ', 'g'), chr(10)), lambda x: {line})"
+
+    def said(name: str) -> str:
+        return f"coalesce(array_to_string(list_filter({name}, lambda x: x <> ''), ' '), '')"
+
+    known = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in pair)) for pair in known_texts())
+    return f"""
+WITH known AS (
+  SELECT md5({said("lines")}) AS digest, min(licence) AS licence
+  FROM (SELECT licence, {lines("text")} AS lines FROM (VALUES {known}) AS t(licence, text)) GROUP BY 1
+), held AS (
+  SELECT doc_id, {lines("coalesce(text, '')")} AS lines FROM documents
+), paragraphs AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    coalesce(array_to_string(list_filter(lines, lambda x: x IS NOT NULL), chr(10)), ''), '\n{{2,}}'), lambda x: x <> '') AS parts FROM held
+), stretches AS (
+  SELECT doc_id, 'document' AS scope, -1 AS nth, {said("lines")} AS said FROM held
+  UNION ALL
+  SELECT doc_id, 'paragraph', unnest(range(len(parts))), unnest(list_transform(parts, lambda x: trim(replace(x, chr(10), ' ')))) FROM paragraphs
+  UNION ALL
+  SELECT * FROM (SELECT doc_id, 'line', unnest(range(len(lines))), unnest(lines) AS said FROM held) WHERE said <> ''
+)
+SELECT doc_id, scope, CAST(nth AS INT) AS nth, licence FROM stretches JOIN known ON md5(said) = digest
+"""

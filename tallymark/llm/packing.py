@@ -83,18 +83,15 @@ def plan(counts: dict[int, int], capacity: int) -> tuple[list[Run], int]:
 
     for length in large:
         while left[length]:
-            partner = next((x for x in large if x <= capacity - length and left[x]), None)
+            # The largest partner that fits; a last piece cannot be its own.
+            fits = (x for x in large if x <= capacity - length and left[x] > (x == length))
+            partner = next(fits, None)
             if partner is None:
-                both = 0
-            elif partner == length:
-                both = left[length] // 2
-            else:
-                both = min(left[length], left[partner])
-            if not both:  # no partner, or one piece that only itself would match
                 bins.open(left[length])
                 while left[length]:
                     put(length, capacity, left[length])
                 break
+            both = left[length] // 2 if partner == length else min(left[length], left[partner])
             bins.open(both)
             todo = both
             while todo:

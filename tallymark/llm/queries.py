@@ -108,6 +108,6 @@ def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"), threshold=0.95)
 
 
-@query()
+@query(licences.sql())
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan(table(spark, folder, "documents"))

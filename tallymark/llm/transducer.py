@@ -11,8 +11,8 @@ known states are table look-ups; a step not seen before is worked out once and e
 Two characters that no piece holds side by side always part, so the state is reset
 there. A text is cut into equal chunks that run side by side, each from its first reset;
 what a chunk does to the state that enters it is then a head to run from that state, a
-count, and a fixed state at the end. These maps compose from left to right by a running
-maximum over the chunks that have a reset.
+count, and a fixed state at the end; a chunk without a reset is all head. These maps
+compose from left to right.
 """
 
 from __future__ import annotations
@@ -324,16 +324,14 @@ class Transducer:
             state = after
         flat = out.T.reshape(-1)[:n]
         emitted += flat
-        # The maps compose: the state that enters a chunk is the last fixed one before it, run over what lies between.
-        last = np.maximum.accumulate(np.where(has, np.arange(lanes), -1))
-        for lane in np.flatnonzero(head > 0).tolist():
-            if not has[lane] and lane + 1 < lanes:
-                continue  # part of the head of a later chunk
-            source = last[lane - 1] if lane else -1
-            now = int(state[source]) if source >= 0 else START
-            stop = min(n, lane * CHUNK + int(head[lane]))
-            at = (source + 1) * CHUNK
-            for i in range(at, stop):
+        # The maps compose: one with a reset is constant, so what enters a chunk is the state at the end of the last
+        # constant one before it, run over the chunks without a reset in between and over the head.
+        fixed = np.flatnonzero(has)
+        froms = np.concatenate(([0], (fixed + 1) * CHUNK))
+        states = np.concatenate(([START], state[fixed]))
+        stops = np.concatenate((fixed * CHUNK + head[fixed], [n]))
+        for at, now, stop in zip(froms.tolist(), states.tolist(), stops.tolist()):
+            for i in range(at, min(stop, n)):
                 column = int(columns[i])
                 after = int(self.next[now, column])
                 if after < 0:

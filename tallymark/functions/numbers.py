@@ -7,10 +7,10 @@ from pyspark.sql import Column, functions as F
 from ..constants import MAX_PERCENT
 from .strings import strip
 
-# Lengths are bounded so that no match can overflow a double.
-_WHOLE_NUMBER = r"^[+-]?(?:\d{1,200}\.?\d*|\.\d+)(?:[eE][+-]?\d{1,2})?$"
-_WHOLE_INTEGER = r"^[+-]?\d{1,18}$"
-_FIRST_NUMBER = r"(\d{1,300}(?:\.\d+)?)"
+# Digits of any number; what overflows a double counts as no number.
+_WHOLE_NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
+_WHOLE_INTEGER = r"^[+-]?\d+$"
+_FIRST_NUMBER = r"(\d+(?:\.\d+)?)"
 
 
 def or_zero(c: Column) -> Column:
@@ -29,13 +29,13 @@ def number_from_text(text: Column) -> Column:
     the cast, where every failure would cost an exception.
     """
     t = strip(text)
-    return F.when(t.rlike(_WHOLE_NUMBER), t.try_cast("double"))
+    return finite(F.when(t.rlike(_WHOLE_NUMBER), t.try_cast("double")))
 
 
 def first_number(text: Column) -> Column:
     """The first run of digits in the text, thousands separators dropped; the sign is lost."""
     digits = F.regexp_extract(F.translate(text, "%,", ""), _FIRST_NUMBER, 1)
-    return F.when(digits != "", digits.try_cast("double"))
+    return finite(F.when(digits != "", digits.try_cast("double")))
 
 
 def safe_int(text: Column) -> Column:
@@ -50,7 +50,7 @@ def safe_float(text: Column) -> Column:
 def stored_int(text: Column) -> Column:
     """A stored metric as an integer; unlike ``safe_int`` the sign stays."""
     t = strip(text)
-    return or_zero(F.when(t.rlike(_WHOLE_INTEGER), t.try_cast("bigint")).otherwise(digits_with_commas(t)))
+    return F.coalesce(F.when(t.rlike(_WHOLE_INTEGER), t.try_cast("bigint")), digits_with_commas(t), F.lit(0))
 
 
 def digits_with_commas(text: Column) -> Column:

@@ -50,6 +50,15 @@ def ledger_rows(chunks: DataFrame, settings: Settings, batch_id: str) -> DataFra
     )
 
 
+def table_ledger_rows(rows: DataFrame, settings: Settings, batch_id: str) -> DataFrame:
+    """One row per file of ``read_large_csv``. Spark's reader hands out neither time nor size of a row's file."""
+    return rows.groupBy(F.col("source_file").alias("path")).agg(F.count("*").alias("rows")).select(
+        "path", F.element_at(F.split("path", "/"), -1).alias("file_name"), F.lit(None).cast("timestamp").alias("mtime"),
+        F.lit(None).cast("long").alias("n_bytes"), F.lit("csv").alias("kind"), "rows", F.lit("ok").alias("status"),
+        F.lit(None).cast("string").alias("error"), F.lit(batch_id).alias("batch_id"), settings.now.alias("processed_at"),
+    )
+
+
 def last_processed(ledger: DataFrame) -> DataFrame:
     return ledger.where(F.col("status") == "ok").agg(F.max("mtime").alias("last_file_processed"))
 
@@ -63,5 +72,5 @@ def validation_rows(posts: DataFrame) -> DataFrame:
 def write_validation_report(posts: DataFrame, folder: str, batch_id: str) -> str:
     """One CSV folder per batch and source file."""
     path = f"{folder.rstrip('/')}/validation_{batch_id}"
-    validation_rows(posts).write.mode("overwrite").partitionBy("source_file").option("header", True).csv(path)
+    validation_rows(posts).hint("rebalance", "source_file").write.mode("overwrite").partitionBy("source_file").option("header", True).csv(path)
     return path

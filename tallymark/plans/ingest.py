@@ -12,7 +12,7 @@ from ..functions.digest import with_digest_numbers
 from ..operators import maintenance, merge, rollups
 from ..operators.demographics import demographics_from_chunks
 from ..operators.posts import posts_from_chunks, posts_from_table
-from ..sources.files import MAX_DECODED_BYTES, decode_chunks, file_name, file_route, is_export_name, large_files, list_files
+from ..sources.files import decode_chunks, file_name, file_route, is_export_name, list_files
 from ..sources.tables import PageTables, table_schema
 
 
@@ -23,6 +23,12 @@ class Ingested:
     files: int
 
 
+def _mark(rows: DataFrame, *columns: str) -> str:
+    """A digest of some columns that does not depend on the order of the rows."""
+    found = rows.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*columns)).alias("x"), F.sum(F.hash(*columns)).alias("s")).first()
+    return f"{found['n']}:{found['x']}:{found['s']}"
+
+
 def _with_all_columns(df: DataFrame, table: str) -> DataFrame:
     """The columns of the target table, absent ones as NULL, plus ``arrival``."""
     schema = table_schema(table)
@@ -30,35 +36,35 @@ def _with_all_columns(df: DataFrame, table: str) -> DataFrame:
     return df.withColumns(absent).select(*schema.names, "arrival", "source_file")
 
 
-def store_posts(tables: PageTables, batch_id: str, posts: DataFrame, settings: Settings) -> DataFrame:
+def store_posts(tables: PageTables, key: str, batch_id: str, posts: DataFrame, settings: Settings) -> DataFrame:
     """Merge the posts, snapshot the day, roll up. ``posts`` must be staged. Returns what was taken."""
     if posts.isEmpty():
         return posts
     if settings.manual:
         fresh = tables.stage(
-            batch_id,
+            key,
             "new_posts",
             lambda: merge.insert_only(
                 tables.read("post_analytics"), _with_all_columns(posts, "post_analytics"), K.POST_KEY
             ),
         )
         tables.merge(
-            "post_analytics", batch_id, fresh,
+            "post_analytics", key, fresh,
             lambda stored, new: merge.upsert(stored, new.select(*stored.columns), K.POST_KEY),
         )
         taken = fresh
     else:
         tables.merge(
-            "post_analytics", batch_id, posts.drop("date_missing", "source_file"),
+            "post_analytics", key, posts.drop("date_missing", "source_file"),
             lambda stored, new: merge.merge_posts(stored, new, settings),
         )
         snapshot = merge.history_rows(posts, settings)
         tables.merge(
-            "post_metrics_history", batch_id, snapshot,
+            "post_metrics_history", key, snapshot,
             lambda stored, new: merge.upsert(stored, new, K.HISTORY_KEY),
         )
         taken = posts
-    _store_summaries(tables, batch_id, taken, settings)
+    _store_summaries(tables, key, batch_id, taken, settings)
     return taken
 
 
@@ -71,59 +77,72 @@ def _followers(tables: PageTables, settings: Settings) -> DataFrame:
     )
 
 
-def _store_summaries(tables: PageTables, batch_id: str, posts: DataFrame, settings: Settings) -> None:
+def _store_summaries(tables: PageTables, key: str, batch_id: str, posts: DataFrame, settings: Settings) -> None:
     """One summary per file goes to the history; the last file's becomes the company row."""
     per_file = rollups.company_rollup(posts, ["company_id", "source_file"], settings.rate_scale)
     staged = tables.stage(
-        batch_id, "summaries", lambda: rollups.summary_rows(per_file, settings, _followers(tables, settings))
+        key, "summaries", lambda: rollups.summary_rows(per_file, settings, _followers(tables, settings))
     )
     tables.merge(
-        "company_analytics", batch_id, staged,
+        "company_analytics", key, staged,
         lambda stored, new: merge.upsert(
             stored, merge.last_per_key(new, K.COMPANY_KEY, "source_file").drop("source_file"), K.COMPANY_KEY
         ),
     )
     if not settings.manual:
-        tables.append("analytics_history", batch_id, staged.withColumn("batch_id", F.lit(batch_id)))
+        tables.append("analytics_history", key, staged.withColumn("batch_id", F.lit(batch_id)))
 
 
-def store_demographics(tables: PageTables, batch_id: str, records: DataFrame, settings: Settings) -> DataFrame:
+def store_demographics(tables: PageTables, key: str, records: DataFrame, settings: Settings) -> DataFrame:
     """Merge staged follower records. Returns what was taken."""
     if records.isEmpty():
         return records
     if settings.manual:
         fresh = tables.stage(
-            batch_id, "new_demographics",
+            key, "new_demographics",
             lambda: merge.new_demographics(tables.read("follower_analytics"), records),
         )
         tables.merge(
-            "follower_analytics", batch_id, fresh,
+            "follower_analytics", key, fresh,
             lambda stored, new: stored.unionByName(new.select(*stored.columns)),
         )
         return fresh
     tables.merge(
-        "follower_analytics", batch_id, records,
+        "follower_analytics", key, records,
         lambda stored, new: merge.upsert(stored, new, K.FOLLOWER_KEY, "arrival"),
     )
     return records
 
 
-def ingest_files(files: DataFrame, tables: PageTables, settings: Settings, batch_id: str) -> Ingested:
-    """``binaryFile`` rows into the tables. Repeating a batch id repeats nothing."""
+def ingest_files(
+    files: DataFrame, tables: PageTables, settings: Settings, batch_id: str, operation: str = "ingest",
+    report: str | None = None,
+) -> Ingested:
+    """``binaryFile`` rows into the tables. Repeating a batch repeats nothing.
+
+    A batch id that comes back with other files is an error. ``report`` names a folder
+    for the validation report of the posts taken.
+    """
     named = files.where(is_export_name(file_name(), settings.manual))
+    key = f"{operation}/{batch_id}"
+    done = tables.begin(key, lambda: _mark(named, "path", "modificationTime"))
+    if done is not None:
+        return Ingested(done["posts"], done["demographics"], done["files"])
     # Decoding is the costly step and three consumers follow, so its result is written once.
-    chunks = tables.stage(batch_id, "chunks", lambda: decode_chunks(named, settings.manual))
+    chunks = tables.stage(key, "chunks", lambda: decode_chunks(named, settings.manual))
     route = file_route(F.col("file_name"), settings.manual)
     posts = tables.stage(
-        batch_id, "posts", lambda: posts_from_chunks(chunks.where(route == "posts"), settings).drop("path")
+        key, "posts", lambda: posts_from_chunks(chunks.where(route == "posts"), settings).drop("path")
     )
     followers = _followers(tables, settings)
     records = tables.stage(
-        batch_id, "demographics",
+        key, "demographics",
         lambda: demographics_from_chunks(chunks.where(route == "demographics"), settings, followers),
     )
-    taken_posts = store_posts(tables, batch_id, posts, settings)
-    taken_records = store_demographics(tables, batch_id, records, settings)
+    taken_posts = store_posts(tables, key, batch_id, posts, settings)
+    taken_records = store_demographics(tables, key, records, settings)
+    if report is not None:
+        maintenance.write_validation_report(taken_posts, report, batch_id)
     taken = (
         taken_posts.select("source_file").withColumn("is_post", F.lit(1))
         .unionAll(taken_records.select("source_file").withColumn("is_post", F.lit(0)))
@@ -133,37 +152,39 @@ def ingest_files(files: DataFrame, tables: PageTables, settings: Settings, batch
         # The older scan files away only what gave records, so the rest is tried again.
         done = taken.select(F.col("source_file").alias("file_name")).distinct()
         ledger = ledger.join(done, "file_name", "left_semi")
-    tables.append("file_ledger", batch_id, ledger)
+    tables.append("file_ledger", key, ledger)
     counts = taken.agg(F.sum("is_post").alias("posts"), F.count("*").alias("n")).first()
     n_posts = counts["posts"] or 0
-    n_files = tables.read("file_ledger").where(F.col("batch_id") == batch_id).count()
-    return Ingested(n_posts, counts["n"] - n_posts, n_files)
+    result = Ingested(n_posts, counts["n"] - n_posts, tables.appended("file_ledger", key).count())
+    tables.finish(key, posts=result.posts, demographics=result.demographics, files=result.files)
+    return result
 
 
 def ingest_folder(
-    spark: SparkSession, folder: str, tables: PageTables, settings: Settings, batch_id: str,
-    max_bytes: int = MAX_DECODED_BYTES,
+    spark: SparkSession, folder: str, tables: PageTables, settings: Settings, batch_id: str, report: str | None = None
 ) -> Ingested:
-    """The files of a folder that the ledger does not hold yet.
-
-    Files too large for one task stop the run; they go through ``ingest_large_csv``.
-    """
-    too_large = [r.path for r in large_files(spark, folder, settings.manual, max_bytes).select("path").take(5)]
-    if too_large:
-        raise ValueError(f"ingest these with ingest_large_csv and move them out of the folder: {too_large}")
+    """The files of a folder that the ledger does not hold yet, of any size and name."""
     listed = list_files(spark, folder).where(is_export_name(F.col("file_name"), settings.manual))
-    # The comparison with the ledger moves names only, never contents. Spark's own
-    # listing of the folder holds the same paths on the driver.
-    fresh = [r.path for r in maintenance.unprocessed(listed, tables.read("file_ledger")).select("path").collect()]
-    if not fresh:
+    # The comparison with the ledger moves names only; the contents meet just the names that are new.
+    fresh = maintenance.unprocessed(listed, tables.read("file_ledger")).select("path")
+    if fresh.isEmpty():
         return Ingested(0, 0, 0)
-    return ingest_files(spark.read.format("binaryFile").load(fresh), tables, settings, batch_id)
+    files = spark.read.format("binaryFile").load(folder).join(fresh, "path", "left_semi")
+    return ingest_files(files, tables, settings, batch_id, report=report)
 
 
 def ingest_large_csv(rows: DataFrame, tables: PageTables, settings: Settings, batch_id: str) -> int:
-    """Posts out of ``read_large_csv`` (files of one layout, any size) into the tables."""
-    posts = tables.stage(batch_id, "posts", lambda: posts_from_table(rows, settings))
-    return store_posts(tables, batch_id, posts, settings).count()
+    """Posts out of ``read_large_csv`` (files of one layout, any size) into the tables, and their files into the ledger."""
+    key = f"large_csv/{batch_id}"
+    names = rows.inputFiles()
+    done = tables.begin(key, lambda: "\n".join(sorted(names)))
+    if done is not None:
+        return done["posts"]
+    posts = tables.stage(key, "posts", lambda: posts_from_table(rows, settings))
+    count = store_posts(tables, key, batch_id, posts, settings).count()
+    tables.append("file_ledger", key, maintenance.table_ledger_rows(rows, settings, batch_id))
+    tables.finish(key, posts=count)
+    return count
 
 
 def digest_summaries(messages: DataFrame, settings: Settings) -> DataFrame:
@@ -177,32 +198,46 @@ def digest_summaries(messages: DataFrame, settings: Settings) -> DataFrame:
 
 def ingest_digests(messages: DataFrame, tables: PageTables, settings: Settings, batch_id: str) -> int:
     """Digest mails into the company row (the last message wins) and the history (one row each)."""
+    key = f"digests/{batch_id}"
+    done = tables.begin(key, lambda: _mark(messages, "path", "body"))
+    if done is not None:
+        return done["messages"]
     staged = tables.stage(
-        batch_id, "summaries",
+        key, "summaries",
         lambda: digest_summaries(messages, settings).withColumn("arrival", F.struct("path")),
     )
     tables.merge(
-        "company_analytics", batch_id, staged,
+        "company_analytics", key, staged,
         lambda stored, new: merge.upsert(
             stored, merge.last_per_key(new, K.COMPANY_KEY).select(*stored.columns), K.COMPANY_KEY
         ),
     )
-    tables.append("analytics_history", batch_id, staged.withColumn("batch_id", F.lit(batch_id)))
-    return staged.count()
+    tables.append("analytics_history", key, staged.withColumn("batch_id", F.lit(batch_id)))
+    count = staged.count()
+    tables.finish(key, messages=count)
+    return count
 
 
 def clean_up(tables: PageTables, settings: Settings, batch_id: str, days: int = K.RETENTION_DAYS) -> None:
     """Drop posts and follower rows collected before the retention time; untouched partitions stay as they are."""
+    key = f"clean_up/{batch_id}"
+    if tables.begin(key, lambda: f"{settings.as_of.isoformat()} {days}") is not None:
+        return
     for name in ("post_analytics", "follower_analytics"):
         tables.rewrite(
-            name, batch_id, maintenance.expired(settings, days),
+            name, key, maintenance.expired(settings, days),
             lambda stored: maintenance.retained(stored, settings, days),
         )
+    tables.finish(key)
 
 
 def reclassify_posts(tables: PageTables, settings: Settings, batch_id: str) -> None:
     """Give posts stored under a distribution word a real type."""
+    key = f"reclassify/{batch_id}"
+    if tables.begin(key, lambda: settings.company_id) is not None:
+        return
     tables.rewrite(
-        "post_analytics", batch_id, merge.needs_type(settings.company_id),
+        "post_analytics", key, merge.needs_type(settings.company_id),
         lambda stored: merge.reclassify(stored, settings, settings.company_id),
     )
+    tables.finish(key)

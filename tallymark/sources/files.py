@@ -13,8 +13,6 @@ from ..functions.strings import ends_with_any, has_any
 from ..schema import CHUNK
 from .decode import chunk_records
 
-# A decoded file is held by one task. Larger CSV files go to ``read_large_csv``.
-MAX_DECODED_BYTES = 128 * 1024 * 1024
 CHUNK_ROWS = 2000
 _FLUSH_CELLS = 100_000
 
@@ -86,31 +84,25 @@ def decode_chunks(files: DataFrame, manual: bool = False, chunk_rows: int = CHUN
     return files.select("path", "modificationTime", "content").mapInArrow(decode, CHUNK)
 
 
-def read_chunks(
-    spark: SparkSession, folder: str, manual: bool = False, max_bytes: int = MAX_DECODED_BYTES
-) -> DataFrame:
-    """All export files of a folder that one task can hold, as chunks."""
+def read_chunks(spark: SparkSession, folder: str, manual: bool = False) -> DataFrame:
+    """All export files of a folder as chunks, whatever their size; a task holds one file at a time."""
     files = spark.read.format("binaryFile").load(folder)
-    name = file_name()
-    return decode_chunks(files.where(is_export_name(name, manual) & (F.col("length") <= max_bytes)), manual)
-
-
-def large_files(spark: SparkSession, folder: str, manual: bool = False, max_bytes: int = MAX_DECODED_BYTES) -> DataFrame:
-    """The files ``read_chunks`` leaves out because of their size."""
-    return list_files(spark, folder).where(is_export_name(F.col("file_name"), manual) & (F.col("length") > max_bytes))
+    return decode_chunks(files.where(is_export_name(file_name(), manual)), manual)
 
 
 # --- large CSV -----------------------------------------------------------------------
-def read_large_csv(spark: SparkSession, paths: str | list[str], multiline: bool = True) -> DataFrame:
-    """UTF-8 CSV files of one layout, header on row 0, through Spark's own reader.
+def read_large_csv(
+    spark: SparkSession, paths: str | list[str], multiline: bool = False, encoding: str = "UTF-8"
+) -> DataFrame:
+    """CSV files of one layout and encoding, header on row 0, through Spark's own reader.
 
-    Without line breaks inside cells (``multiline=False``) one file splits over many
-    tasks. A file whose header differs from the first one fails instead of being
+    One file splits over many tasks; with line breaks inside cells (``multiline=True``,
+    see ``line_breaks_in_cells``) each is one task. A file whose header differs from the first one fails instead of being
     read into the wrong columns. ``arrival`` orders the rows of a file.
     """
     df = (
         spark.read.option("header", True).option("multiLine", multiline).option("enforceSchema", False)
-        .option("escape", '"').option("inferSchema", False).csv(paths)
+        .option("escape", '"').option("inferSchema", False).option("encoding", encoding).csv(paths)
     )
     cells = [F.when(~F.trim(F.col(f"`{c}`")).isin(K.MISSING_WORDS), F.col(f"`{c}`")).alias(c) for c in df.columns]
     return df.select(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import email
 from collections.abc import Iterator
-from email.header import decode_header
-from email.message import Message
+from email import policy
+from email.message import EmailMessage
+from email.parser import BytesParser
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,43 +16,47 @@ from ..functions.strings import ends_with_any, has_any
 from ..schema import MESSAGE
 
 
-def _header(value: str | None) -> str:
-    parts = decode_header(value) if value else []
-    return "".join(t.decode(e or "utf-8", errors="ignore") if isinstance(t, bytes) else t for t, e in parts)
+_READABLE = ("text/html", "text/plain")
 
 
-def _text(part: Message) -> str | None:
+def _attempt(read):
+    """What ``read`` gives, or None where the mail is too odd for it: one part must not cost the others."""
     try:
-        return part.get_payload(decode=True).decode(part.get_content_charset() or "utf-8", errors="ignore")
-    except (AttributeError, LookupError):
+        return read()
+    except Exception:  # noqa: BLE001 - the parser raises many kinds on hostile input
         return None
 
 
-def _body(message: Message) -> str:
-    """The first text or HTML part that is no attachment."""
-    if not message.is_multipart():
-        text = _text(message)
-        return str(message.get_payload()) if text is None else text
-    for part in message.walk():
-        inline = "attachment" not in str(part.get("Content-Disposition") or "").lower()
-        if inline and part.get_content_type() in ("text/html", "text/plain"):
-            text = _text(part)
-            if text is not None:
-                return text
-    return ""
+def _clean(value) -> str | None:
+    """A header as valid text; raw bytes that are no text are replaced."""
+    return None if value is None else str(value).encode("utf-8", "replace").decode("utf-8")
+
+
+def _part_text(part: EmailMessage) -> str | None:
+    text = _attempt(part.get_content)
+    if text is None:  # an unknown character set
+        raw = _attempt(lambda: part.get_payload(decode=True))
+        text = None if raw is None else raw.decode("utf-8", "replace")
+    return _clean(text)
 
 
 def _message_record(path: str, content: bytes) -> dict:
-    message = email.message_from_bytes(content)
-    parts = [p for p in message.walk() if p.get_content_maintype() != "multipart" and p.get_filename()]
+    """The fields of one mail. What cannot be read is NULL; the mail itself is never lost."""
+    message = _attempt(lambda: BytesParser(policy=policy.default).parsebytes(content)) or EmailMessage()
+    leaves = [p for p in _attempt(lambda: list(message.walk())) or [] if not p.is_multipart()]
+    named = [(p, _clean(_attempt(p.get_filename))) for p in leaves]
+    texts = (
+        _part_text(p) for p in leaves
+        if (not message.is_multipart() or p.get_content_type() in _READABLE) and not _attempt(p.is_attachment)
+    )
     return {
         "path": path,
-        "subject": _header(message.get("Subject")),
-        "from": _header(message.get("From")),
-        "date": message.get("Date"),
-        "body": _body(message),
+        "subject": _clean(_attempt(lambda: message["Subject"])),
+        "from": _clean(_attempt(lambda: message["From"])),
+        "date": _clean(_attempt(lambda: message["Date"])),
+        "body": next((t for t in texts if t is not None), ""),
         "attachments": [
-            {"name": _header(p.get_filename()), "content": p.get_payload(decode=True)} for p in parts
+            {"name": name, "content": _attempt(lambda p=p: p.get_payload(decode=True))} for p, name in named if name
         ],
     }
 

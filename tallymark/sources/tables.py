@@ -1,16 +1,18 @@
 """The target tables as partitioned Parquet, and the steps that change them.
 
-A batch is first staged (written in full below ``_staging/<batch>``) and then
-published by replacing the partitions it touches. Both steps may be repeated: a
-batch that was cut off is published again from its staged rows, so a retry
-neither loses nor doubles anything.
+A batch has a key: the operation and the id it was given. It is first staged (written
+in full below ``_staging/<key>``) and then published by replacing the partitions it
+touches. Both steps may be repeated: a batch that was cut off is published again
+from its staged rows, so a retry neither loses nor doubles anything. A mark of the
+input stands beside it; a key that comes back with another input is an error. When
+all is published, the staged rows go and the mark stays with the counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from .. import constants as K
 from ..config import Settings
@@ -25,6 +27,9 @@ _PARTITION = {
     "company_analytics": ("key_bucket", T.IntegerType()),
     "post_metrics_history": ("observed_date", T.DateType()),
     "follower_analytics": ("collected_day", T.DateType()),
+    # One partition per batch: appending again replaces it, whole or not at all.
+    "analytics_history": ("batch_key", T.StringType()),
+    "file_ledger": ("batch_key", T.StringType()),
 }
 
 
@@ -70,6 +75,8 @@ class PageTables:
         by = _PARTITION.get(name, (None,))[0]
         if by is None or by in df.columns:
             return df
+        if by == "batch_key":
+            return df.withColumn(by, F.lit(""))
         if by == "collected_day":
             return df.withColumn(by, F.to_date("date_collected"))
         key = K.POST_KEY if name == "post_analytics" else K.COMPANY_KEY
@@ -95,26 +102,47 @@ class PageTables:
         by = _PARTITION[name][0]
         return [r[0] for r in self._partitioned(name, rows).select(by).distinct().collect()]
 
-    # --- staging -------------------------------------------------------------------
-    def stage(self, batch_id: str, label: str, rows: Callable[[], DataFrame]) -> DataFrame:
-        """The rows of a batch, written once; a repeated batch gets what it wrote the first time."""
-        path = f"{self.root}/_staging/{batch_id}/{label}"
+    # --- batches -------------------------------------------------------------------
+    def begin(self, key: str, mark: Callable[[], str]) -> Row | None:
+        """The counts of a batch that is done, or None while it is not.
+
+        The mark of the input is kept when the batch first begins.
+        """
+        place = f"{self.root}/_batches/{key}"
+        now = mark()
+        if not self._exists(f"{place}/mark/_SUCCESS"):
+            self.spark.range(1).select(F.lit(now).alias("mark")).write.mode("overwrite").parquet(f"{place}/mark")
+        known = self.spark.read.parquet(f"{place}/mark").first()["mark"]
+        if known != now:
+            raise ValueError(f"batch {key} was used with another input")
+        return self.spark.read.parquet(f"{place}/counts").first() if self._exists(f"{place}/counts/_SUCCESS") else None
+
+    def finish(self, key: str, **counts: int) -> None:
+        """Keep the counts of a batch and drop its staged rows."""
+        row = self.spark.range(1).select("id", *[F.lit(n).cast("long").alias(name) for name, n in counts.items()])
+        row.write.mode("overwrite").parquet(f"{self.root}/_batches/{key}/counts")
+        path, system = self._file_system(f"{self.root}/_staging/{key}")
+        system.delete(path, True)
+
+    def stage(self, key: str, label: str, rows: Callable[[], DataFrame]) -> DataFrame:
+        """Rows of a batch, written once; a repeated batch gets what it wrote the first time."""
+        path = f"{self.root}/_staging/{key}/{label}"
         if not self._exists(f"{path}/_SUCCESS"):
             rows().write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
     # --- changes -------------------------------------------------------------------
-    def merge(self, name: str, batch_id: str, incoming: DataFrame, change: Change) -> None:
+    def merge(self, name: str, key: str, incoming: DataFrame, change: Change) -> None:
         """Replace the touched partitions by ``change(stored rows of them, incoming)``."""
 
         def changed() -> DataFrame:
             stored = self._part(name, self._partitions(name, incoming))
             return self._partitioned(name, change(stored, incoming))
 
-        self._publish(name, self.stage(batch_id, name, changed))
+        self._publish(name, self.stage(key, f"merged_{name}", changed))
 
     def rewrite(
-        self, name: str, batch_id: str, affected: Column, change: Callable[[DataFrame], DataFrame]
+        self, name: str, key: str, affected: Column, change: Callable[[DataFrame], DataFrame]
     ) -> None:
         """Replace the partitions that hold affected rows; those left without rows are removed."""
         touched = self._partitions(name, self._stored(name).where(affected))
@@ -122,7 +150,7 @@ class PageTables:
         def changed() -> DataFrame:
             return self._partitioned(name, change(self._part(name, touched)))
 
-        staged = self.stage(batch_id, name, changed)
+        staged = self.stage(key, f"rewritten_{name}", changed)
         left = set(self._partitions(name, staged))
         self._publish(name, staged)
         for value in touched:
@@ -138,7 +166,10 @@ class PageTables:
             .partitionBy(by).parquet(self.path(name))
         )
 
-    def append(self, name: str, batch_id: str, rows: DataFrame) -> None:
-        """Append the rows of a batch, unless an earlier attempt already did."""
-        if self.read(name).where(F.col("batch_id") == batch_id).isEmpty():
-            rows.select(*table_schema(name).names).write.mode("append").parquet(self.path(name))
+    def append(self, name: str, key: str, rows: DataFrame) -> None:
+        """Append the rows of a batch; a repeated batch replaces what it appended before."""
+        self._publish(name, rows.select(*table_schema(name).names).withColumn("batch_key", F.lit(key)))
+
+    def appended(self, name: str, key: str) -> DataFrame:
+        """The rows that one batch appended; only its partition is read."""
+        return self._stored(name).where(F.col("batch_key") == key)

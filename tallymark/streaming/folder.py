@@ -30,7 +30,9 @@ def start_batches(
 def stream_files(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
     """The files of a folder as a stream of ``binaryFile`` rows."""
     return (
-        spark.readStream.format("binaryFile").schema(FILE).option("maxFilesPerTrigger", max_files).load(folder)
+        spark.readStream.format("binaryFile").schema(FILE).option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", "36500d")  # the default leaves out files a week older than the newest
+        .load(folder)
     )
 
 
@@ -41,11 +43,16 @@ def watch_folder(
     """Ingest finished downloads as they land.
 
     The checkpoint hands out each file once. A batch cut off half-way comes back
-    under the same number and is finished from its staged rows.
+    under the same number and is finished from its staged rows. Batches are known by
+    the stream's own id, which its checkpoint keeps, so streams into the same tables
+    do not meet.
     """
     files = stream_files(spark, folder, max_files).where(is_download(file_name()))
+    stream: list[str] = []
 
     def ingest(batch: DataFrame, number: int) -> None:
-        ingest_files(batch, tables, settings.at(clock()), f"stream-{number:08d}")
+        if not stream:
+            stream.append(spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"])
+        ingest_files(batch, tables, settings.at(clock()), f"{number:08d}", operation=f"stream-{stream[0]}")
 
     return start_batches(files, ingest, checkpoint, every)

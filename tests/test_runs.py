@@ -1,6 +1,8 @@
 """Whole runs into the tables: repeats, interruptions, both profiles, mails, maintenance, streams."""
 
+import io
 import os
+import zipfile
 from datetime import datetime, timedelta
 
 import pytest
@@ -83,14 +85,66 @@ def test_interrupted_batch_is_finished_from_its_staged_rows(spark, place, settin
     assert again.read("analytics_history").count() == 1 and again.read("post_metrics_history").count() == 1
 
 
-def test_too_large_files_are_named(spark, place, settings):
+def test_large_csv(spark, place, settings):
     folder, root = place
     put(folder, "1_posts.csv", HEADER + "a,https://x/1,,,100,5\n")
     tables = PageTables(spark, root, settings)
-    with pytest.raises(ValueError, match="1_posts.csv"):
-        ingest.ingest_folder(spark, folder, tables, settings, "b1", max_bytes=10)
-    assert ingest.ingest_large_csv(read_large_csv(spark, folder), tables, settings, "b2") == 1
+    for _ in range(2):
+        assert ingest.ingest_large_csv(read_large_csv(spark, folder), tables, settings, "b2") == 1
     assert set(posts_of(tables)) == {"a"}
+    assert [(r.file_name, r.rows, r.status) for r in tables.read("file_ledger").collect()] == [("1_posts.csv", 1, "ok")]
+
+
+def test_one_id_serves_several_operations(spark, place, settings):
+    folder, root = place
+    tables = PageTables(spark, root, Settings(as_of=settings.as_of, key_buckets=1))
+    put(folder, "1_posts.csv", HEADER + "old,https://x/1,,,1,1\n")
+    ingest.ingest_folder(spark, folder, tables, settings.at(datetime(2025, 1, 1)), "old")
+    put(folder, "2_posts.csv", HEADER + "new,https://x/2,,,1,1\n")
+    ingest.ingest_folder(spark, folder, tables, settings, "b1")
+    ingest.clean_up(tables, settings, "b1")
+    ingest.clean_up(tables, settings, "old")
+    assert set(posts_of(tables)) == {"new"}
+    messages = spark.createDataFrame([("m1", "9,000 followers")], "path string, body string")
+    assert ingest.ingest_digests(messages, tables, settings, "b1") == 1
+    assert tables.read("company_analytics").first().followers_count == 9000
+    assert tables.read("analytics_history").count() == 3
+    assert not os.path.exists(f"{root}/_staging/ingest/b1"), "staged rows go with their batch"
+
+
+def test_a_used_id_with_other_files_is_an_error(spark, place, settings):
+    folder, root = place
+    tables = PageTables(spark, root, settings)
+    put(folder, "1_posts.csv", HEADER + "a,https://x/1,,,1,1\n")
+    assert ingest.ingest_folder(spark, folder, tables, settings, "b1").posts == 1
+    assert ingest.ingest_folder(spark, folder, tables, settings, "b1") == ingest.Ingested(0, 0, 0)
+    put(folder, "2_posts.csv", HEADER + "b,https://x/2,,,1,1\n")
+    with pytest.raises(ValueError, match="another input"):
+        ingest.ingest_folder(spark, folder, tables, settings, "b1")
+    assert ingest.ingest_folder(spark, folder, tables, settings, "b2").posts == 1
+
+
+def test_bad_files_cost_only_themselves(spark, place, settings, tmp_path):
+    folder, root = place
+    tables = PageTables(spark, root, settings)
+    book = workbook_bytes([("Posts", [["Post title", "Clicks"], *[[f"t{i}", i] for i in range(200)]])])
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("posts.csv", HEADER + "z,https://x/z,,,1,1\n" * 50)
+    for name, content in (("a_posts.xlsx", book), ("b_posts.zip", packed.getvalue())):
+        for at in range(30, len(content) - 40, max(1, len(content) // 12)):
+            damaged = bytearray(content)
+            damaged[at:at + 24] = b"\xff\x00\x13" * 8
+            put(folder, name.replace("_", f"_{at}_"), bytes(damaged))
+    put(folder, "c_posts.csv", b"\x00\x01\x02\x03,\x05\n1,2\n")
+    put(folder, "posts[1].csv", HEADER + "good,https://x/1,,,100,5\n")
+    ingest.ingest_folder(spark, folder, tables, settings, "b1", report=str(tmp_path / "reports"))
+    assert posts_of(tables)["good"].impressions == 100
+    states = {r.file_name: r.status for r in tables.read("file_ledger").collect()}
+    assert states["c_posts.csv"] == "unreadable" and states["posts[1].csv"] == "ok" and "unreadable" in states.values()
+    assert len(states) == len(os.listdir(folder)) and set(states.values()) <= {"ok", "unreadable", "empty"}
+    assert all("\ufffd" not in title and title.isprintable() for title in posts_of(tables))
+    assert os.path.isdir(tmp_path / "reports" / "validation_b1")
 
 
 def test_older_profile(spark, place):
@@ -163,6 +217,21 @@ def test_expired_files_are_only_listed(spark, place, settings):
     assert [r.file_name for r in found] == ["a.csv"] and len(os.listdir(place[0])) == 2
 
 
+def test_streams_into_the_same_tables_do_not_meet(spark, place, settings, tmp_path):
+    tables = PageTables(spark, place[1], settings)
+    for n in (1, 2):
+        folder = tmp_path / f"in{n}"
+        folder.mkdir()
+        put(str(folder), f"my_posts_{n}.csv", HEADER + f"p{n},https://x/{n},,,100,5\n")
+        put(str(folder), "my_posts_old.csv", HEADER + f"old {n},https://x/old{n},,,100,5\n")
+        past = datetime(2025, 1, 1).timestamp()
+        os.utime(folder / "my_posts_old.csv", (past, past))
+        watch_folder(
+            spark, str(folder), tables, settings, str(tmp_path / f"offsets{n}"), clock=lambda: settings.as_of
+        ).awaitTermination()
+    assert set(posts_of(tables)) == {"p1", "p2", "old 1", "old 2"}
+
+
 def test_stream(spark, place, settings, tmp_path):
     folder, root = place
     tables = PageTables(spark, root, settings)

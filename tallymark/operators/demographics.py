@@ -81,15 +81,17 @@ def demographics_from_chunks(chunks: DataFrame, settings: Settings, followers: D
 
 
 def demographics_from_table(
-    df: DataFrame, sheet: str, settings: Settings, followers: DataFrame | None = None
+    df: DataFrame, sheet: str | Column, settings: Settings, followers: DataFrame | None = None
 ) -> DataFrame:
-    names = [c for c in df.columns if c not in ("source_file", "arrival")]
+    """Rows of sheets with one layout. ``sheet`` is their name, or the column ``sheet`` that holds it."""
+    names = [c for c in df.columns if c not in ("source_file", "arrival", "sheet")]
+    sheet = F.lit(sheet) if isinstance(sheet, str) else sheet
     roles = role_columns(names, settings.manual)
     found = {
         role: columns.blank_cell() if n is None else columns.cell_of(F.col(f"`{n}`"), df.schema[n].dataType)
         for role, n in roles.items()
     }
-    typed = df.withColumn("demographic_type", demographic_type(F.lit(sheet), settings.manual))
+    typed = df.withColumn("demographic_type", demographic_type(sheet, settings.manual))
     for name in ("source_file", "arrival"):
         if name not in df.columns:
             typed = typed.withColumn(name, F.lit(None))

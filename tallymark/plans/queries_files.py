@@ -197,7 +197,7 @@ _SEGMENT_SHEETS = {
 
 def _segment_workbooks(spark: SparkSession, folder: str) -> DataFrame:
     """One workbook per region, a sheet per segment with a row per nation."""
-    nation = F.broadcast(table(spark, folder, "nation"))  # a fixed 25 rows
+    nation = table(spark, folder, "nation")
     counted = table(spark, folder, "customer").groupBy("c_mktsegment", "c_nationkey").agg(
         F.count_if(F.col("c_acctbal") > 0).alias("n"), (F.count_if(F.col("c_acctbal") <= 0) * 7.5).alias("share")
     )

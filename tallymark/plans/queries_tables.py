@@ -202,8 +202,7 @@ def _segment_rows(customer: DataFrame, nation: DataFrame) -> DataFrame:
     counted = customer.groupBy("c_mktsegment", "c_nationkey").agg(
         F.count_if(F.col("c_acctbal") > 0).alias("Members"), F.count_if(F.col("c_acctbal") <= 0).alias("owing")
     )
-    # nation has a fixed 25 rows.
-    return counted.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return counted.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("n_name").alias("Name"), "Members", (F.col("owing") * 7.5).alias("Percent"), "c_mktsegment",
         F.lit("f").alias("source_file"), F.struct(F.col("n_nationkey").alias("row")).alias("arrival"),
     )
@@ -222,14 +221,8 @@ def _segment_rows(customer: DataFrame, nation: DataFrame) -> DataFrame:
 def followers_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Demographic sheets to records; two sheets arrive again on the same day and replace their rows."""
     rows = _segment_rows(table(spark, folder, "customer"), table(spark, folder, "nation"))
-
-    def sheet(segment: str) -> DataFrame:
-        found = rows.where(F.col("c_mktsegment") == segment).drop("c_mktsegment")
-        return demographics.demographics_from_table(found, _SHEETS[segment][0], NOW)
-
-    stored = sheet("AUTOMOBILE")
-    for segment in list(_SHEETS)[1:]:
-        stored = stored.unionByName(sheet(segment))
+    sheet = F.coalesce(*[F.when(F.col("c_mktsegment") == s, F.lit(name)) for s, (name, _) in _SHEETS.items()])
+    stored = demographics.demographics_from_table(rows.withColumn("sheet", sheet).drop("c_mktsegment"), F.col("sheet"), NOW)
     again = stored.where(F.col("demographic_type").isin("location", "seniority")).withColumns(
         {"total_followers": F.lit(900).cast("bigint"), "count": F.col("count") + 1}
     )
@@ -248,7 +241,7 @@ def followers_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """WITH a AS (SELECT o_custkey AS company_id, arg_max(o_orderkey % 4, (o_orderdate, o_orderkey % 4)) AS v
         FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
       b AS (SELECT o_custkey AS company_id, arg_max(o_orderkey % 3, (o_orderdate, o_orderkey % 3)) AS v
-        FROM orders WHERE o_orderstatus = 'O' GROUP BY 1)
+        FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1)
     SELECT coalesce(a.company_id, b.company_id) AS company_id,
       coalesce(nullif(a.v, 0), nullif(b.v, 0), 0) AS followers, coalesce(nullif(a.v, 0), nullif(b.v, 0), 1000) AS older
     FROM a FULL JOIN b ON a.company_id = b.company_id"""
@@ -258,7 +251,7 @@ def current_followers(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_custkey").alias("company_id"), F.col("o_orderdate").alias("date_collected"), "o_orderstatus", "o_orderkey"
     )
     follower = orders.where("o_orderstatus = 'F'").withColumn("total_followers", F.col("o_orderkey") % 4)
-    company = orders.where("o_orderstatus = 'O'").withColumn("followers_count", F.col("o_orderkey") % 3)
+    company = orders.where("o_orderstatus <> 'F'").withColumn("followers_count", F.col("o_orderkey") % 3)
     unknown = F.nullif(F.col("followers"), F.lit(-1))
     return rollups.current_followers(follower, company, default=-1).select(
         "company_id", F.coalesce(unknown, F.lit(0)).alias("followers"), F.coalesce(unknown, F.lit(1000)).alias("older")
@@ -372,7 +365,7 @@ def latest_posts(spark: SparkSession, folder: str) -> DataFrame:
     ORDER BY day DESC, demographic_type, demographic_value LIMIT 50"""
 )
 def latest_demographics(spark: SparkSession, folder: str) -> DataFrame:
-    nation = F.broadcast(table(spark, folder, "nation"))  # a fixed 25 rows
+    nation = table(spark, folder, "nation")
     counted = table(spark, folder, "customer").groupBy("c_mktsegment", "c_nationkey").agg(F.count("*").alias("count"))
     followers = counted.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_mktsegment").alias("demographic_type"), F.col("n_name").alias("demographic_value"), "count",

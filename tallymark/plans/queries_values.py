@@ -77,7 +77,7 @@ _RATE_TEXTS = f"""SELECT l_orderkey, l_linenumber, l_partkey, {turn_sql(
     '(l_orderkey + l_linenumber)',
     "CAST(l_discount AS VARCHAR) || '%'", "CAST(l_tax AS VARCHAR)", "' ' || CAST(l_quantity AS VARCHAR) || ' '",
     "'1,' || (100 + l_partkey % 900) || '.25 %'", "'junk'", "''", "'-' || CAST(l_discount AS VARCHAR)",
-    "'.5'", "'1e-2'", "'nan'", "'1d'")} AS raw FROM lineitem"""
+    "'.5'", "'1e-2'", "'nan'", "'1d'", "'1e9' || (l_partkey % 10)", "repeat('9', 320)", "'1e400 %'")} AS raw FROM lineitem"""
 
 
 @query(
@@ -95,6 +95,7 @@ def clean_rates(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("junk"), F.lit(""),
         F.concat(F.lit("-"), F.col("l_discount").cast("string")),
         F.lit(".5"), F.lit("1e-2"), F.lit("nan"), F.lit("1d"),
+        F.concat(F.lit("1e9"), (F.col("l_partkey") % 10).cast("string")), F.lit("9" * 320), F.lit("1e400 %"),
     )
     line = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", raw.alias("raw"))
     rated = line.select("l_orderkey", "l_linenumber", "l_partkey", numbers.clean_rate(F.col("raw")).alias("rate"))
@@ -186,7 +187,9 @@ _AMBIGUOUS_AS_OF = Settings(as_of=datetime(2000, 6, 1))
     """WITH t AS (
       SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN strftime(o_orderdate, '%d-%m-%y')
           ELSE strftime(o_orderdate, '%d/%m/%Y') END AS raw_created,
-        CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL 3 DAY END AS campaign_start
+        CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL 3 DAY
+          WHEN o_orderkey % 3 = 1 AND day(o_orderdate) <= 12
+            THEN CAST(make_date(year(o_orderdate), day(o_orderdate), month(o_orderdate)) AS TIMESTAMP) END AS campaign_start
       FROM orders),
     r AS (
       SELECT *, try_strptime(regexp_replace(replace(raw_created, '-', '/'), '/(\\d\\d)$',
@@ -210,7 +213,9 @@ def ambiguous_dates(spark: SparkSession, folder: str) -> DataFrame:
     found = reports.ambiguous_dates(
         orders,
         F.when(key % 4 == 0, F.date_format(d, "dd-MM-yy")).otherwise(F.date_format(d, "dd/MM/yyyy")),
-        F.when(key % 3 == 0, F.date_add(d, 3).cast("timestamp")),
+        F.when(key % 3 == 0, F.date_add(d, 3).cast("timestamp")).when(
+            (key % 3 == 1) & (F.dayofmonth(d) <= 12), F.make_date(F.year(d), F.dayofmonth(d), F.month(d)).cast("timestamp")
+        ),
         _AMBIGUOUS_AS_OF,
         F.concat(F.lit("https://page.example.com/"), key.cast("string")),
     )
@@ -414,7 +419,7 @@ def route_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """WITH t AS (SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN 'Your Page update: ' || substr(text, 1, 40)
+    """WITH t AS (SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN 'Your Page update: ' || text
           WHEN 1 THEN 'Weekly Update' WHEN 2 THEN 'Content export' ELSE text END AS subject,
         CASE role WHEN 'user' THEN 'Page <notify@LinkedIn.example>' ELSE role || '@mail.example' END AS sender
       FROM conversations)
@@ -429,7 +434,7 @@ def mail_filters(spark: SparkSession, folder: str) -> DataFrame:
     body = F.col("text")
     subject = by_turn(
         F.col("turn"),
-        F.concat(F.lit("Your Page update: "), F.substring(body, 1, 40)), F.lit("Weekly Update"), F.lit("Content export"),
+        F.concat(F.lit("Your Page update: "), body), F.lit("Weekly Update"), F.lit("Content export"),
         body,
     )
     sender = F.when(F.col("role") == "user", "Page <notify@LinkedIn.example>").otherwise(

@@ -22,7 +22,7 @@ def safe_int(x: str) -> str:
 def whole_number(x: str) -> str:
     return (
         f"CASE WHEN regexp_matches(trim({x}), '^[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?$') "
-        f"THEN try_cast(trim({x}) AS DOUBLE) END"
+        f"AND isfinite(coalesce(try_cast(trim({x}) AS DOUBLE), 0.0)) THEN try_cast(trim({x}) AS DOUBLE) END"
     )
 
 

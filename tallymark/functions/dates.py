@@ -15,17 +15,18 @@ from .strings import strip
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 _MONTH = (
     "(jan|january|feb|february|mar|march|apr|april|may|jun|june|jul|july|aug|august|"
-    "sep|september|oct|october|nov|november|dec|december)"
+    "sep|sept|september|oct|october|nov|november|dec|december)"
 )
-_LAST_CENTURY = r"^(\d{1,2}([/-])\d{1,2}\2)(69|[7-9]\d)$"
-_THIS_CENTURY = r"^(\d{1,2}([/-])\d{1,2}\2)(\d{2})$"
-_SLASHED = r"^(\d{1,2})([/-])(\d{1,2})\2(\d{4})$"
+_WEEKDAY = r"(?:(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?[.,]?\s+)?"
+_LAST_CENTURY = r"^(\d{1,2}([/.-])\d{1,2}\2)(69|[7-9]\d)$"
+_THIS_CENTURY = r"^(\d{1,2}([/.-])\d{1,2}\2)(\d{2})$"
+_SLASHED = r"^(\d{1,2})([/.-])(\d{1,2})\2(\d{4})$"
 _ISO = r"^(\d{4})([/-])(\d{1,2})\2(\d{1,2})$"
 _COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
-_MONTH_FIRST = rf"(?i)^{_MONTH}\s+(\d{{1,2}})(?:,\s*|\s+)(\d{{4}})$"
-_DAY_FIRST = rf"(?i)^(\d{{1,2}})[\s-]+{_MONTH}[\s,-]+(\d{{4}})$"
+_MONTH_FIRST = rf"(?i)^{_WEEKDAY}{_MONTH}\.?\s+(\d{{1,2}})(?:,\s*|\s+)(\d{{4}}|\d{{2}})$"
+_DAY_FIRST = rf"(?i)^{_WEEKDAY}(\d{{1,2}})[\s-]+{_MONTH}\.?[\s,-]+(\d{{4}}|\d{{2}})$"
 _CLOCK = (
-    r"^(.*?)[T\s,]+(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?\s*([AaPp][Mm])?\s*(Z|[+-]\d{2}:?\d{2})?$"
+    r"^(.*?)[T\s,]+(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?\s*([AaPp][Mm])?\s*(Z|UTC|GMT|[+-]\d{2}:?\d{2})?$"
 )
 
 
@@ -55,7 +56,9 @@ def parse_day(text: Column, day_first: bool = False) -> Column:
         .when(text.rlike(_DAY_FIRST), _named_day(text, _DAY_FIRST, 2, "$3-m-$1"))
         .when(text.rlike(_COMPACT), F.regexp_replace(text, _COMPACT, "$1-$2-$3"))
     )
-    day = F.when(text.rlike(r"^\d{1,2}[/-]\d{1,2}[/-]"), slashed).otherwise(spelled.try_cast("date"))
+    day = F.when(text.rlike(r"^\d{1,2}[/.-]\d{1,2}[/.-]"), slashed).otherwise(
+        F.regexp_replace(F.regexp_replace(spelled, r"^(69|[7-9]\d)-", "19$1-"), r"^(\d{2})-", "20$1-").try_cast("date")
+    )
     return day.cast("timestamp")
 
 
@@ -77,7 +80,7 @@ def split_clock(text: Column) -> tuple[Column, Column]:
     )
     minute, second = _int(clock(3)), F.coalesce(_int(clock(4)), F.lit(0))
     micros = F.coalesce(F.rpad(clock(5), 6, "0").try_cast("bigint"), F.lit(0))
-    zone = F.regexp_replace(clock(7), "[:Z]", "")
+    zone = F.regexp_replace(clock(7), "[:A-Z]", "")
     zone_minutes = F.when(
         zone != "",
         F.when(zone.startswith("-"), -1).otherwise(1)

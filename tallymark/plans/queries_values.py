@@ -110,7 +110,9 @@ _DATE_TEXTS = f"""SELECT o_orderkey, {turn_sql(
     "strftime(o_orderdate, '%B %d, %Y')", "strftime(o_orderdate, '%b %d, %Y')",
     "upper(strftime(o_orderdate, '%d %B %Y'))", "strftime(o_orderdate, '%d %b %Y')", "'31/02/2024'", "'soon'",
     "''", "NULL", "strftime(o_orderdate, '%Y%m%d')", "'  ' || strftime(o_orderdate, '%-d/%-m/%Y') || ' '",
-    "'5/6/75'", "'29-02-2023'")} AS raw FROM orders"""
+    "'5/6/75'", "'29-02-2023'", "strftime(o_orderdate, '%m.%d.%Y')", "strftime(o_orderdate, '%d.%m.%Y')",
+    "replace(strftime(o_orderdate, '%b %-d, %Y'), 'Sep ', 'Sept ')", "strftime(o_orderdate, '%-d %b %y')",
+    "strftime(o_orderdate, '%A, %B %-d, %Y')", "strftime(o_orderdate, '%a, %d %b %Y')")} AS raw FROM orders"""
 
 
 def _date_texts(orders: DataFrame) -> DataFrame:
@@ -127,6 +129,8 @@ def _date_texts(orders: DataFrame) -> DataFrame:
             shown("MMMM dd, yyyy"), shown("MMM dd, yyyy"), F.upper(shown("dd MMMM yyyy")), shown("dd MMM yyyy"),
             F.lit("31/02/2024"), F.lit("soon"), F.lit(""), F.lit(None).cast("string"), shown("yyyyMMdd"),
             F.concat(F.lit("  "), shown("d/M/yyyy"), F.lit(" ")), F.lit("5/6/75"), F.lit("29-02-2023"),
+            shown("MM.dd.yyyy"), shown("dd.MM.yyyy"), F.replace(shown("MMM d, yyyy"), F.lit("Sep "), F.lit("Sept ")),
+            shown("d MMM yy"), shown("EEEE, MMMM d, yyyy"), shown("EEE, dd MMM yyyy"),
         ).alias("raw"),
     )
 
@@ -152,13 +156,15 @@ _TIME_TEXTS = turn_sql(
     "event_id",
     "strftime(ts, '%Y-%m-%d %H:%M:%S')", "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')", "strftime(ts, '%m/%d/%Y %H:%M')",
     "strftime(ts, '%b %d, %Y %I:%M %p')", "strftime(ts, '%Y-%m-%dT%H:%M:%S+02:00')", "strftime(ts, '%Y-%m-%d 25:%M')",
+    "strftime(ts, '%a, %d %b %Y %H:%M:%S GMT')", "strftime(ts, '%-m/%-d/%Y %H:%M UTC')",
 )
 
 
 @query(
     f"""SELECT event_id, {_TIME_TEXTS} AS raw,
       strftime({turn_sql('event_id', "date_trunc('second', ts)", "ts", "date_trunc('minute', ts)",
-                         "date_trunc('minute', ts)", "date_trunc('second', ts) - INTERVAL 2 HOUR", "NULL")},
+                         "date_trunc('minute', ts)", "date_trunc('second', ts) - INTERVAL 2 HOUR", "NULL",
+                         "date_trunc('second', ts)", "date_trunc('minute', ts)")},
         '%Y-%m-%d %H:%M:%S.%f') AS moment
     FROM events"""
 )
@@ -172,6 +178,7 @@ def parse_date_times(spark: SparkSession, folder: str) -> DataFrame:
         F.col("event_id"),
         shown("yyyy-MM-dd HH:mm:ss"), shown("yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), shown("MM/dd/yyyy HH:mm"),
         shown("MMM dd, yyyy hh:mm a"), shown("yyyy-MM-dd'T'HH:mm:ss+02:00"), shown("yyyy-MM-dd 25:mm"),
+        shown("EEE, dd MMM yyyy HH:mm:ss 'GMT'"), shown("M/d/yyyy HH:mm 'UTC'"),
     )
     texts = table(spark, folder, "events").select("event_id", raw.alias("raw"))
     day, shift = dates.split_clock(F.col("raw"))

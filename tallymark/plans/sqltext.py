@@ -87,12 +87,18 @@ def day_from_text(x: str, day_first: bool = False) -> str:
         f"regexp_replace({x}, '(\\d{{2}})$', CASE WHEN try_cast(right({x}, 2) AS INT) >= 69 "
         f"THEN '19\\1' ELSE '20\\1' END)"
     )
+    month_day["."], day_month["."] = "%m.%d.%Y", "%d.%m.%Y"
+    x = f"regexp_replace(regexp_replace({x}, '^[A-Z][a-z]+, ', ''), '^Sept ', 'Sep ')"
+    named_year = (
+        f"regexp_replace({x}, ' (\\d{{2}})$', CASE WHEN try_cast(right({x}, 2) AS INT) >= 69 THEN ' 19\\1' ELSE ' 20\\1' END)"
+    )
     cases = []
-    for sep in "/-":
+    for sep in "/-.":
+        mark = "[.]" if sep == "." else sep
         formats = ", ".join(f"'{o[sep]}'" for o in orders)
-        cases.append(f"WHEN regexp_matches({x}, '^\\d{{1,2}}{sep}\\d{{1,2}}{sep}\\d{{4}}$') THEN try_strptime({x}, [{formats}])")
+        cases.append(f"WHEN regexp_matches({x}, '^\\d{{1,2}}{mark}\\d{{1,2}}{mark}\\d{{4}}$') THEN try_strptime({x}, [{formats}])")
         cases.append(
-            f"WHEN regexp_matches({x}, '^\\d{{1,2}}{sep}\\d{{1,2}}{sep}\\d{{2}}$') THEN try_strptime({two_digit}, [{formats}])"
+            f"WHEN regexp_matches({x}, '^\\d{{1,2}}{mark}\\d{{1,2}}{mark}\\d{{2}}$') THEN try_strptime({two_digit}, [{formats}])"
         )
     cases.append(f"WHEN regexp_matches({x}, '^\\d{{4}}[/-]\\d{{1,2}}[/-]\\d{{1,2}}$') THEN try_strptime({x}, ['%Y-%m-%d', '%Y/%m/%d'])")
     cases.append(
@@ -101,5 +107,6 @@ def day_from_text(x: str, day_first: bool = False) -> str:
     cases.append(
         f"WHEN regexp_matches({x}, '^\\d{{1,2}} [A-Za-z]+ \\d{{4}}$') THEN try_strptime({x}, ['%d %B %Y', '%d %b %Y'])"
     )
+    cases.append(f"WHEN regexp_matches({x}, '^\\d{{1,2}} [A-Za-z]+ \\d{{2}}$') THEN try_strptime({named_year}, '%d %b %Y')")
     cases.append(f"WHEN regexp_matches({x}, '^\\d{{8}}$') THEN try_strptime({x}, '%Y%m%d')")
     return "CASE " + " ".join(cases) + " END"

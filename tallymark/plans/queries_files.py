@@ -7,7 +7,7 @@ size of the table.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import constants as K
 from ..config import Settings
@@ -446,3 +446,66 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
         files, lambda batch, n: ingest.ingest_files(batch, tables, NOW, f"stream-{n}"), scratch(spark, "offsets")
     ).awaitTermination()
     return _shown(tables.read("post_analytics")).drop("created", "updated")
+
+
+_HALVES = """(SELECT user_id, event_type, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'b1' ELSE 'b2' END AS batch FROM events)"""
+
+
+def _user_files(events: DataFrame) -> DataFrame:
+    """Posts exports with one post per user, at most 100 users a file."""
+    key = F.col("user_id").cast("string")
+    rows = activity(events, F.col("user_id"))
+    metrics = [c for c in rows.columns if c != "user_id"]
+    return as_csv_files(
+        rows.select(
+            F.concat(F.lit("Post of "), key).alias("Post title"),
+            F.concat(F.lit("https://page.example.com/feed/update/urn:li:activity:"), key).alias("Post link"),
+            F.lit("01/05/2024").alias("Created date"), *metrics, F.col("user_id").alias("n"),
+            F.format_string("posts-%06d.csv", F.floor(F.col("user_id") / 100)).alias("f"),
+        ),
+        F.col("f"), "n", hide=("f",),
+    )
+
+
+@query(
+    f"""WITH posts AS (SELECT batch, user_id, count(*) FILTER (WHERE event_type = 'view') AS seen FROM {_HALVES} GROUP BY ALL),
+    files AS (SELECT batch, user_id // 100 AS file, count(*) AS n, sum(seen) AS seen FROM posts GROUP BY ALL)
+    SELECT 'history' AS name, CASE batch WHEN 'b1' THEN '2024-01-16' ELSE '2024-02-01' END AS part, count(*) AS n,
+      CAST(sum(seen) AS BIGINT) AS total FROM posts GROUP BY batch
+    UNION ALL SELECT 'ledger', batch, count(*), CAST(sum(n + 1) AS BIGINT) FROM files GROUP BY batch
+    UNION ALL SELECT 'summaries', batch, count(*), CAST(sum(seen) AS BIGINT) FROM files GROUP BY batch
+    UNION ALL SELECT 'summaries', 'd1', 2, 13
+    UNION ALL SELECT 'company', 'company', 1, 7
+    UNION ALL SELECT 'posts', 'kept', count(DISTINCT user_id), 0 FROM posts WHERE batch = 'b2'
+      AND user_id NOT IN (SELECT user_id FROM posts WHERE batch = 'b1') HAVING count(DISTINCT user_id) > 0"""
+)
+def stored_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """All stored tables after two batches, each given twice, digests under a used id, and a clean-up."""
+    early, late = split_events(spark, folder)
+    first = NOW.at(NOW.as_of.replace(month=1, day=16, hour=0))
+    tables = PageTables(spark, scratch(spark, "tables"), Settings(key_buckets=4))
+    for _ in range(2):
+        ingest.ingest_files(_user_files(early), tables, first, "b1")
+        ingest.ingest_files(_user_files(late), tables, NOW, "b2")
+    mails = table(spark, folder, "nation").where("n_nationkey < 2").select(
+        F.concat(F.lit("m"), F.col("n_nationkey").cast("string")).alias("path"),
+        F.concat((F.col("n_nationkey") + 6).cast("string"), F.lit(" impressions, 7 followers")).alias("body"),
+    )
+    ingest.ingest_digests(mails, tables, NOW, "b1")
+    ingest.clean_up(tables, NOW, "b1", days=10)
+
+    def told(rows: DataFrame, name: str, part: Column, total: Column) -> DataFrame:
+        return rows.groupBy(part.cast("string").alias("part")).agg(
+            F.count("*").alias("n"), F.sum(total).cast("long").alias("total")
+        ).select(F.lit(name).alias("name"), "part", "n", "total")
+
+    summaries = tables.read("analytics_history")
+    from_mails = F.col("followers_count") == 7
+    return (
+        told(tables.read("post_metrics_history"), "history", F.col("observed_date"), F.col("impressions"))
+        .unionByName(told(tables.read("file_ledger"), "ledger", F.col("batch_id"), F.col("rows")))
+        .unionByName(told(summaries, "summaries", F.when(from_mails, "d1").otherwise(F.col("batch_id")),
+                          F.col("impressions")))
+        .unionByName(told(tables.read("company_analytics"), "company", F.col("company_id"), F.col("followers_count")))
+        .unionByName(told(tables.read("post_analytics"), "posts", F.lit("kept"), F.lit(0)))
+    )

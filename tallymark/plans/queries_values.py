@@ -475,7 +475,8 @@ def text_chunks(documents: DataFrame) -> DataFrame:
 
 _HINTS = "post|title|link|impressions|views|click|ctr|likes|comments|repost|share|engagement|content type|created|date|published"
 _LINES = f"""SELECT doc_id, i AS row_idx, list_filter(list_transform(string_split(lines[i + 1], ' '),
-        lambda c: lower({q.strip('c')})), lambda c: c <> '') AS tokens
+        lambda c: lower({q.strip('c')})), lambda c: c <> '') AS tokens,
+        len(string_split(lines[i + 1], ' ')) AS cells, len(lines) AS total
       FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents), unnest(range(len(lines))) AS r(i)
       WHERE i < 10"""
 _INDICATORS = [
@@ -488,11 +489,14 @@ _HITS = " + ".join(f"len(list_filter(tokens, lambda c: contains(c, '{w}')))" for
 @query(
     f"""WITH l AS ({_LINES}), s AS (SELECT doc_id, row_idx,
         len(tokens) + len(list_filter(tokens, lambda c: regexp_matches(c, '{_HINTS}'))) AS score, {_HITS} AS hits,
-        len(tokens) AS filled FROM l)
+        len(tokens) AS filled, cells, total FROM l)
     SELECT doc_id, CAST(arg_min(row_idx, (-score, row_idx)) AS INT) AS by_score,
       CAST(coalesce(min(row_idx) FILTER (WHERE hits >= 2), 0) AS INT) AS by_indicators,
       CAST(CASE WHEN max(filled) FILTER (WHERE row_idx = 0) >= 2 THEN 0
-        ELSE arg_min(row_idx, (-score, row_idx)) END AS INT) AS auto
+        ELSE arg_min(row_idx, (-score, row_idx)) END AS INT) AS auto,
+      CAST(coalesce(min(row_idx) FILTER (WHERE row_idx < 6 AND row_idx + 1 < total AND (filled >= 2 OR filled > cells - filled)),
+        min(row_idx) FILTER (WHERE hits >= 2), 0) AS INT) AS named,
+      CAST(coalesce(min(row_idx) FILTER (WHERE row_idx < 3 AND row_idx + 1 < total AND filled >= 2), 0) AS INT) AS two_names
     FROM s GROUP BY doc_id"""
 )
 def header_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -502,6 +506,8 @@ def header_rows(spark: SparkSession, folder: str) -> DataFrame:
         headers.by_score(head).alias("by_score"),
         headers.by_indicators(head).alias("by_indicators"),
         headers.header_position(head, rows, "auto").alias("auto"),
+        headers.header_position(head, rows, "named").alias("named"),
+        headers.header_position(head, rows, "two_names").alias("two_names"),
     )
 
 

@@ -107,7 +107,7 @@ def test_workbook_that_is_csv_and_archives(spark, tmp_path, settings):
     ledger = maintenance.ledger_rows(files.read_chunks(spark, str(tmp_path)), settings, "b")
     states = {r.file_name: r.status for r in ledger.collect()}
     assert states == {
-        "fake.xlsx": "ok", "broken.xlsx": "ok", "pack.zip": "ok", "first.zip": "ok", "nested.zip": "ok",
+        "fake.xlsx": "ok", "broken.xlsx": "unreadable", "pack.zip": "ok", "first.zip": "ok", "nested.zip": "ok",
         "nothing.zip": "empty", "bad.zip": "unreadable", "empty.csv": "empty", "old.xls": "unsupported",
     }
 
@@ -235,6 +235,21 @@ def test_messages(spark, tmp_path, settings):
     assert posts.posts_from_chunks(decoded, settings).first().post_title == "hello"
 
 
+def test_odd_mails_cost_only_what_is_odd(spark, tmp_path):
+    write(
+        tmp_path,
+        raw__eml=b"Subject: page update caf\xe9 \xff\nFrom: a@linkedin.example\nDate: \xe9t\xe9\n\n5 followers",
+        charset__eml=b"Subject: =?x-none?q?page_update?=\nFrom: a@linkedin.example\nContent-Type: text/plain; charset=x-none\n\n6 followers",
+        nothing__eml=b"",
+        noise__eml=bytes(range(256)) * 20,
+        good__eml=b"Subject: Page update\nFrom: a@linkedin.example\n\n7 followers",
+    )
+    rows = {r.path.split("/")[-1]: r for r in mail.decode_messages(spark.read.format("binaryFile").load(str(tmp_path))).collect()}
+    assert len(rows) == 4, "Spark hands out no files without bytes"
+    assert rows["good.eml"].body == "7 followers" and rows["charset.eml"].body == "6 followers" and "5 followers" in rows["raw.eml"].body
+    assert "page update" in rows["raw.eml"].subject
+
+
 def test_snapshots(spark, tmp_path):
     for i, clicks in enumerate((122, 0)):
         content = {

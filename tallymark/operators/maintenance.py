@@ -74,3 +74,10 @@ def write_validation_report(posts: DataFrame, folder: str, batch_id: str) -> str
     path = f"{folder.rstrip('/')}/validation_{batch_id}"
     validation_rows(posts).hint("rebalance", "source_file").write.mode("overwrite").partitionBy("source_file").option("header", True).csv(path)
     return path
+
+
+def write_date_report(found: DataFrame, folder: str, batch_id: str) -> str:
+    """The result of ``reports.ambiguous_dates`` as CSV, one folder per batch."""
+    path = f"{folder.rstrip('/')}/date_discrepancies_{batch_id}"
+    found.write.mode("overwrite").option("header", True).csv(path)
+    return path

@@ -69,6 +69,10 @@ class PageTables:
         hadoop_path, system = self._file_system(path)
         return system.exists(hadoop_path)
 
+    def missing(self) -> list[str]:
+        """Target tables that have no folder, say because someone removed it."""
+        return [name for name in TABLES if not self._exists(self.path(name))]
+
     # --- reading --------------------------------------------------------------------
     def _partitioned(self, name: str, df: DataFrame) -> DataFrame:
         """With the partition column, which the key determines."""

@@ -208,6 +208,21 @@ def test_reclassify_stored(spark, place, settings):
     assert posts_of(tables)["my video"].post_type == "video"
 
 
+def test_missing_tables_are_named(spark, place, settings):
+    tables = PageTables(spark, place[1], settings)
+    assert tables.missing() == []
+    os.rename(f"{place[1]}/file_ledger", f"{place[1]}/_elsewhere")
+    assert tables.missing() == ["file_ledger"]
+
+
+def test_date_report(spark, place, settings):
+    rows = spark.createDataFrame([("u1", "03/04/2024", None), ("u2", "13/04/2024", None)], "url string, raw string, start timestamp")
+    found = reports.ambiguous_dates(rows, F.col("raw"), F.col("start"), settings, F.col("url"))
+    path = maintenance.write_date_report(found, place[1], "b1")
+    written = spark.read.option("header", True).csv(path).collect()
+    assert [(r.post_url, r.raw_created, r.chosen) for r in written] == [("u1", "03/04/2024", "dmy")]
+
+
 def test_expired_files_are_only_listed(spark, place, settings):
     put(place[0], "a.csv", "x")
     put(place[0], "b.csv", "x")

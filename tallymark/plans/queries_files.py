@@ -335,11 +335,11 @@ def json_snapshots(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _written_exports(spark: SparkSession, folder: str, label: str) -> str:
-    """The hourly export as CSV files whose names and rows follow the days."""
+    """The hourly export as CSV files whose names and rows follow the days; a day of many users spans files."""
     export = hourly_export(table(spark, folder, "events"))
     path = scratch(spark, label)
-    ordered = export.repartitionByRange("source_file").sortWithinPartitions("source_file", "arrival")
-    ordered.drop("source_file", "arrival").write.option("header", True).csv(path)
+    ordered = export.repartitionByRange("source_file", F.col("arrival.row")).sortWithinPartitions("source_file", "arrival")
+    ordered.drop("source_file", "arrival").write.option("header", True).option("maxRecordsPerFile", 100_000).csv(path)
     return path
 
 

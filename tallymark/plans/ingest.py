@@ -45,7 +45,7 @@ def store_posts(tables: PageTables, key: str, batch_id: str, posts: DataFrame, s
             key,
             "new_posts",
             lambda: merge.insert_only(
-                tables.read("post_analytics"), _with_all_columns(posts, "post_analytics"), K.POST_KEY
+                tables.near("post_analytics", posts), _with_all_columns(posts, "post_analytics"), K.POST_KEY
             ),
         )
         tables.merge(
@@ -100,7 +100,7 @@ def store_demographics(tables: PageTables, key: str, records: DataFrame, setting
     if settings.manual:
         fresh = tables.stage(
             key, "new_demographics",
-            lambda: merge.new_demographics(tables.read("follower_analytics"), records),
+            lambda: merge.new_demographics(tables.near("follower_analytics", records), records),
         )
         tables.merge(
             "follower_analytics", key, fresh,

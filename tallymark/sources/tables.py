@@ -101,6 +101,10 @@ class PageTables:
         by = _PARTITION[name][0]
         return self._stored(name).where(F.col(by).isin(partitions)).select(*table_schema(name).names)
 
+    def near(self, name: str, rows: DataFrame) -> DataFrame:
+        """The stored rows of the partitions that hold the keys of ``rows``; the others are not read."""
+        return self._part(name, self._partitions(name, rows))
+
     def _partitions(self, name: str, rows: DataFrame) -> list:
         """The partitions of some rows: at most one value per bucket or day, however many rows."""
         by = _PARTITION[name][0]
@@ -140,8 +144,7 @@ class PageTables:
         """Replace the touched partitions by ``change(stored rows of them, incoming)``."""
 
         def changed() -> DataFrame:
-            stored = self._part(name, self._partitions(name, incoming))
-            return self._partitioned(name, change(stored, incoming))
+            return self._partitioned(name, change(self.near(name, incoming), incoming))
 
         self._publish(name, self.stage(key, f"merged_{name}", changed))
 

@@ -10,9 +10,11 @@ all is published, the staged rows go and the mark stays with the counts.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import constants as K
 from ..config import Settings
@@ -46,10 +48,9 @@ class PageTables:
 
     def __init__(self, spark: SparkSession, root: str, settings: Settings):
         self.spark, self.root = spark, root.rstrip("/")
-        layout = f"{self.root}/_layout"
-        if not self._exists(f"{layout}/_SUCCESS"):
-            spark.range(1).select(F.lit(settings.key_buckets).alias("key_buckets")).write.mode("overwrite").parquet(layout)
-        self.buckets = spark.read.parquet(layout).first()["key_buckets"]
+        if self._note(f"{self.root}/_layout/key_buckets") is None:
+            self._keep(f"{self.root}/_layout/key_buckets", str(settings.key_buckets))
+        self.buckets = int(self._note(f"{self.root}/_layout/key_buckets"))
         for name in TABLES:
             if not self._exists(self.path(name)):
                 empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in table_schema(name)])
@@ -73,6 +74,24 @@ class PageTables:
         """Target tables that have no folder, say because someone removed it."""
         return [name for name in TABLES if not self._exists(self.path(name))]
 
+    def _keep(self, path: str, text: str) -> None:
+        """A short text as a file that is there whole or not at all."""
+        final, system = self._file_system(path)
+        begun, _ = self._file_system(f"{path}.begun")
+        stream = system.create(begun, True)
+        stream.writeUTF(text)
+        stream.close()
+        system.rename(begun, final)
+
+    def _note(self, path: str) -> str | None:
+        place, system = self._file_system(path)
+        if not system.exists(place):
+            return None
+        stream = system.open(place)
+        text = stream.readUTF()
+        stream.close()
+        return text
+
     # --- reading --------------------------------------------------------------------
     def _partitioned(self, name: str, df: DataFrame) -> DataFrame:
         """With the partition column, which the key determines."""
@@ -111,24 +130,24 @@ class PageTables:
         return [r[0] for r in self._partitioned(name, rows).select(by).distinct().collect()]
 
     # --- batches -------------------------------------------------------------------
-    def begin(self, key: str, mark: Callable[[], str]) -> Row | None:
+    def begin(self, key: str, mark: Callable[[], str]) -> dict | None:
         """The counts of a batch that is done, or None while it is not.
 
         The mark of the input is kept when the batch first begins.
         """
         place = f"{self.root}/_batches/{key}"
-        now = mark()
-        if not self._exists(f"{place}/mark/_SUCCESS"):
-            self.spark.range(1).select(F.lit(now).alias("mark")).write.mode("overwrite").parquet(f"{place}/mark")
-        known = self.spark.read.parquet(f"{place}/mark").first()["mark"]
-        if known != now:
+        now = hashlib.md5(mark().encode()).hexdigest()
+        known = self._note(f"{place}/mark")
+        if known is None:
+            self._keep(f"{place}/mark", now)
+        elif known != now:
             raise ValueError(f"batch {key} was used with another input")
-        return self.spark.read.parquet(f"{place}/counts").first() if self._exists(f"{place}/counts/_SUCCESS") else None
+        counts = self._note(f"{place}/counts")
+        return None if counts is None else json.loads(counts)
 
     def finish(self, key: str, **counts: int) -> None:
         """Keep the counts of a batch and drop its staged rows."""
-        row = self.spark.range(1).select("id", *[F.lit(n).cast("long").alias(name) for name, n in counts.items()])
-        row.write.mode("overwrite").parquet(f"{self.root}/_batches/{key}/counts")
+        self._keep(f"{self.root}/_batches/{key}/counts", json.dumps(counts))
         path, system = self._file_system(f"{self.root}/_staging/{key}")
         system.delete(path, True)
 

@@ -92,14 +92,17 @@ def read_chunks(spark: SparkSession, folder: str, manual: bool = False) -> DataF
 
 # --- large CSV -----------------------------------------------------------------------
 def read_large_csv(
-    spark: SparkSession, paths: str | list[str], multiline: bool = False, encoding: str = "UTF-8"
+    spark: SparkSession, paths: str | list[str], multiline: bool | None = None, encoding: str = "UTF-8"
 ) -> DataFrame:
     """CSV files of one layout and encoding, header on row 0, through Spark's own reader.
 
-    One file splits over many tasks; with line breaks inside cells (``multiline=True``,
-    see ``line_breaks_in_cells``) each is one task. A file whose header differs from the first one fails instead of being
+    One file splits over many tasks, unless cells hold line breaks: then each file is one
+    task. A pass over the lines in parallel finds out; ``multiline`` says it beforehand,
+    and must for encodings that ASCII is not part of. A file whose header differs from the first one fails instead of being
     read into the wrong columns. ``arrival`` orders the rows of a file.
     """
+    if multiline is None:
+        multiline = bool(line_breaks_in_cells(spark, paths).agg(F.bool_or("line_breaks_in_cells")).first()[0])
     df = (
         spark.read.option("header", True).option("multiLine", multiline).option("enforceSchema", False)
         .option("escape", '"').option("inferSchema", False).option("encoding", encoding).csv(paths)

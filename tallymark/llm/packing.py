@@ -167,7 +167,8 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = 4096
     before = written(
         per_task.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")), "earlier-pieces"
     )
-    ranked = pieces.join(before, ["length", "task"]).select(
+    # Its rows grow with the tasks and compress far better than they unpack, so it is not broadcast.
+    ranked = pieces.join(before.hint("merge"), ["length", "task"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("nth")).alias("rank")
     )
     return ranked.mapInArrow(

@@ -2,10 +2,11 @@
 
 A text is put into a canonical form (case, punctuation, copyright lines, equivalent
 spellings) and its digest is joined with those of known licences, put into the same form
-by the same columns. Three scopes are looked up: the whole document, each paragraph
-(lines between blank ones) and each line, so a licence inside a document is found too.
-Nothing is compared but digests: the join carries 16-byte keys, and the known side is
-the list of licences.
+by the same columns. Four scopes are looked up: the whole document, each paragraph (lines
+between blank ones), each line, and passages: runs of paragraphs that start like a known
+text and are as long as it, wherever they stand in a document. Passages are cut without
+title lines and lines that only name a copyright holder. Nothing is compared but digests:
+the join carries 16-byte keys, and the known side is the list of licences.
 """
 
 from __future__ import annotations
@@ -108,6 +109,20 @@ VERBS = ["licensed under ", "released under ", "distributed under ", "available
 # Fixed value: canonical lines that say whose copyright it is.
 RIGHTS = r"^ *(copyright (c )?|c )\d{4}|^ *all rights reserved *$"
 
+# Canonical lines that passages are cut at: titles, and rights without a year. A holder's name is no word that
+# follows "copyright" within the texts of licences.
+TITLES = (
+    r"^(the )?(mit|expat|x11|isc|zlib|zlib libpng|0bsd|(zero clause |simplified |new |modified |revised )?bsd( (zero|[0-4]|two|three) clause)?"
+    r"|apache|mozilla public|gnu (lesser |library |affero )?general public)( software)? license"
+    r"( (mit|expat|isc|zlib|0bsd|bsd|bsd [0-4] clause|v?\d( \d)*|version \d( \d)*))?$"
+)
+HOLDERS = (
+    r"^copyright (c |by )?(?!(a|also|an|and|are|as|assignment|by|c|claim|conditions|disclaimer|doctrines?|for|given|holders?|if|in|interests?|is|it|laws?|licen[cs]es?|licensed"
+    r"|like|line|notices?|of|on|or|owners?|owned|ownership|patent|permission|protection|related|resulting|rights?|statements?|status|that|the copyright|those"
+    r"|terms|this|to|treaty|under|with|works?)\b)[\p{L}\p{N}]"
+)
+HEAD = 32  # letters by which the first paragraph of a known text is recognised before anything is digested
+
 
 def known_texts() -> list[tuple[str, str]]:
     """``(licence, text)`` of the texts above and of all notices that subjects, verbs and names make."""
@@ -156,32 +171,74 @@ def scopes(lines: Column) -> Column:
     return F.concat(whole, parts, single)
 
 
-def known_digests(spark: SparkSession, known: Iterable[tuple[str, str]]) -> DataFrame:
-    """``(digest, licence)``, one row per canonical form; of several names of one form the first in order."""
+def bodies(lines: Column) -> Column:
+    """The paragraphs of canonical lines, each as one line, without titles and rights; these end a paragraph."""
+    cut = F.transform(F.filter(lines, lambda x: x.isNotNull()), lambda x: F.when(~F.rlike(x, F.lit(f"{TITLES}|{HOLDERS}")), x).otherwise(""))
+    parts = F.transform(F.split(F.array_join(cut, "\n"), "\n{2,}", -1), lambda x: F.trim(F.translate(x, "\n", " ")))
+    return F.filter(parts, lambda x: x != "")
+
+
+def passages(parts: Column, lengths: dict[str, list[int]]) -> Column:
+    """The runs of paragraphs to look up, as in ``scopes``; ``nth`` is the first paragraph of ``parts``.
+
+    ``lengths`` are those of the known texts (letters, one blank between paragraphs), by the head of their first
+    paragraph. A run ends where a paragraph does; how it is parted within does not matter.
+    """
+    nothing = F.array().cast("array<struct<scope:string,nth:int,digest:string>>")
+    if not lengths:
+        return nothing
+    by_head = F.create_map(*[F.lit(x) for head, some in lengths.items() for x in (head, some)])
+
+    def run(nth: Column, length: Column) -> Column:
+        rest = F.array_join(F.slice(parts, nth + 1, length), "\n")  # no paragraph is empty
+        ends = (F.length(rest) >= length) & F.substring(rest, length + 1, F.lit(1)).isin("", "\n")
+        said = F.translate(F.substring(rest, F.lit(1), length), "\n", " ")
+        return F.struct(F.lit("passage").alias("scope"), nth.alias("nth"), F.when(ends, _digest(said)).alias("digest"))
+
+    heads = F.transform(parts, lambda x, i: F.struct(i.cast("int").alias("nth"), F.substring(x, 1, HEAD).alias("head")))
+    starts = F.filter(heads, lambda s: s["head"].isin(list(lengths)))
+    runs = F.flatten(F.transform(starts, lambda s: F.transform(by_head[s["head"]], lambda n: run(s["nth"], n))))
+    return F.coalesce(F.filter(runs, lambda r: r["digest"].isNotNull()), nothing)
+
+
+def known_digests(spark: SparkSession, known: Iterable[tuple[str, str]]) -> tuple[DataFrame, dict[str, list[int]]]:
+    """``(digest, licence)``, one row per canonical form, and the lengths that ``passages`` asks for.
+
+    Of several names of one form the first in order stands. A text has two forms, with and without titles and rights.
+    """
     texts = spark.createDataFrame(list(known), "licence string, text string")
-    said = F.array_join(F.filter(canonical_lines(F.col("text")), lambda x: F.coalesce(x != "", F.lit(False))), " ")
-    return texts.select(_digest(said).alias("digest"), "licence").groupBy("digest").agg(F.min("licence").alias("licence"))
+    forms = texts.select("licence", canonical_lines(F.col("text")).alias("lines")).select("licence", "lines", bodies(F.col("lines")).alias("parts"))
+    said = F.array_join(F.filter("lines", lambda x: F.coalesce(x != "", F.lit(False))), " ")
+    body = F.array_join("parts", " ")
+    long = F.size("parts") > 1  # a text of one paragraph is found as that
+    lengths: dict[str, list[int]] = {}
+    found = forms.where(long).select(F.substring(F.col("parts")[0], 1, HEAD).alias("head"), F.length(body).alias("n")).distinct()
+    for r in found.orderBy("head", "n").collect():  # at most one row per known text
+        lengths.setdefault(r["head"], []).append(r["n"])
+    every = forms.select(F.explode(F.array(_digest(said), F.when(long, _digest(body)))).alias("digest"), "licence")
+    return every.where("digest is not null").groupBy("digest").agg(F.min("licence").alias("licence")), lengths
 
 
 def scan(docs: DataFrame, known: Iterable[tuple[str, str]] | None = None) -> DataFrame:
     """``(doc_id, scope, nth, licence)`` of every known licence text in ``docs``.
 
-    ``scope`` is ``document``, ``paragraph`` or ``line``; a document of one line that
-    matches comes back in all three. Null and empty texts match nothing. Rows with equal
+    ``scope`` is ``document``, ``paragraph``, ``line`` or ``passage``; what matches in
+    several comes back in each. ``nth`` of a passage counts paragraphs without titles. Null and empty texts match nothing. Rows with equal
     or null ids each come back. Other columns are not read. ``known`` are pairs of
     licence and text, by default ``known_texts()``.
     """
     spark = docs.sparkSession
-    digests = known_digests(spark, known_texts() if known is None else known)
+    digests, lengths = known_digests(spark, known_texts() if known is None else known)
     lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), canonical_lines(whole_text("text")).alias("lines"))
-    found = lines.select("doc_id", F.explode(scopes(F.col("lines"))).alias("s")).select(
+    parted = lines.select("doc_id", "lines", bodies(F.col("lines")).alias("parts"))
+    found = parted.select("doc_id", F.explode(F.concat(scopes(F.col("lines")), passages(F.col("parts"), lengths))).alias("s")).select(
         "doc_id", "s.scope", "s.nth", "s.digest"
     )
     return found.join(digests, "digest").select("doc_id", "scope", "nth", "licence")
 
 
 def sql() -> str:
-    """The same rows in DuckDB, over the whole ``documents``."""
+    """The same rows in DuckDB, over the whole ``documents``, but for passages."""
 
     def lines(text: str) -> str:
         line = "concat(' ', x, ' ')"

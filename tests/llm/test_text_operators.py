@@ -323,3 +323,18 @@ def test_licences_in_any_spelling(spark, none):
     assert whole == {2, 3, None}
     assert found[7, "line", "CC-BY-NC-4.0"] == 1 and not any(k[0] in (4, 5, 6, 8) for k in found)
     assert licences.scan(none).count() == 0
+
+
+def test_full_texts_inside_documents(spark):
+    mit, isc, bsd = (licences.TEXTS[x] for x in ("MIT", "ISC", "BSD-2-Clause"))
+    commented = "\n".join(f" * {x}" for x in ["MIT License", "Copyright Some One and others", *mit.split("\n")])
+    rows = [
+        (1, "The MIT License (MIT)\n\nCopyright (c) 2020 Some One\n\n" + mit), (2, f"/*\n{commented}\n */\n\nint main() {{}}\n"),
+        (3, f"Notices\n\n{bsd}\n\nand\n\n{mit}\n\n{mit}\n\nThe end."), (4, "ISC License\nCopyright Joyent, Inc.\n" + isc.replace("\n\n", "\n")),
+        (5, "x\n\n" + mit.rsplit("\n\n", 1)[0]), (6, mit.replace("free of charge", "for a fee") + "\n\ny"), (7, mit.split("\n\n")[0]),
+        (8, "x\n\n" + mit + "\nMore."),
+    ]
+    found = bag(licences.scan(odd_documents(spark, rows)).where("scope = 'passage'"), "doc_id", "nth", "licence")
+    assert found == Counter({
+        (1, 0, "MIT"): 1, (2, 0, "MIT"): 1, (3, 1, "BSD-2-Clause"): 1, (3, 6, "MIT"): 1, (3, 9, "MIT"): 1, (4, 0, "ISC"): 1,
+    })

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import table
 from . import (
-    bpe, embedding_dedup, language, licences, line_dedup, neighbours, packing, scoring, simhash, token_counts,
+    bpe, divergence, embedding_dedup, language, licences, line_dedup, neighbours, packing, scoring, simhash, token_counts,
 )
 from .texts import remainder, whole_text
 
@@ -111,3 +111,45 @@ def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query(licences.sql())
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan(table(spark, folder, "documents"))
+
+
+_AUDIT_SQL = """
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+  FROM documents
+), found AS (
+  SELECT d, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM found GROUP BY lang, term HAVING count(DISTINCT d) >= 3
+), sizes AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), groups AS (SELECT DISTINCT lang, source FROM docs
+), own AS (SELECT lang, source, term, count(*) AS n FROM found GROUP BY ALL
+), dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n, k.n AS lang_n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN own o USING (lang, source, term)
+), shares AS (
+  SELECT d.lang, source, term, n,
+         (1 + (1000000000 * (n + 1)::HUGEINT) // (sum(n) OVER (PARTITION BY d.lang, source) + v))::HUGEINT AS p,
+         (1 + (1000000000 * (lang_n + 1)::HUGEINT) // (total + v))::HUGEINT AS q
+  FROM dense d JOIN sizes z ON z.lang = d.lang
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), valued AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM valued QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
+@query(_AUDIT_SQL)
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"), min_docs=3, top=200)

@@ -23,7 +23,7 @@ def test_same_rows_as_sql(spark, name):
 
 
 def test_entry_has_them_all():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES}
     assert {*queries.QUERIES, "pipeline"} <= entry_file.queries().keys()
 
 

@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import table
+from ..session import scratch
 from . import (
     bpe, divergence, embedding_dedup, language, licences, line_dedup, neighbours, packing, scoring, simhash, token_counts,
+    warc, whitening,
 )
 from .texts import remainder, whole_text
 
@@ -153,3 +155,28 @@ FROM valued QUALIFY part = 'pair' OR rank <= 200
 @query(_AUDIT_SQL)
 def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"), min_docs=3, top=200)
+
+
+_ARCHIVE_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
+@query(_ARCHIVE_SQL)
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = scratch(spark, "archives")
+    captured = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("page_id"))  # the table has no times
+    warc.write_archives(table(spark, folder, "pages"), captured, archives, least=100)
+    found = warc.resolved(warc.histories(warc.read_runs(spark, archives)))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("response_page").alias("refers_to"))
+
+
+@query()
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(table(spark, folder, "embeddings"), most=4, scale=256)
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))

@@ -11,8 +11,11 @@ known states are table look-ups; a step not seen before is worked out once and e
 Two characters that no piece holds side by side always part, so the state is reset
 there. A text is cut into equal chunks that run side by side, each from its first reset;
 what a chunk does to the state that enters it is then a head to run from that state, a
-count, and a fixed state at the end; a chunk without a reset is all head. These maps
-compose from left to right.
+count, and a fixed state at the end; a chunk without a reset is all head. A prefix scan
+composes these maps, and then all heads run side by side.
+
+The table is bounded. Text that needs more of it, say of thousands of different letters,
+is cut at resets until its parts fit a fresh one.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 BLANK = "▁"
-STATES, CELLS = 200_000, 40_000_000  # of the transition table; beyond either it starts anew
+STATES, CELLS = 200_000, 40_000_000  # of the transition table, which never grows beyond them
 BUSHY = 6  # children of a trie node from which on a longer piece is taken to be possible
 CHUNK = 512
 GROUP = 2_000_000  # code points that run together
@@ -33,6 +36,10 @@ WORDS = 100_000  # remembered words after a run of blanks
 START = 0
 
 
+class Full(Exception):
+    """The transition table would outgrow its bounds."""
+
+
 class Transducer:
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
@@ -150,9 +157,14 @@ class Transducer:
 
     def _grow(self, states: int, classes: int) -> None:
         rows, columns = self.next.shape
-        if states <= rows and classes <= columns:
+        while states > rows:
+            rows *= 2
+        while classes > columns:
+            columns *= 2
+        if states > STATES or rows * columns > CELLS:
+            raise Full
+        if (rows, columns) == self.next.shape:
             return
-        rows, columns = rows * 2 if states > rows else rows, columns * 2 if classes > columns else columns
         after, emit = np.full((rows, columns), -1, np.int32), np.zeros((rows, columns), np.int8)
         after[: self.next.shape[0], : self.next.shape[1]] = self.next
         emit[: self.next.shape[0], : self.next.shape[1]] = self.emit
@@ -208,10 +220,10 @@ class Transducer:
             )
         return found
 
-    def _step(self, state: int, column: int) -> tuple[int, int]:
-        """The state after a letter, and the change in the number of tokens; entered into the table."""
-        letter, after, last, total = self.letter_of[column], [], "", 0
-        for node, before, count in self.states[state]:
+    def _after(self, state: tuple, letter: int) -> tuple[tuple, int]:
+        """The state after a letter, and the change in the number of tokens."""
+        after, last, total = [], "", 0
+        for node, before, count in state:
             down = self.child[node].get(letter)
             if down is None:
                 continue
@@ -220,14 +232,17 @@ class Transducer:
                 last, total = piece, count + self.weight(piece)
             if self._leads(before, down):
                 after.append((down, before, count))
-        key = (*((node, before, count - total) for node, before, count in after), (0, last, 0))
+        return (*((node, before, count - total) for node, before, count in after), (0, last, 0)), total
+
+    def _step(self, state: int, column: int) -> None:
+        """Work out a step that the table does not hold yet, and enter it."""
+        key, total = self._after(self.states[state], self.letter_of[column])
         number = self.number_of.get(key)
         if number is None:
+            self._grow(len(self.states) + 1, 0)
             number = self.number_of[key] = len(self.states)
             self.states.append(key)
-            self._grow(len(self.states), 0)
         self.next[state, column], self.emit[state, column] = number, total
-        return number, total
 
     # ---- runs over many texts
 
@@ -245,8 +260,6 @@ class Transducer:
     def _group(self, texts: list[str]) -> Iterator[int]:
         if not texts:
             return
-        if self.next.size > CELLS or len(self.states) > STATES:
-            self._clear()
         # Each text stands between its leading blank and a letter of no piece.
         lengths = np.array([len(t) for t in texts], np.int64)
         starts = np.cumsum(lengths + 2) - lengths - 2
@@ -280,15 +293,42 @@ class Transducer:
                 emitted[a] = self._after_blanks(codes[a:b])
                 still[a:b] = True
                 reset[b:b + 1] = True
-        for c in np.unique(letters[~still]).tolist():
-            if not self.classes[c]:
-                self.classes[c] = len(self.letter_of)
-                self.letter_of.append(c)
-        self._grow(0, len(self.letter_of))
-        columns = np.where(still, 0, self.classes[letters])
-        self._chunks(columns, reset | still, emitted)
+        self._span(np.where(still, 0, letters), reset | still, emitted, 0, n)
         return emitted
 
+    def _span(self, letters: np.ndarray, resets: np.ndarray, emitted: np.ndarray, low: int, high: int) -> None:
+        """The steps from ``low``, where the state is fresh, up to ``high``.
+
+        Where they outgrow the table, it starts anew; a span too rich for a fresh one is cut in two at a
+        reset, and one without any is worked out letter by letter beside the table.
+        """
+        for _ in range(2):
+            try:
+                emitted[low:high] += self._chunks(self._columns(letters[low:high]), resets[low:high])
+                return
+            except Full:
+                self._clear()
+        cuts = np.flatnonzero(resets[low + 1:high]) + low + 1
+        if len(cuts):
+            middle = int(cuts[min(np.searchsorted(cuts, (low + high) // 2), len(cuts) - 1)])
+            self._span(letters, resets, emitted, low, middle)
+            self._span(letters, resets, emitted, middle, high)
+            return
+        state = self.states[START]
+        for i, letter in enumerate(letters[low:high].tolist(), low):
+            if letter:
+                state, total = self._after(state, letter)
+                emitted[i] += total
+
+    def _columns(self, letters: np.ndarray) -> np.ndarray:
+        """The table's columns of the letters; letter 0 stands still."""
+        there = np.unique(letters)
+        for c in there[(there > 0) & (self.classes[there] == 0)].tolist():
+            self._grow(0, len(self.letter_of) + 1)
+            self.classes[c] = len(self.letter_of)
+            self.letter_of.append(c)
+        return self.classes[letters]
+
     def _after_blanks(self, codes: np.ndarray) -> int:
         text = codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").replace(" ", BLANK)
         found = self.after_blanks.get(text)
@@ -298,7 +338,8 @@ class Transducer:
             found = self.after_blanks[text] = sum(map(self.weight, self.merge(text)))
         return found
 
-    def _chunks(self, columns: np.ndarray, reset: np.ndarray, emitted: np.ndarray) -> None:
+    def _chunks(self, columns: np.ndarray, reset: np.ndarray) -> np.ndarray:
+        """What each letter emits. Chunks run side by side, then the heads of all chunks do."""
         n = len(columns)
         lanes = -(-n // CHUNK)
         grid = np.zeros(lanes * CHUNK, np.int32)
@@ -317,27 +358,33 @@ class Transducer:
         for t in range(CHUNK):
             column = run[t]
             state[turns[t]] = START
-            after = self.next[state, column]
-            if after.min() < 0:
-                after = self._missing(state, column, after)
-            out[t] = self.emit[state, column]
-            state = after
-        flat = out.T.reshape(-1)[:n]
-        emitted += flat
-        # The maps compose: one with a reset is constant, so what enters a chunk is the state at the end of the last
-        # constant one before it, run over the chunks without a reset in between and over the head.
-        fixed = np.flatnonzero(has)
-        froms = np.concatenate(([0], (fixed + 1) * CHUNK))
-        states = np.concatenate(([START], state[fixed]))
-        stops = np.concatenate((fixed * CHUNK + head[fixed], [n]))
-        for at, now, stop in zip(froms.tolist(), states.tolist(), stops.tolist()):
-            for i in range(at, min(stop, n)):
-                column = int(columns[i])
-                after = int(self.next[now, column])
-                if after < 0:
-                    after, _ = self._step(now, column)
-                emitted[i] += self.emit[now, column]
-                now = after
+            out[t], state = self._stepped(state, column)
+        emitted = out.T.reshape(-1)[:n].astype(np.int64)
+        # The maps compose by a prefix scan. A chunk with a reset maps all that enters it to one state, so the scan
+        # carries the last such chunk on; what enters a chunk is that one's state, run over the letters in between.
+        last = np.maximum.accumulate(np.where(has, np.arange(lanes), -1))
+        heads = np.flatnonzero(head > 0)
+        before = np.where(heads > 0, last[heads - 1], -1)
+        opens = (heads == 0) | has[heads - 1]  # a head that goes on from one before it is part of that one
+        first = heads[opens]
+        now = np.where(before[opens] >= 0, state[before[opens]], START).astype(np.int32)
+        ends = np.append(np.flatnonzero(has), lanes)
+        until = ends[np.searchsorted(ends, first)]
+        stop = np.minimum(until * CHUNK + np.append(head, 0)[until], n)
+        at = first * CHUNK
+        while len(at):
+            going = at < stop
+            at, now, stop = at[going], now[going], stop[going]
+            emitted[at], now = self._stepped(now, columns[at])
+            at = at + 1
+        return emitted
+
+    def _stepped(self, state: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What each pair of state and letter emits, and the state after it."""
+        after = self.next[state, column]
+        if len(after) and after.min() < 0:
+            after = self._missing(state, column, after)
+        return self.emit[state, column], after
 
     def _missing(self, state: np.ndarray, column: np.ndarray, after: np.ndarray) -> np.ndarray:
         unknown = np.flatnonzero(after < 0)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import written
-from .vectors import padded, usable, width
+from .vectors import level, padded, usable, width
 
 SAMPLE = 20_000  # vectors that the codebooks are fitted to
 ROUNDS = 10
@@ -90,19 +90,19 @@ def search(vectors: DataFrame, asks: Column, k: int = 5, share: float = 0.6, cel
     (and 2000 at least) are looked at per query. Null and zero vectors, those with null
     or non-finite components and rows without an id take no part; a shorter vector counts
     as filled up with zeros. A repeated id is one query with the rows of other ids as
-    candidates. Other columns are not read; no vectors give no rows.
+    candidates, each by its best score with any of the id's vectors; candidates that repeat
+    an id are rows of their own. Other columns are not read; no vectors give no rows.
     """
     spark = vectors.sparkSession
-    asked = vectors.withColumn("_asks", F.coalesce(asks, F.lit(False))).where("_asks").select(F.col("vec_id").cast("long").alias("vec_id"))
-    points = usable(vectors).where("vec_id is not null")
+    points = usable(vectors.select("vec_id", "embedding", F.coalesce(asks, F.lit(False)).alias("asks")), "asks").where("vec_id is not null")
     dims = width(points)
     if not dims:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dims += dims % 2
-    points = points.select("vec_id", padded(F.col("v"), dims).alias("v"))
+    points = points.select(F.monotonically_increasing_id().alias("row"), "vec_id", "asks", padded(F.col("v"), dims).alias("v"))
     total = points.count()
     side = cells_side or min(1024, max(4, 1 << math.ceil(math.log2(math.sqrt(total) / 8 + 1))))
-    drawn = F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / total))
+    drawn = F.pmod(F.xxhash64("row", F.lit("sample")), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / total))
     sample = points.where(drawn).select("v").toArrow()["v"] if total > SAMPLE else points.select("v").toArrow()["v"]
     fitted = _unit(_matrix(sample, dims))
     half = dims // 2
@@ -111,19 +111,21 @@ def search(vectors: DataFrame, asks: Column, k: int = 5, share: float = 0.6, cel
 
     def place(batches):
         for batch in batches:
-            unit = _unit(_matrix(batch.column(1), dims))
+            unit = _unit(_matrix(batch.column(3), dims))
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns, pa.array(nearest(unit[:, :half], shared.value[0]).astype(np.int32)),
                     pa.array(nearest(unit[:, half:], shared.value[1]).astype(np.int32)),
                 ],
-                ["vec_id", "v", "first", "second"],
+                ["row", "vec_id", "asks", "v", "first", "second"],
             )
 
-    index = written(points.mapInArrow(place, "vec_id long, v array<double>, first int, second int"), "multi-index")
+    index = written(
+        points.mapInArrow(place, "row long, vec_id long, asks boolean, v array<double>, first int, second int"), "multi-index"
+    )
     counts = np.zeros((len(books[0]), len(books[1])), np.int64)
-    for r in index.groupBy("first", "second").agg(F.count("*").alias("n")).collect():  # at most one row per cell
-        counts[r["first"], r["second"]] = r["n"]
+    cells = index.groupBy("first", "second").agg(F.count("*").alias("n")).toArrow()  # at most one row per cell
+    counts[cells["first"].to_numpy(), cells["second"].to_numpy()] = cells["n"].to_numpy()
     held = spark.sparkContext.broadcast(counts)
     enough = max(LEAST, math.ceil(share * total)) + 1  # the query's own row is among them
     blocks = np.maximum(1, -(-counts.sum(1) // BLOCK)).tolist()
@@ -142,28 +144,28 @@ def search(vectors: DataFrame, asks: Column, k: int = 5, share: float = 0.6, cel
                 firsts += by_first.keys()
                 seconds += by_first.values()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(firsts, pa.int32()), pa.array(seconds, pa.list_(pa.int32()))],
-                ["query_id", "q", "first", "seconds"],
+                [*(c.take(rows) for c in batch.columns), pa.array(firsts, pa.int32()), pa.array(seconds, pa.list_(pa.int32()))],
+                ["query_id", "q", "ask", "first", "seconds"],
             )
 
-    queries = index.join(asked.distinct(), "vec_id").select("vec_id", "v")
-    n_queries = queries.count()
-    parts = max(1, -(-n_queries // BLOCK))
-    picks = queries.mapInArrow(pick, "query_id long, q array<double>, first int, seconds array<int>")
-    left = picks.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")).withColumn(
+    # Rows that repeat an id and its vector ask once.
+    queries = written(index.where("asks").groupBy("vec_id", "v").agg(F.min("row").alias("ask")), "asking").select("vec_id", "v", "ask")
+    parts = max(1, -(-queries.count() // BLOCK))
+    picks = queries.mapInArrow(pick, "query_id long, q array<double>, ask long, first int, seconds array<int>")
+    left = picks.withColumn("part", F.pmod(F.xxhash64("ask"), F.lit(parts)).cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), blocks_of - 1))
     )
-    right = index.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks_of).cast("int")).withColumn(
+    right = index.drop("asks").withColumn("block", F.pmod(F.xxhash64("row"), blocks_of).cast("int")).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     )
     seconds = len(books[1])
 
     def rank(asking: pa.Table, there: pa.Table) -> pa.Table:
-        out_q, out_v, out_s = [], [], []
+        out_q, out_r, out_v, out_s = [], [], [], []
         if len(asking) and len(there):
-            q, x = _matrix(asking["q"], dims), _matrix(there["v"], dims)
+            q, x = level(_matrix(asking["q"], dims)), level(_matrix(there["v"], dims))
             qn, xn = _norms(q), _norms(x)
-            ids, cell = there["vec_id"].to_numpy(), there["second"].to_numpy()
+            ids, cell, numbers = there["vec_id"].to_numpy(), there["second"].to_numpy(), there["row"].to_numpy()
             for i, (query, allowed) in enumerate(zip(asking["query_id"].to_pylist(), asking["seconds"].to_pylist())):
                 open_ = np.zeros(seconds, bool)
                 open_[allowed] = True
@@ -177,12 +179,17 @@ def search(vectors: DataFrame, asks: Column, k: int = 5, share: float = 0.6, cel
                 score = (x[here] * q[i]).sum(1) / (xn[here] * qn[i])
                 best = np.lexsort((ids[here], -score))[:k]
                 out_q += [query] * len(best)
+                out_r += numbers[here[best]].tolist()
                 out_v += ids[here[best]].tolist()
                 out_s += score[best].tolist()
-        return pa.table({"query_id": pa.array(out_q, pa.int64()), "vec_id": pa.array(out_v, pa.int64()), "score": pa.array(out_s, pa.float64())})
+        return pa.table({
+            "query_id": pa.array(out_q, pa.int64()), "row": pa.array(out_r, pa.int64()), "vec_id": pa.array(out_v, pa.int64()),
+            "score": pa.array(out_s, pa.float64()),
+        })
 
     keys = ("first", "block", "part")
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(rank, "query_id long, vec_id long, score double")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(rank, "query_id long, row long, vec_id long, score double")
+    found = found.groupBy("query_id", "row", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import written
 from .components import components
-from .vectors import padded, usable, width
+from .vectors import level, padded, usable, width
 
 SAMPLE = 50_000  # vectors that the tree is fitted to
 LEAF = 4096  # vectors in a tile, about, and in a block at most by expectation
@@ -102,6 +102,7 @@ class Tree:
 def linked(a: np.ndarray, b: np.ndarray, turn: np.ndarray, threshold: float) -> np.ndarray:
     """(len(a), len(b)) whether the cosine of the vectors as given reaches the threshold."""
     dims = a.shape[1]
+    a, b = level(a), level(b)
     ua, ub = _unit(a) @ turn, _unit(b) @ turn
     steps = [s for s in STEPS if s < dims]
     rest = [(np.sqrt((ua[:, s:] ** 2).sum(1)), np.sqrt((ub[:, s:] ** 2).sum(1))) for s in steps]
@@ -194,31 +195,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     placed = written(
         classes.select("id", "n", "v").mapInArrow(place, "id long, n long, v array<double>, leaf int, at array<double>"), "tiles"
     )
-    boxes = placed.groupBy("leaf").agg(
-        F.count("*").alias("rows"), *[f(F.col("at")[d]).alias(f"{f.__name__}{d}") for f in (F.min, F.max) for d in range(leading)]
-    ).orderBy("leaf").toArrow()  # one row per tile
-    pairs = _tile_pairs(boxes, leading, threshold)
-    blocks = np.maximum(1, -(-boxes["rows"].to_numpy() // leaf_size))
-    of = {int(leaf): int(b) for leaf, b in zip(boxes["leaf"].to_numpy(), blocks)}
-    numbered, tasks = {}, []
-    for a, b in pairs:
-        for x in range(of[a]):
-            for y in range(of[b]):
-                if a != b or x <= y:
-                    tasks.append((a, x, b, y))
-    for i, (a, x, b, y) in enumerate(tasks):
-        numbered.setdefault((a, x), []).append((i, 0))
-        if (a, x) != (b, y):
-            numbered.setdefault((b, y), []).append((i, 1))
-    plan = spark.createDataFrame(
-        [(leaf, block, i, side) for (leaf, block), uses in numbered.items() for i, side in uses],
-        "leaf int, block int, task int, side int",
+    boxes = written(
+        placed.groupBy("leaf").agg(
+            F.ceil(F.count("*") / leaf_size).cast("int").alias("blocks"),
+            *[f(F.col("at")[d]).alias(f"{f.__name__}{d}") for f in (F.min, F.max) for d in range(leading)],
+        ),
+        "tile-boxes",
     )
-    block_of = F.create_map(*[F.lit(x) for pair in of.items() for x in pair]) if len(of) <= 200 else None
-    n_blocks = F.element_at(block_of, F.col("leaf")) if block_of is not None else F.col("blocks")
-    if block_of is None:
-        placed = placed.join(spark.createDataFrame(list(of.items()), "leaf int, blocks int"), "leaf")
-    sent = placed.withColumn("block", F.pmod(F.xxhash64("id"), n_blocks).cast("int")).join(plan, ["leaf", "block"]).select(
+    plan = _plan(boxes, leading, threshold)
+    placed = placed.join(boxes.select("leaf", "blocks"), "leaf")
+    sent = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).join(plan, ["leaf", "block"]).select(
         "task", "side", "id", "n", "v"
     )
 
@@ -271,14 +257,41 @@ def _others(vectors: DataFrame, good: DataFrame) -> DataFrame:
     )
 
 
-def _tile_pairs(boxes: pa.Table, leading: int, threshold: float) -> list[tuple[int, int]]:
-    """Pairs of tiles, each with itself too, whose boxes are near enough for a cosine at the threshold."""
-    leaves = boxes["leaf"].to_numpy()
-    low = np.stack([boxes[f"min{d}"].to_numpy() for d in range(leading)], 1)
-    high = np.stack([boxes[f"max{d}"].to_numpy() for d in range(leading)], 1)
-    most, out = 2 - 2 * threshold + SLACK, []
-    for i in range(len(leaves)):
-        gap = np.maximum(0, np.maximum(low[i:] - high[i], low[i] - high[i:]))
-        near = np.flatnonzero((gap * gap).sum(1) <= most) + i
-        out += [(int(leaves[i]), int(leaves[j])) for j in near]
-    return out
+def _plan(boxes: DataFrame, leading: int, threshold: float) -> DataFrame:
+    """``(leaf, block, task, side)``: which blocks of which tiles a task compares.
+
+    Tiles, each with itself too, are paired if their boxes are near enough for a cosine at the threshold.
+    Every task of this job holds all boxes, at most two per ``LEAVES``, and works out the partners of its own.
+    """
+    table = boxes.orderBy("leaf").toArrow()  # one row per tile
+    leaves, blocks = table["leaf"].to_numpy(), table["blocks"].to_numpy()
+    low = np.stack([table[f"min{d}"].to_numpy() for d in range(leading)], 1)
+    high = np.stack([table[f"max{d}"].to_numpy() for d in range(leading)], 1)
+    shared = boxes.sparkSession.sparkContext.broadcast((leaves, blocks, low, high))
+    most = 2 - 2 * threshold + SLACK
+
+    def pair(batches):
+        leaves, blocks, low, high = shared.value
+        for batch in batches:
+            for i in np.searchsorted(leaves, batch.column(0).to_numpy()).tolist():
+                gap = np.maximum(0, np.maximum(low[i:] - high[i], low[i] - high[i:]))
+                for j in (np.flatnonzero((gap * gap).sum(1) <= most) + i).tolist():
+                    x, y = (m.reshape(-1) for m in np.meshgrid(np.arange(blocks[i]), np.arange(blocks[j]), indexing="ij"))
+                    if i == j:
+                        x, y = x[x <= y], y[x <= y]
+                    other = (x != y) if i == j else np.ones(len(x), bool)
+                    task = pa.StructArray.from_arrays(
+                        [pa.array(np.concatenate((v, v[other])).astype(np.int32)) for v in (np.full(len(x), i), x, np.full(len(x), j), y)],
+                        ["a", "x", "b", "y"],
+                    )
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.concatenate((np.full(len(x), leaves[i]), np.full(other.sum(), leaves[j]))).astype(np.int32)),
+                            pa.array(np.concatenate((x, y[other])).astype(np.int32)), task,
+                            pa.array(np.repeat([0, 1], [len(x), other.sum()]).astype(np.int32)),
+                        ],
+                        ["leaf", "block", "task", "side"],
+                    )
+
+    plan = boxes.select("leaf").mapInArrow(pair, "leaf int, block int, task struct<a int, x int, b int, y int>, side int")
+    return written(plan, "tile-plan")

@@ -26,12 +26,25 @@ def _text_hash() -> Column:
     return F.xxhash64(F.col("text"))
 
 
+def _by_document(hashed: DataFrame) -> DataFrame:
+    """Each key once per document. Only ids on several rows need a distinct of their own; the rest is not shuffled."""
+    keys = hashed.select("doc_id", F.explode(F.array_distinct("keys")).alias("key")).where("key is not null")
+    again = written(
+        hashed.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"),
+        "repeated-ids",
+    )
+    if again.isEmpty():
+        return keys.select("key")
+    once = keys.join(again, "doc_id", "left_anti").select("key")
+    return once.unionByName(keys.join(again, "doc_id", "left_semi").distinct().select("key"))
+
+
 def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """``docs`` with ``text`` rid of the lines whose key stands in ``min_docs`` documents or more.
 
     Adds ``n_lines`` (before dropping) and ``n_dropped``; input columns of these names
-    are replaced, all others stay. Each row is a document of its own, also where rows
-    or ids repeat or an id is null. A null or empty text is one empty line and comes
+    are replaced, all others stay. Rows of one id are one document for the count, however
+    often it was loaded; a row without an id is a document of its own. A null or empty text is one empty line and comes
     back empty. Keys shorter than ``min_chars`` code points never drop. A document
     that loses all its lines stays with an empty text. Names starting with ``_line_``
     are reserved.
@@ -48,8 +61,7 @@ def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -
         "line-keys",
     )
     shared = written(
-        hashed.select(F.explode(F.array_distinct("keys")).alias("key")).where("key is not null")
-        .groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("key"),
+        _by_document(hashed).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("key"),
         "shared-lines",
     )
     lost = (

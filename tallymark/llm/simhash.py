@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import written
 from .components import components
+from .texts import whole_text
 
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))  # first bit, bits
 MAX_BITS = 2
@@ -121,13 +122,22 @@ def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
 def keep_one(docs: DataFrame, words: int = 3) -> DataFrame:
     """The rows of ``docs`` that stand for their group: one document of each.
 
-    Rows that repeat an id are one document: it stays if one of them stands for its
-    group, and then as one row. A row without an id stays, as nothing can name it.
+    Rows that repeat an id are decided by their own text: one whose fingerprint belongs to
+    another document's group goes, and of those that stand for one group one row stays. A
+    row without an id stays, as nothing can name it.
     """
     named = written(near_duplicates(docs, words), "near-duplicates")
-    gone = named.groupBy("doc_id").agg(F.min(F.col("doc_id") != F.col("component_id")).alias("all")).where("all").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = named.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    again = written(
+        named.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"),
+        "repeated-ids",
+    )
+    gone = named.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
     if again.isEmpty():
-        return kept
-    return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
+        return docs.join(gone, "doc_id", "left_anti")
+    once = docs.join(gone.unionByName(again), "doc_id", "left_anti")
+    many = docs.join(again, "doc_id", "left_semi").withColumn("_near_text", F.xxhash64(whole_text("text")))
+    prints = fingerprints(many.select(F.col("_near_text").alias("doc_id"), "text").dropDuplicates(["doc_id"]), words)
+    prints = prints.select(F.col("doc_id").alias("_near_text"), F.col("fp").alias("_near_fp"))
+    stands = named.where("doc_id = component_id").select("doc_id", F.col("fp").alias("_near_fp")).distinct()
+    kept = many.join(prints, "_near_text").join(stands, ["doc_id", "_near_fp"], "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(kept.select(*docs.columns))

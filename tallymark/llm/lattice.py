@@ -10,6 +10,8 @@ used over all of them, for one round of expectation maximisation.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 
@@ -141,9 +143,13 @@ class Lattice:
                 out[some] = self._sweep(self._arcs(codes), len(codes))[-1]
         return out
 
+    @cached_property
+    def _pieces(self) -> dict[str, float]:
+        return {p: float(self.log[i]) for i, p in enumerate(self.vocabulary.pieces)}
+
     def _long(self, word: str) -> float:
         """The same recursion for one word of any length."""
-        number = {p: float(self.log[i]) for i, p in enumerate(self.vocabulary.pieces)}
+        number = self._pieces
         text = BLANK + word.replace(BLANK, chr(0x10FFFF))  # inner blanks: no piece has them either
         ways = [0.0]
         for j in range(1, len(text) + 1):
@@ -160,9 +166,8 @@ class Lattice:
     def expected(self, words: list[str]) -> np.ndarray:
         """How often each piece and byte is used in the words, averaged over their segmentations."""
         total = np.zeros(self.vocabulary.size)
-        for some, codes in _batches(words):
-            if codes is None:
-                continue  # words beyond LONG letters are noise for the pieces; they are scored all the same
+        batches = ((codes, None) for some, codes in _batches(words) if codes is not None)
+        for codes, own in chain(batches, *(_windows(word) for word in words if len(word) > LONG)):
             arcs = self._arcs(codes)
             alpha = self._sweep(arcs, len(codes))
             beta = np.full_like(alpha, -np.inf)
@@ -171,6 +176,8 @@ class Lattice:
                 for start, words_, number, value in arcs[j - 1]:
                     onward = value + beta[j, words_]
                     used = np.exp(alpha[start, words_] + onward - alpha[-1, words_])
+                    if own is not None:
+                        used = used * ((own[0][words_] < j) & (j <= own[1][words_]))
                     beta[start, words_] = np.logaddexp(beta[start, words_], onward)
                     if number[0] >= 0:
                         total += np.bincount(number, used, self.vocabulary.size)
@@ -181,7 +188,22 @@ class Lattice:
         return total
 
 
-LONG = 400  # letters; beyond it a word is worked on alone
+LONG = 400  # letters; beyond it a word is scored alone, and fitted window by window
+OVERLAP = 64  # letters that two windows share
+
+
+def _windows(word: str) -> Iterator[tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]]:
+    """A long word as windows of ``LONG`` letters, and the letters of each at which what ends counts: each once."""
+    codes = np.frombuffer((BLANK + word).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    codes[1:][codes[1:] == ord(BLANK)] = _INNER
+    n = len(codes)
+    starts = np.append(np.arange(0, n - LONG, LONG - OVERLAP), n - LONG)
+    low = np.concatenate(([0], starts[1:] + OVERLAP // 2))
+    high = np.append(low[1:], n)
+    step = max(1, CELLS // (LONG * 16))
+    for at in range(0, len(starts), step):
+        some = starts[at:at + step]
+        yield codes[some[:, None] + np.arange(LONG)], (low[at:at + step] - some, high[at:at + step] - some)
 
 
 def _batches(words: list[str]) -> Iterator[tuple[list[int], np.ndarray | None]]:

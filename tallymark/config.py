@@ -23,6 +23,7 @@ class Settings:
     drop_notes: bool = False
     demographic_as_rate: bool = False
     key_buckets: int = 64
+    by_export_time: bool = False  # the newest export wins, in whatever order the exports arrive
 
     def __post_init__(self):
         for name, allowed in {

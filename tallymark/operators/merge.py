@@ -154,3 +154,67 @@ def reclassify(posts: DataFrame, settings: Settings, company_id: str | None = No
     texts = [F.col(c) for c in ("post_content", "post_url", "post_title")]
     typed = with_post_type(posts, F.col("post_type"), *texts, name="_new_type")
     return typed.withColumns(changed).drop("_new_type")
+
+
+# --- changes on stored tables ------------------------------------------------------------
+# Rows carry ``change_no`` (0 in the base, then the number of the version that brought them), ``kind`` ("base",
+# "merge", "set" or "drop") and ``supplied``, the columns that a change brings. A key has one row per change.
+
+
+def without_dropped(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows that came after their key was last dropped."""
+    gone = rows.where("kind = 'drop'").groupBy(*keys).agg(F.max("change_no").alias("gone"))
+    kept = rows.where("kind <> 'drop'").join(gone, keys, "left")
+    return kept.where(F.col("gone").isNull() | (F.col("change_no") > F.col("gone"))).drop("gone")
+
+
+def _last(columns: list[str], partial: set[str], order: Column) -> list[Column]:
+    """The last value of each column; those that some changes lack come from the last change that has them."""
+    whole = [c for c in columns if c not in partial]
+    there = {c: F.when((F.col("kind") == "base") | F.array_contains("supplied", c), order) for c in partial}
+    return [
+        F.max_by(F.struct(*whole), order).alias("kept"),
+        *[F.max_by(F.struct(c), there[c])[c].alias(c) for c in columns if c in partial],
+    ]
+
+
+def fold_changes(rows: DataFrame, keys: list[str], partial: set[str]) -> DataFrame:
+    """Last write wins on ``keys``."""
+    columns = [c for c in rows.columns if c not in (*keys, "change_no", "kind", "supplied")]
+    folded = rows.groupBy(*keys).agg(*_last(columns, partial - set(keys), F.col("change_no")))
+    return folded.select(*keys, "kept.*", *[c for c in columns if c in partial])
+
+
+def fold_post_changes(rows: DataFrame, policy: str, partial: set[str]) -> DataFrame:
+    """Posts under never-go-down (``max``) or last write wins (``new``), as one ``merge_posts`` per change would give.
+
+    ``date_collected`` and ``created_at`` are those of the first row, ``updated_at`` that of the last if there
+    are several. ``set`` rows change their columns only. The last row is the one of the latest ``exported_at``,
+    then of the latest change; without export times changes follow each other as they were published.
+    """
+    merged = F.col("kind") != "set"
+    metrics = K.METRICS if policy == "max" else []
+    columns = [
+        c for c in rows.columns
+        if c not in (*K.POST_KEY, *_DB_COLUMNS, *metrics, "change_no", "kind", "supplied", "exported_at")
+    ]
+    first = {
+        c: F.min_by(F.col(c), F.when(F.col(c).isNotNull() & merged, F.col("change_no"))) for c in ("date_collected", "created_at")
+    }
+    single = F.count_if(merged) == 1
+    folded = rows.groupBy(*K.POST_KEY).agg(
+        *_last(columns, partial & set(columns), F.struct("exported_at", "change_no")),
+        *[F.when(single, F.max(m)).otherwise(F.max(or_zero(F.col(m)))).alias(m) for m in metrics],
+        *[c.alias(n) for n, c in first.items()],
+        F.when(F.count("*") > 1, F.max_by("updated_at", "change_no"))
+        .otherwise(F.max(F.when(F.col("kind") == "base", F.col("updated_at")))).alias("updated_at"),
+        F.count_if(merged).alias("copies"),
+        F.max("exported_at").alias("exported_at"),
+    )
+    out = folded.select(
+        *K.POST_KEY, "kept.*", *[c for c in columns if c in partial], *metrics, *_DB_COLUMNS, "copies", "exported_at"
+    )
+    if policy == "max":
+        fresh = recomputed_rates()
+        out = out.withColumns({r: F.when(F.col("copies") > 1, fresh[r]).otherwise(F.col(r)) for r in _RATES})
+    return out

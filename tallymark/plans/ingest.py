@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -36,36 +37,39 @@ def _with_all_columns(df: DataFrame, table: str) -> DataFrame:
     return df.withColumns(absent).select(*schema.names, "arrival", "source_file")
 
 
-def store_posts(tables: PageTables, key: str, batch_id: str, posts: DataFrame, settings: Settings) -> DataFrame:
-    """Merge the posts, snapshot the day, roll up. ``posts`` must be staged. Returns what was taken."""
-    if posts.isEmpty():
+def _dated(posts: DataFrame, chunks: DataFrame, settings: Settings) -> DataFrame:
+    """With the time of the file before all else in the order of rows, if exports are to count by it."""
+    if not settings.by_export_time:
         return posts
+    times = chunks.groupBy(F.col("file_name").alias("source_file")).agg(F.max("mtime").alias("exported_at"))
+    return posts.join(times, "source_file", "left").withColumn("arrival", F.struct("exported_at", "arrival.*")).drop("exported_at")
+
+
+def store_posts(tables: PageTables, key: str, batch_id: str, posts: DataFrame, settings: Settings) -> tuple[DataFrame, int]:
+    """Changes to the posts, a snapshot of the day, a roll-up. ``posts`` must be staged and not empty. Returns what was taken."""
+    stamps = dict.fromkeys(("date_collected", "created_at", "updated_at"), settings.now)
+    if settings.by_export_time:
+        stamps["exported_at"] = F.col("arrival.exported_at")
     if settings.manual:
-        fresh = tables.stage(
+        fresh, counts = tables.stage(
             key,
             "new_posts",
             lambda: merge.insert_only(
                 tables.near("post_analytics", posts), _with_all_columns(posts, "post_analytics"), K.POST_KEY
             ),
         )
-        tables.merge(
-            "post_analytics", key, fresh,
-            lambda stored, new: merge.upsert(stored, new.select(*stored.columns), K.POST_KEY),
-        )
-        taken = fresh
+        tables.change("post_analytics", key, lambda: fresh, policy=settings.policy)
+        taken, n = fresh, counts["rows"]
     else:
-        tables.merge(
-            "post_analytics", key, posts.drop("date_missing", "source_file"),
-            lambda stored, new: merge.merge_posts(stored, new, settings),
+        tables.change(
+            "post_analytics", key,
+            lambda: merge.fold_posts(posts.drop("date_missing", "source_file"), settings.policy).withColumns(stamps),
+            policy=settings.policy,
         )
-        snapshot = merge.history_rows(posts, settings)
-        tables.merge(
-            "post_metrics_history", key, snapshot,
-            lambda stored, new: merge.upsert(stored, new, K.HISTORY_KEY),
-        )
-        taken = posts
+        tables.change("post_metrics_history", key, lambda: merge.history_rows(posts, settings))
+        taken, n = posts, None
     _store_summaries(tables, key, batch_id, taken, settings)
-    return taken
+    return taken, n
 
 
 def _followers(tables: PageTables, settings: Settings) -> DataFrame:
@@ -80,38 +84,27 @@ def _followers(tables: PageTables, settings: Settings) -> DataFrame:
 def _store_summaries(tables: PageTables, key: str, batch_id: str, posts: DataFrame, settings: Settings) -> None:
     """One summary per file goes to the history; the last file's becomes the company row."""
     per_file = rollups.company_rollup(posts, ["company_id", "source_file"], settings.rate_scale)
-    staged = tables.stage(
+    staged, _ = tables.stage(
         key, "summaries", lambda: rollups.summary_rows(per_file, settings, _followers(tables, settings))
     )
-    tables.merge(
-        "company_analytics", key, staged,
-        lambda stored, new: merge.upsert(
-            stored, merge.last_per_key(new, K.COMPANY_KEY, "source_file").drop("source_file"), K.COMPANY_KEY
-        ),
+    tables.change(
+        "company_analytics", key, lambda: merge.last_per_key(staged, K.COMPANY_KEY, "source_file").drop("source_file")
     )
     if not settings.manual:
-        tables.append("analytics_history", key, staged.withColumn("batch_id", F.lit(batch_id)))
+        tables.change("analytics_history", key, lambda: staged.withColumn("batch_id", F.lit(batch_id)))
 
 
-def store_demographics(tables: PageTables, key: str, records: DataFrame, settings: Settings) -> DataFrame:
-    """Merge staged follower records. Returns what was taken."""
-    if records.isEmpty():
-        return records
+def store_demographics(tables: PageTables, key: str, records: DataFrame, settings: Settings) -> tuple[DataFrame, int | None]:
+    """Changes to the follower rows. ``records`` must be staged and not empty. Returns what was taken."""
     if settings.manual:
-        fresh = tables.stage(
+        fresh, counts = tables.stage(
             key, "new_demographics",
             lambda: merge.new_demographics(tables.near("follower_analytics", records), records),
         )
-        tables.merge(
-            "follower_analytics", key, fresh,
-            lambda stored, new: stored.unionByName(new.select(*stored.columns)),
-        )
-        return fresh
-    tables.merge(
-        "follower_analytics", key, records,
-        lambda stored, new: merge.upsert(stored, new, K.FOLLOWER_KEY, "arrival"),
-    )
-    return records
+        tables.change("follower_analytics", key, lambda: fresh)
+        return fresh, counts["rows"]
+    tables.change("follower_analytics", key, lambda: merge.last_per_key(records, K.FOLLOWER_KEY))
+    return records, None
 
 
 def ingest_files(
@@ -129,33 +122,36 @@ def ingest_files(
     if done is not None:
         return Ingested(done["posts"], done["demographics"], done["files"])
     # Decoding is the costly step and three consumers follow, so its result is written once.
-    chunks = tables.stage(key, "chunks", lambda: decode_chunks(named, settings.manual))
+    chunks, _ = tables.stage(key, "chunks", lambda: decode_chunks(named, settings.manual))
     route = file_route(F.col("file_name"), settings.manual)
-    posts = tables.stage(
-        key, "posts", lambda: posts_from_chunks(chunks.where(route == "posts"), settings).drop("path")
+    taken_posts, counts = tables.stage(
+        key, "posts", lambda: _dated(posts_from_chunks(chunks.where(route == "posts"), settings).drop("path"), chunks, settings)
     )
+    n_posts = counts["rows"]
     followers = _followers(tables, settings)
-    records = tables.stage(
+    taken_records, counts = tables.stage(
         key, "demographics",
         lambda: demographics_from_chunks(chunks.where(route == "demographics"), settings, followers),
     )
-    taken_posts = store_posts(tables, key, batch_id, posts, settings)
-    taken_records = store_demographics(tables, key, records, settings)
+    n_records = counts["rows"]
+    if n_posts:
+        taken_posts, new = store_posts(tables, key, batch_id, taken_posts, settings)
+        n_posts = n_posts if new is None else new
+    if n_records:
+        taken_records, new = store_demographics(tables, key, taken_records, settings)
+        n_records = n_records if new is None else new
     if report is not None:
         maintenance.write_validation_report(taken_posts, report, batch_id)
-    taken = (
-        taken_posts.select("source_file").withColumn("is_post", F.lit(1))
-        .unionAll(taken_records.select("source_file").withColumn("is_post", F.lit(0)))
-    )
-    ledger = maintenance.ledger_rows(chunks, settings, batch_id)
-    if settings.manual:
+
+    def ledger() -> DataFrame:
+        rows = maintenance.ledger_rows(chunks, settings, batch_id)
+        if not settings.manual:
+            return rows
         # The older scan files away only what gave records, so the rest is tried again.
-        done = taken.select(F.col("source_file").alias("file_name")).distinct()
-        ledger = ledger.join(done, "file_name", "left_semi")
-    tables.append("file_ledger", key, ledger)
-    counts = taken.agg(F.sum("is_post").alias("posts"), F.count("*").alias("n")).first()
-    n_posts = counts["posts"] or 0
-    result = Ingested(n_posts, counts["n"] - n_posts, tables.appended("file_ledger", key).count())
+        names = [t.select(F.col("source_file").alias("file_name")) for t in (taken_posts, taken_records)]
+        return rows.join(names[0].unionAll(names[1]).distinct(), "file_name", "left_semi")
+
+    result = Ingested(n_posts, n_records, tables.change("file_ledger", key, ledger)["rows"])
     tables.finish(key, posts=result.posts, demographics=result.demographics, files=result.files)
     return result
 
@@ -163,28 +159,50 @@ def ingest_files(
 def ingest_folder(
     spark: SparkSession, folder: str, tables: PageTables, settings: Settings, batch_id: str, report: str | None = None
 ) -> Ingested:
-    """The files of a folder that the ledger does not hold yet, of any size and name."""
-    listed = list_files(spark, folder).where(is_export_name(F.col("file_name"), settings.manual))
-    # The comparison with the ledger moves names only; the contents meet just the names that are new.
-    fresh = maintenance.unprocessed(listed, tables.read("file_ledger")).select("path")
-    if fresh.isEmpty():
-        return Ingested(0, 0, 0)
-    files = spark.read.format("binaryFile").load(folder).join(fresh, "path", "left_semi")
+    """The files of a folder that the ledger does not hold yet, of any size and name.
+
+    A batch keeps the list of its files when it begins, so one that was cut off is finished with the same
+    files, whatever has landed since.
+    """
+    key = f"ingest/{batch_id}"
+
+    def fresh() -> DataFrame:
+        listed = list_files(spark, folder).where(is_export_name(F.col("file_name"), settings.manual))
+        # The comparison with the ledger moves names only; the contents meet just the names that are new.
+        return maintenance.unprocessed(listed, tables.read("file_ledger")).select("path")
+
+    if tables.done(key):
+        paths = fresh()
+        if paths.isEmpty():
+            return Ingested(0, 0, 0)
+    else:
+        paths, counts = tables.stage(key, "files", fresh)
+        if not counts["rows"]:
+            tables.forget_batch(key)
+            return Ingested(0, 0, 0)
+    files = spark.read.format("binaryFile").load(folder).join(paths, "path", "left_semi")
     return ingest_files(files, tables, settings, batch_id, report=report)
 
 
 def ingest_large_csv(rows: DataFrame, tables: PageTables, settings: Settings, batch_id: str) -> int:
     """Posts out of ``read_large_csv`` (files of one layout, any size) into the tables, and their files into the ledger."""
     key = f"large_csv/{batch_id}"
-    names = rows.inputFiles()
-    done = tables.begin(key, lambda: "\n".join(sorted(names)))
+
+    def mark() -> str:
+        listed = rows.sparkSession.read.format("binaryFile").load(list(rows.inputFiles()))
+        return _mark(listed, "path", "modificationTime", "length")
+
+    done = tables.begin(key, mark)
     if done is not None:
         return done["posts"]
-    posts = tables.stage(key, "posts", lambda: posts_from_table(rows, settings))
-    count = store_posts(tables, key, batch_id, posts, settings).count()
-    tables.append("file_ledger", key, maintenance.table_ledger_rows(rows, settings, batch_id))
-    tables.finish(key, posts=count)
-    return count
+    posts, counts = tables.stage(key, "posts", lambda: posts_from_table(rows, settings))
+    n = counts["rows"]
+    if n:
+        _, new = store_posts(tables, key, batch_id, posts, settings)
+        n = n if new is None else new
+    tables.change("file_ledger", key, lambda: maintenance.table_ledger_rows(rows, settings, batch_id))
+    tables.finish(key, posts=n)
+    return n
 
 
 def digest_summaries(messages: DataFrame, settings: Settings) -> DataFrame:
@@ -202,32 +220,29 @@ def ingest_digests(messages: DataFrame, tables: PageTables, settings: Settings,
     done = tables.begin(key, lambda: _mark(messages, "path", "body"))
     if done is not None:
         return done["messages"]
-    staged = tables.stage(
+    staged, counts = tables.stage(
         key, "summaries",
         lambda: digest_summaries(messages, settings).withColumn("arrival", F.struct("path")),
     )
-    tables.merge(
-        "company_analytics", key, staged,
-        lambda stored, new: merge.upsert(
-            stored, merge.last_per_key(new, K.COMPANY_KEY).select(*stored.columns), K.COMPANY_KEY
-        ),
-    )
-    tables.append("analytics_history", key, staged.withColumn("batch_id", F.lit(batch_id)))
-    count = staged.count()
-    tables.finish(key, messages=count)
-    return count
+    tables.change("company_analytics", key, lambda: merge.last_per_key(staged, K.COMPANY_KEY))
+    tables.change("analytics_history", key, lambda: staged.withColumn("batch_id", F.lit(batch_id)))
+    tables.finish(key, messages=counts["rows"])
+    return counts["rows"]
 
 
 def clean_up(tables: PageTables, settings: Settings, batch_id: str, days: int = K.RETENTION_DAYS) -> None:
-    """Drop posts and follower rows collected before the retention time; untouched partitions stay as they are."""
+    """Drop posts and follower rows collected before the retention time.
+
+    A table whose oldest row is known to be younger is not read; of others the keys to drop are written, nothing else.
+    """
     key = f"clean_up/{batch_id}"
     if tables.begin(key, lambda: f"{settings.as_of.isoformat()} {days}") is not None:
         return
-    for name in ("post_analytics", "follower_analytics"):
-        tables.rewrite(
-            name, key, maintenance.expired(settings, days),
-            lambda stored: maintenance.retained(stored, settings, days),
-        )
+    for name, keys in (("post_analytics", K.POST_KEY), ("follower_analytics", K.FOLLOWER_KEY)):
+        oldest = tables.oldest(name)
+        if tables.is_empty(name) or (oldest is not None and oldest >= settings.as_of - timedelta(days=days)):
+            continue
+        tables.change(name, key, lambda: tables.read(name).where(maintenance.expired(settings, days)).select(*keys), "drop")
     tables.finish(key)
 
 
@@ -236,8 +251,11 @@ def reclassify_posts(tables: PageTables, settings: Settings, batch_id: str) -> N
     key = f"reclassify/{batch_id}"
     if tables.begin(key, lambda: settings.company_id) is not None:
         return
-    tables.rewrite(
-        "post_analytics", key, merge.needs_type(settings.company_id),
-        lambda stored: merge.reclassify(stored, settings, settings.company_id),
-    )
+
+    def typed() -> DataFrame:
+        stored = tables.read("post_analytics").where(merge.needs_type(settings.company_id))
+        typed = merge.reclassify(stored, settings, settings.company_id).select(*K.POST_KEY, "post_type", "updated_at")
+        return typed.withColumn("exported_at", settings.now) if settings.by_export_time else typed
+
+    tables.change("post_analytics", key, typed, "set")
     tables.finish(key)

@@ -474,8 +474,8 @@ def _user_files(events: DataFrame) -> DataFrame:
       CAST(sum(seen) AS BIGINT) AS total FROM posts GROUP BY batch
     UNION ALL SELECT 'ledger', batch, count(*), CAST(sum(n + 1) AS BIGINT) FROM files GROUP BY batch
     UNION ALL SELECT 'summaries', batch, count(*), CAST(sum(seen) AS BIGINT) FROM files GROUP BY batch
-    UNION ALL SELECT 'summaries', 'd1', 2, 13
-    UNION ALL SELECT 'company', 'company', 1, 7
+    UNION ALL SELECT 'summaries', 'd1', count(*), CAST(sum(c_custkey + 6) AS BIGINT) FROM customer
+    UNION ALL SELECT 'company', 'company', 1, max(c_custkey) + 6 FROM customer
     UNION ALL SELECT 'posts', 'kept', count(DISTINCT user_id), 0 FROM posts WHERE batch = 'b2'
       AND user_id NOT IN (SELECT user_id FROM posts WHERE batch = 'b1') HAVING count(DISTINCT user_id) > 0"""
 )
@@ -487,9 +487,9 @@ def stored_tables(spark: SparkSession, folder: str) -> DataFrame:
     for _ in range(2):
         ingest.ingest_files(_user_files(early), tables, first, "b1")
         ingest.ingest_files(_user_files(late), tables, NOW, "b2")
-    mails = table(spark, folder, "nation").where("n_nationkey < 2").select(
-        F.concat(F.lit("m"), F.col("n_nationkey").cast("string")).alias("path"),
-        F.concat((F.col("n_nationkey") + 6).cast("string"), F.lit(" impressions, 7 followers")).alias("body"),
+    mails = table(spark, folder, "customer").select(
+        F.format_string("m%012d", "c_custkey").alias("path"),
+        F.concat((F.col("c_custkey") + 6).cast("string"), F.lit(" impressions, 7 followers")).alias("body"),
     )
     ingest.ingest_digests(mails, tables, NOW, "b1")
     ingest.clean_up(tables, NOW, "b1", days=10)
@@ -506,6 +506,53 @@ def stored_tables(spark: SparkSession, folder: str) -> DataFrame:
         .unionByName(told(tables.read("file_ledger"), "ledger", F.col("batch_id"), F.col("rows")))
         .unionByName(told(summaries, "summaries", F.when(from_mails, "d1").otherwise(F.col("batch_id")),
                           F.col("impressions")))
-        .unionByName(told(tables.read("company_analytics"), "company", F.col("company_id"), F.col("followers_count")))
+        .unionByName(told(tables.read("company_analytics"), "company", F.col("company_id"), F.col("impressions")))
         .unionByName(told(tables.read("post_analytics"), "posts", F.lit("kept"), F.lit(0)))
     )
+
+
+# --- changes, versions and upkeep of the stored tables ---------------------------------------------------
+_SHOWN_FOLD = f"""SELECT post_id, impressions, clicks, likes, comments, shares, impressions AS reach, ctr, engagement_rate,
+      strftime(day, '%Y-%m-%d') AS post_date FROM ({_fold_sql(HOURLY)})"""
+
+
+def _stored_batch(tables: PageTables, key: str, rows: DataFrame, settings: Settings = NOW) -> None:
+    """Posts of a DataFrame as one batch of changes."""
+    tables.begin(key, lambda: key)
+    ingest.store_posts(tables, key, key, rows, settings)
+    tables.finish(key)
+
+
+def _thirds(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The days up to the 9th, those up to the 19th, and the rest."""
+    posted = hourly_posts(table(spark, folder, "events"), NOW)
+    day = F.dayofmonth("post_date")
+    return [posted.where(day < 10), posted.where(day.between(10, 19)), posted.where(day > 19)]
+
+
+@query(f"SELECT s.state, f.* FROM ({_SHOWN_FOLD}) f CROSS JOIN (VALUES ('changes'), ('base'), ('both')) s(state)")
+def change_sets(spark: SparkSession, folder: str) -> DataFrame:
+    """Three batches read as changes alone, as the base they were folded into, and as a base with later changes."""
+    thirds = _thirds(spark, folder)
+    one, two = (PageTables(spark, scratch(spark, "tables"), Settings(key_buckets=8)) for _ in range(2))
+    for n, part in enumerate(thirds):
+        _stored_batch(one, f"b/{n}", part)
+        _stored_batch(two, f"b/{n}", part)
+        if n == 1:
+            two.compact("first")
+    changes, both = one.read("post_analytics"), two.read("post_analytics")
+    one.compact("all")
+    states = {"changes": changes, "base": one.read("post_analytics"), "both": both}
+    shown = [_shown(rows).drop("created", "updated").withColumn("state", F.lit(name)) for name, rows in states.items()]
+    return shown[0].unionByName(shown[1]).unionByName(shown[2])
+
+
+@query(_SHOWN_FOLD)
+def exports_by_time(spark: SparkSession, folder: str) -> DataFrame:
+    """The latest export wins, though it arrives first."""
+    settings = Settings(as_of=NOW.as_of, by_export_time=True, key_buckets=8)
+    tables = PageTables(spark, scratch(spark, "tables"), settings)
+    for n, part in reversed(list(enumerate(_thirds(spark, folder)))):
+        exported = F.timestamp_seconds(F.lit(1_704_067_200 + 864_000 * n))
+        _stored_batch(tables, f"b/{n}", part.withColumn("arrival", F.struct(exported.alias("exported_at"), "arrival.*")), settings)
+    return _shown(tables.read("post_analytics")).drop("created", "updated")

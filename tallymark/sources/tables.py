@@ -1,66 +1,95 @@
-"""The target tables as partitioned Parquet, and the steps that change them.
-
-A batch has a key: the operation and the id it was given. It is first staged (written
-in full below ``_staging/<key>``) and then published by replacing the partitions it
-touches. Both steps may be repeated: a batch that was cut off is published again
-from its staged rows, so a retry neither loses nor doubles anything. A mark of the
-input stands beside it; a key that comes back with another input is an error. When
-all is published, the staged rows go and the mark stays with the counts.
+"""The target tables as folders of Parquet behind one pointer, and the steps that change them.
+
+A batch never touches the rows stored before it. It writes a folder of changes per table,
+and then moves the pointer: a small note, numbered by version, that names the base folder
+and the change folders of every table. So all tables of a batch appear at once, and what a
+reader has opened stays as it was. Reading folds the changes into the base by the rule of
+the table; ``compact`` does the same once and makes the result the new base.
+
+A version is created only if it does not exist. A writer that began at an older version
+than the one it finds gets an error, and its batch starts anew when it is repeated.
+
+A batch has a key: the operation and the id it was given. A mark of its input stands
+beside it; a key that comes back with another input is an error. Whatever a batch writes is
+written once and kept with its counts, so one that was cut off goes on where it was.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from .. import constants as K
 from ..config import Settings
+from ..operators import merge
 from ..schema import TABLES
 
-Change = Callable[[DataFrame, DataFrame], DataFrame]
-
-# Keyed tables are cut by something the key determines, so a merge reads and
-# writes only the partitions that hold incoming keys.
+# Base folders of keyed tables are cut by something the key determines, so a read of some keys or days reads only those.
 _PARTITION = {
     "post_analytics": ("key_bucket", T.IntegerType()),
-    "company_analytics": ("key_bucket", T.IntegerType()),
     "post_metrics_history": ("observed_date", T.DateType()),
     "follower_analytics": ("collected_day", T.DateType()),
-    # One partition per batch: appending again replaces it, whole or not at all.
-    "analytics_history": ("batch_key", T.StringType()),
-    "file_ledger": ("batch_key", T.StringType()),
 }
+_KEYS = {
+    "post_analytics": K.POST_KEY, "company_analytics": K.COMPANY_KEY, "post_metrics_history": K.HISTORY_KEY,
+    "follower_analytics": K.FOLLOWER_KEY,
+}
+# Kept beside the columns of the table, for the merge.
+_HIDDEN = {"post_analytics": T.StructField("exported_at", T.TimestampType())}
+_DATED = ("post_analytics", "follower_analytics")  # tables that age
+
+
+class OtherWriter(RuntimeError):
+    """Another writer has published since this batch began."""
+
+
+def oldest_of() -> Column:
+    return F.unix_micros(F.min("date_collected"))
+
+
+def _policy(entry: dict) -> str | None:
+    """The policy of the changes of a table; None where none has one."""
+    found = {change["policy"] for change in entry["changes"] if change.get("policy")}
+    if len(found) > 1:
+        raise ValueError("changes under another policy wait; compact the tables first")
+    return found.pop() if found else None
 
 
 def table_schema(name: str) -> T.StructType:
     return T.StructType.fromDDL(TABLES[name])
 
 
+def _stored_schema(name: str) -> T.StructType:
+    schema = table_schema(name)
+    return schema.add(_HIDDEN[name]) if name in _HIDDEN else schema
+
+
 class PageTables:
     """Tables below one folder.
 
-    ``key_buckets`` is fixed when the folder is first used. Choose it so that a
-    bucket of posts has a few gigabytes; only buckets with incoming ids are rewritten.
+    ``key_buckets`` is fixed when the folder is first used. Choose it so that a bucket of posts has a few
+    gigabytes; looking up some ids reads only their buckets.
     """
 
     def __init__(self, spark: SparkSession, root: str, settings: Settings):
         self.spark, self.root = spark, root.rstrip("/")
         if self._note(f"{self.root}/_layout/key_buckets") is None:
             self._keep(f"{self.root}/_layout/key_buckets", str(settings.key_buckets))
+            for name in TABLES:
+                place, system = self._file_system(self.path(name))
+                system.mkdirs(place)
         self.buckets = int(self._note(f"{self.root}/_layout/key_buckets"))
-        for name in TABLES:
-            if not self._exists(self.path(name)):
-                empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in table_schema(name)])
-                writer = self._partitioned(name, empty).write.mode("ignore")
-                (writer.partitionBy(_PARTITION[name][0]) if name in _PARTITION else writer).parquet(self.path(name))
+        self._pending: dict[str, list[tuple[str, dict]]] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    # --- folders --------------------------------------------------------------------
+    # --- folders and notes ------------------------------------------------------------
     def _file_system(self, path: str):
         context = self.spark.sparkContext
         hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
@@ -70,70 +99,128 @@ class PageTables:
         hadoop_path, system = self._file_system(path)
         return system.exists(hadoop_path)
 
+    def _delete(self, path: str) -> None:
+        hadoop_path, system = self._file_system(path)
+        system.delete(hadoop_path, True)
+
     def missing(self) -> list[str]:
         """Target tables that have no folder, say because someone removed it."""
         return [name for name in TABLES if not self._exists(self.path(name))]
 
-    def _keep(self, path: str, text: str) -> None:
-        """A short text as a file that is there whole or not at all."""
+    def _keep(self, path: str, text: str, only_new: bool = False) -> bool:
+        """A short text as a file that is there whole or not at all. ``only_new`` leaves one that is there."""
+        if only_new and self._exists(path):
+            return False
         final, system = self._file_system(path)
-        begun, _ = self._file_system(f"{path}.begun")
+        final = system.makeQualified(final)
+        begun, _ = self._file_system(f"{final.toString()}.{uuid.uuid4().hex}.begun")
         stream = system.create(begun, True)
-        stream.writeUTF(text)
+        stream.write(bytearray(text.encode()))
         stream.close()
-        system.rename(begun, final)
+        context = self.spark.sparkContext
+        files = context._jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), context._jsc.hadoopConfiguration())
+        rename = context._jvm.org.apache.hadoop.fs.Options.Rename
+        how = context._gateway.new_array(rename, 1)
+        how[0] = rename.NONE if only_new else rename.OVERWRITE
+        try:
+            files.rename(begun, final, how)
+        except Exception as lost:  # the only way to learn that another writer was first
+            system.delete(begun, False)
+            if only_new and "FileAlreadyExists" in str(lost):
+                return False
+            raise
+        return True
 
     def _note(self, path: str) -> str | None:
         place, system = self._file_system(path)
         if not system.exists(place):
             return None
         stream = system.open(place)
-        text = stream.readUTF()
+        text = bytes(stream.readAllBytes()).decode()
         stream.close()
         return text
 
-    # --- reading --------------------------------------------------------------------
-    def _partitioned(self, name: str, df: DataFrame) -> DataFrame:
-        """With the partition column, which the key determines."""
+    # --- versions ----------------------------------------------------------------------
+    def version(self) -> int:
+        """The number of the last version published; 0 before the first."""
+        place, system = self._file_system(f"{self.root}/_current")
+        if not system.exists(place):
+            return 0
+        names = [f.getPath().getName() for f in system.listStatus(place)]
+        return max((int(n) for n in names if n.isdigit()), default=0)
+
+    def _state(self, version: int | None = None) -> dict:
+        """What folders make up each table."""
+        version = self.version() if version is None else version
+        text = self._note(f"{self.root}/_current/{version:010d}") if version else None
+        return json.loads(text) if text else {name: {"base": None, "oldest": None, "changes": []} for name in TABLES}
+
+    # --- reading -------------------------------------------------------------------------
+    def _bucketed(self, name: str, df: DataFrame) -> DataFrame:
+        """With the partition column of the base, which the key determines."""
         by = _PARTITION.get(name, (None,))[0]
         if by is None or by in df.columns:
             return df
-        if by == "batch_key":
-            return df.withColumn(by, F.lit(""))
         if by == "collected_day":
             return df.withColumn(by, F.to_date("date_collected"))
-        key = K.POST_KEY if name == "post_analytics" else K.COMPANY_KEY
-        return df.withColumn(by, F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int"))
-
-    def _stored(self, name: str) -> DataFrame:
-        schema = table_schema(name)
-        by = _PARTITION.get(name)
-        if by is not None and by[0] not in schema.names:
-            schema = schema.add(by[0], by[1])
-        return self.spark.read.schema(schema).parquet(self.path(name))
+        return df.withColumn(by, F.pmod(F.xxhash64(*K.POST_KEY), F.lit(self.buckets)).cast("int"))
+
+    def _base(self, name: str, entry: dict, buckets: list | None = None) -> DataFrame:
+        schema, by = _stored_schema(name), _PARTITION.get(name)
+        columns = schema.names
+        if entry["base"] is None:
+            return self.spark.createDataFrame([], schema)
+        if by is not None and by[0] not in columns:
+            schema = _stored_schema(name).add(by[0], by[1])
+        rows = self.spark.read.schema(schema).parquet(f"{self.root}/{entry['base']}")
+        if buckets is not None:
+            rows = rows.where(F.col(by[0]).isin(buckets))
+        return rows.select(*columns)
 
     def read(self, name: str) -> DataFrame:
-        """The table as last published; select, filter, order and limit as on any DataFrame."""
-        return self._stored(name).select(*table_schema(name).names)
+        """The table as last published; select, filter, order and limit as on any DataFrame.
 
-    def _part(self, name: str, partitions: list) -> DataFrame:
-        by = _PARTITION[name][0]
-        return self._stored(name).where(F.col(by).isin(partitions)).select(*table_schema(name).names)
+        A batch that is published later does not change what this reads.
+        """
+        return self._folded(name, self._state()[name]).select(*table_schema(name).names)
 
     def near(self, name: str, rows: DataFrame) -> DataFrame:
-        """The stored rows of the partitions that hold the keys of ``rows``; the others are not read."""
-        return self._part(name, self._partitions(name, rows))
-
-    def _partitions(self, name: str, rows: DataFrame) -> list:
-        """The partitions of some rows: at most one value per bucket or day, however many rows."""
+        """The stored rows of the partitions that hold the keys of ``rows``; the others of the base are not read."""
+        entry = self._state()[name]
+        if entry["base"] is None:
+            return self._folded(name, entry).select(*table_schema(name).names)
         by = _PARTITION[name][0]
-        return [r[0] for r in self._partitioned(name, rows).select(by).distinct().collect()]
-
-    # --- batches -------------------------------------------------------------------
+        buckets = [r[0] for r in self._bucketed(name, rows).select(by).distinct().collect()]  # one per bucket or day
+        return self._folded(name, entry, buckets).select(*table_schema(name).names)
+
+    def _folded(self, name: str, entry: dict, buckets: list | None = None) -> DataFrame:
+        base, columns = self._base(name, entry, buckets), _stored_schema(name).names
+        if not entry["changes"]:
+            return base
+        rows = base.withColumns({"change_no": F.lit(0).cast("long"), "kind": F.lit("base"), "supplied": F.lit(None).cast("array<string>")})
+        alike: dict[tuple, list[str]] = {}
+        for change in entry["changes"]:
+            alike.setdefault((change["kind"], *change["supplied"]), []).append(f"{self.root}/{change['path']}")
+        schema = _stored_schema(name).add("change_no", T.LongType())
+        for (kind, *supplied), paths in alike.items():
+            rows = rows.unionByName(self.spark.read.schema(schema).parquet(*paths).withColumns({
+                "kind": F.lit(kind), "supplied": F.array(*[F.lit(c) for c in supplied]).cast("array<string>"),
+            }))
+        if name not in _KEYS:
+            return rows.select(*columns)
+        partial = {c for kind, *supplied in alike for c in columns if kind != "drop" and c not in supplied}
+        if any(kind == "drop" for kind, *_ in alike):
+            rows = merge.without_dropped(rows, _KEYS[name])
+        if name == "post_analytics":
+            return merge.fold_post_changes(rows, _policy(entry) or "max", partial).select(*columns)
+        return merge.fold_changes(rows, _KEYS[name], partial).select(*columns)
+
+    # --- batches -------------------------------------------------------------------------
     def begin(self, key: str, mark: Callable[[], str]) -> dict | None:
         """The counts of a batch that is done, or None while it is not.
 
-        The mark of the input is kept when the batch first begins.
+        The mark of the input is kept when the batch first begins. What a batch wrote at an older version
+        than the present one is dropped, unless it is published: it may rest on rows that have changed.
         """
         place = f"{self.root}/_batches/{key}"
         now = hashlib.md5(mark().encode()).hexdigest()
@@ -143,59 +230,166 @@ class PageTables:
         elif known != now:
             raise ValueError(f"batch {key} was used with another input")
         counts = self._note(f"{place}/counts")
-        return None if counts is None else json.loads(counts)
+        if counts is not None:
+            return json.loads(counts)
+        began, version = self._note(f"{place}/version"), self.version()
+        if began is not None and int(began) != version and not self._published(key):
+            self._discard(key, keep=("files",))
+        if began is None or not self._published(key):
+            self._keep(f"{place}/version", str(version))
+        self._pending[key] = []
+        return None
+
+    def done(self, key: str) -> bool:
+        return self._note(f"{self.root}/_batches/{key}/counts") is not None
+
+    def _began(self, key: str) -> int:
+        return int(self._note(f"{self.root}/_batches/{key}/version"))
+
+    def _published(self, key: str) -> bool:
+        return any(
+            key in entry.get("keys", []) or any(change["key"] == key for change in entry["changes"]) for entry in self._state().values()
+        )
+
+    def _discard(self, key: str, keep: tuple[str, ...] = ()) -> None:
+        place, system = self._file_system(f"{self.root}/_staging/{key}")
+        for found in system.listStatus(place) if system.exists(place) else []:
+            if not found.getPath().getName().startswith(keep or ("/",)):
+                system.delete(found.getPath(), True)
+        for name in TABLES:
+            for kind in ("merge", "set", "drop"):
+                for path in (self._change_path(name, key, kind), f"{self._change_path(name, key, kind)}.counts"):
+                    self._delete(path)
+
+    def forget_batch(self, key: str) -> None:
+        """A batch that found nothing to do leaves its id free."""
+        self._delete(f"{self.root}/_staging/{key}")
 
     def finish(self, key: str, **counts: int) -> None:
-        """Keep the counts of a batch and drop its staged rows."""
+        """Publish the changes of a batch, keep its counts and drop its helper rows."""
+        self.publish(key)
         self._keep(f"{self.root}/_batches/{key}/counts", json.dumps(counts))
-        path, system = self._file_system(f"{self.root}/_staging/{key}")
-        system.delete(path, True)
-
-    def stage(self, key: str, label: str, rows: Callable[[], DataFrame]) -> DataFrame:
-        """Rows of a batch, written once; a repeated batch gets what it wrote the first time."""
+        self._delete(f"{self.root}/_staging/{key}")
+
+    def _write(self, path: str, rows: DataFrame, mode: str = "overwrite", **observed) -> dict:
+        """Write rows and what is observed of them, in one job after their shuffles."""
+        seen = Observation()
+        watched = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in observed.items()])
+        watched.write.mode(mode).parquet(path)
+        found = dict(seen.get) | {"schema": rows.schema.json()}
+        self._keep(f"{path}.counts", json.dumps(found))
+        return found
+
+    def stage(self, key: str, label: str, rows: Callable[[], DataFrame], **observed) -> tuple[DataFrame, dict]:
+        """Helper rows of a batch and what was observed of them while they were written: their number as ``rows``,
+        and the named aggregates. A repeated batch gets what it wrote the first time."""
         path = f"{self.root}/_staging/{key}/{label}"
-        if not self._exists(f"{path}/_SUCCESS"):
-            rows().write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
-
-    # --- changes -------------------------------------------------------------------
-    def merge(self, name: str, key: str, incoming: DataFrame, change: Change) -> None:
-        """Replace the touched partitions by ``change(stored rows of them, incoming)``."""
-
-        def changed() -> DataFrame:
-            return self._partitioned(name, change(self.near(name, incoming), incoming))
-
-        self._publish(name, self.stage(key, f"merged_{name}", changed))
-
-    def rewrite(
-        self, name: str, key: str, affected: Column, change: Callable[[DataFrame], DataFrame]
-    ) -> None:
-        """Replace the partitions that hold affected rows; those left without rows are removed."""
-        touched = self._partitions(name, self._stored(name).where(affected))
-
-        def changed() -> DataFrame:
-            return self._partitioned(name, change(self._part(name, touched)))
-
-        staged = self.stage(key, f"rewritten_{name}", changed)
-        left = set(self._partitions(name, staged))
-        self._publish(name, staged)
-        for value in touched:
-            if value not in left:
-                path, system = self._file_system(f"{self.path(name)}/{_PARTITION[name][0]}={value}")
-                system.delete(path, True)
-
-    def _publish(self, name: str, staged: DataFrame) -> None:
-        by = _PARTITION[name][0]
-        # Rebalancing groups the rows of a partition and splits those that are large.
-        (
-            staged.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(by).parquet(self.path(name))
-        )
-
-    def append(self, name: str, key: str, rows: DataFrame) -> None:
-        """Append the rows of a batch; a repeated batch replaces what it appended before."""
-        self._publish(name, rows.select(*table_schema(name).names).withColumn("batch_key", F.lit(key)))
-
-    def appended(self, name: str, key: str) -> DataFrame:
-        """The rows that one batch appended; only its partition is read."""
-        return self._stored(name).where(F.col("batch_key") == key)
+        known = self._note(f"{path}.counts")
+        found = json.loads(known) if known is not None else self._write(path, rows(), **observed)
+        schema = T.StructType.fromJson(json.loads(found.pop("schema")))
+        return self.spark.read.schema(schema).parquet(path), found
+
+    # --- changes --------------------------------------------------------------------------
+    def _change_path(self, name: str, key: str, kind: str) -> str:
+        return f"{self.path(name)}/change-{key.replace('/', '-')}-{kind}"
+
+    def change(self, name: str, key: str, rows: Callable[[], DataFrame], kind: str = "merge", policy: str | None = None) -> dict:
+        """Write the changes of a batch to one table, one row per key; seen by nobody before ``finish``.
+
+        ``merge`` rows meet the stored rows by the rule of the table, ``set`` rows only set the columns they
+        have, ``drop`` rows take their key away. Columns that rows do not have keep their stored values.
+        ``policy`` is that of the posts; changes under another one must be compacted first.
+        Returns their number and, for tables that age, the least ``date_collected``.
+        """
+        path, columns = self._change_path(name, key, kind), _stored_schema(name)
+        known = self._note(f"{path}.counts")
+        if known is None:
+            given = rows()
+            supplied = [c for c in columns.names if c in given.columns]
+            full = given.select(*[
+                F.col(f.name).cast(f.dataType) if f.name in supplied else F.lit(None).cast(f.dataType).alias(f.name) for f in columns
+            ]).withColumn("change_no", F.lit(self._began(key) + 1).cast("long"))
+            observed = {"oldest": oldest_of()} if name in _DATED and kind == "merge" else {}
+            found = self._write(path, full, **observed) | {"supplied": supplied}
+            del found["schema"]
+            self._keep(f"{path}.counts", json.dumps(found))
+        else:
+            found = json.loads(known)
+        self._pending[key].append((name, {"path": path.removeprefix(f"{self.root}/"), "kind": kind, "key": key, "policy": policy, **found}))
+        return found
+
+    def publish(self, key: str, bases: dict[str, dict] | None = None) -> None:
+        """Move the pointer on: the changes of the batch, or new base folders, become the tables.
+
+        An error if another version has come since the batch began; a batch that is published already stays so.
+        """
+        began = self._began(key)
+        state = self._state(began)
+        pending = [(name, change) for name, change in self._pending.pop(key, []) if change["rows"]]
+        if self._published(key) or not (pending or bases):
+            return
+        for name, change in pending:
+            state[name]["changes"].append(change)
+            _policy(state[name])
+        for name, entry in (bases or {}).items():
+            state[name] = entry
+        if self.version() != began or not self._keep(f"{self.root}/_current/{began + 1:010d}", json.dumps(state), only_new=True):
+            raise OtherWriter(f"another writer has published since batch {key} began; repeat the batch")
+
+    # --- upkeep ---------------------------------------------------------------------------
+    def oldest(self, name: str) -> datetime | None:
+        """No row of the table was collected before this; None if that is not known, or the table is empty."""
+        entry = self._state()[name]
+        known = [change.get("oldest") for change in entry["changes"] if change["kind"] == "merge"]
+        known += [entry["oldest"]] if entry["base"] else []
+        return datetime(1970, 1, 1) + timedelta(microseconds=min(known)) if known and None not in known else None
+
+    def is_empty(self, name: str) -> bool:
+        """Whether the table has neither a base nor changes; no data is read."""
+        entry = self._state()[name]
+        return entry["base"] is None and not entry["changes"]
+
+    def compact(self, batch_id: str) -> list[str]:
+        """Fold the changes of each table into a new base; the rows stay the same. Returns the tables that had changes.
+
+        Old folders stay for those who read them, until ``forget``.
+        """
+        key = f"compact/{batch_id}"
+        if self.begin(key, lambda: "compact") is not None:
+            return []
+        state, bases = self._state(), {}
+        for name, entry in state.items():
+            if not entry["changes"]:
+                continue
+            path, by = f"{name}/base-{key.replace('/', '-')}", _PARTITION.get(name, (None,))[0]
+            seen = Observation()
+            observed = [oldest_of().alias("oldest")] if name in _DATED else []
+            rows = self._bucketed(name, self._folded(name, entry))
+            if by is not None:  # groups the rows of a partition and splits those that are large
+                rows = rows.hint("rebalance", by)
+            rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *observed)
+            writer = rows.write.mode("overwrite")
+            (writer.partitionBy(by) if by is not None else writer).parquet(f"{self.root}/{path}")
+            # A batch that is published but does not know it yet must find its key.
+            open_ = [change["key"] for change in entry["changes"] if not self.done(change["key"])]
+            bases[name] = {"base": path, "oldest": seen.get.get("oldest"), "changes": [], "keys": sorted({*open_, *entry.get("keys", [])})}
+        self.publish(key, bases)
+        self.finish(key, tables=len(bases))
+        return list(bases)
+
+    def forget(self, versions: int = 2) -> None:
+        """Delete folders that none of the last ``versions`` names. Who still reads an older one loses it."""
+        last, used = self.version(), set()
+        for number in range(max(1, last - versions + 1), last + 1):
+            for entry in self._state(number).values():
+                used |= {entry["base"], *(change["path"] for change in entry["changes"])}
+        running = {key for key, pending in self._pending.items() if pending}
+        for name in TABLES:
+            place, system = self._file_system(self.path(name))
+            for found in system.listStatus(place) if last else []:
+                path = f"{name}/{found.getPath().getName()}"
+                mine = any(path.startswith(f"{name}/change-{key.replace('/', '-')}") for key in running)
+                if path.removesuffix(".counts") not in used and not mine:
+                    system.delete(found.getPath(), True)
+        for number in range(1, last - versions + 1):
+            self._delete(f"{self.root}/_current/{number:010d}")

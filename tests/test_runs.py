@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallymark import constants as K
 from tallymark.config import Settings
+from tallymark.schema import TABLES
 from tallymark.operators import maintenance, reports
 from tallymark.plans import ingest
 from tallymark.plans.workbooks import workbook_bytes
@@ -65,17 +66,16 @@ def test_interrupted_batch_is_finished_from_its_staged_rows(spark, place, settin
     folder, root = place
     tables = PageTables(spark, root, settings)
     put(folder, "1_posts.csv", HEADER + "a,https://x/1,,,100,5\n")
-    real = PageTables._publish
 
-    def fail(self, name, staged):
-        if name == "company_analytics":
-            raise RuntimeError("driver lost")
-        real(self, name, staged)
+    def fail(self, key, bases=None):
+        raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(PageTables, "_publish", fail)
+    monkeypatch.setattr(PageTables, "publish", fail)
     with pytest.raises(RuntimeError):
         ingest.ingest_folder(spark, folder, tables, settings, "b1")
     monkeypatch.undo()
+    assert all(tables.read(name).isEmpty() for name in TABLES), "nothing shows before all does"
+    put(folder, "2_posts.csv", HEADER + "landed since,https://x/2,,,1,1\n")
     again = PageTables(spark, root, Settings(as_of=settings.as_of, key_buckets=99))
     assert again.buckets == settings.key_buckets, "the layout of the folder stays"
     later = settings.at(settings.as_of + timedelta(hours=1))
@@ -193,7 +193,9 @@ def test_clean_up_touches_only_what_is_old(spark, place, settings):
     ingest.clean_up(tables, settings, "c1")
     assert set(posts_of(tables)) == {"new"}, "the day of the first insert counts"
     assert [r.demographic_value for r in tables.read("follower_analytics").collect()] == ["Accra"]
-    days = [d for d in os.listdir(f"{root}/follower_analytics") if d.startswith("collected_day")]
+    tables.compact("k1")
+    base = next(d for d in os.listdir(f"{root}/follower_analytics") if d.startswith("base-") and not d.endswith(".crc"))
+    days = [d for d in os.listdir(f"{root}/follower_analytics/{base}") if d.startswith("collected_day")]
     assert days == ["collected_day=2025-09-01"]
     ingest.clean_up(tables, settings, "c2")
     assert set(posts_of(tables)) == {"new"}
@@ -203,7 +205,10 @@ def test_reclassify_stored(spark, place, settings):
     tables = PageTables(spark, place[1], settings)
     put(place[0], "1_posts.csv", HEADER + "my video,https://x/1,,,1,1\n")
     ingest.ingest_folder(spark, place[0], tables, settings, "b1")
-    tables.rewrite("post_analytics", "x", F.lit(True), lambda t: t.withColumn("post_type", F.lit("Sponsored")))
+    tables.begin("x", lambda: "x")
+    tables.change("post_analytics", "x", lambda: tables.read("post_analytics").select("post_id", F.lit("Sponsored").alias("post_type")), "set")
+    tables.finish("x")
+    assert posts_of(tables)["my video"].post_type == "Sponsored"
     ingest.reclassify_posts(tables, settings, "r1")
     assert posts_of(tables)["my video"].post_type == "video"
 

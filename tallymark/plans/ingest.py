@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,6 +14,7 @@ from ..functions.digest import with_digest_numbers
 from ..operators import maintenance, merge, rollups
 from ..operators.demographics import demographics_from_chunks
 from ..operators.posts import posts_from_chunks, posts_from_table
+from ..sources.csv_files import posts_from_csv_folder, read_csv_folder
 from ..sources.files import decode_chunks, file_name, file_route, is_export_name, list_files
 from ..sources.tables import PageTables, table_schema
 
@@ -205,6 +207,27 @@ def ingest_large_csv(rows: DataFrame, tables: PageTables, settings: Settings, ba
     return n
 
 
+def ingest_csv_folder(spark: SparkSession, folder: str, tables: PageTables, settings: Settings, batch_id: str) -> int:
+    """Posts out of all CSV files of a folder through Spark's reader; what cannot be placed goes to ``rejected_rows``."""
+    key = f"csv/{batch_id}"
+    done = tables.begin(key, lambda: _mark(list_files(spark, folder), "path", "mtime", "length"))
+    if done is not None:
+        return done["posts"]
+    found = read_csv_folder(spark, folder, settings)
+    n = 0
+    if found.tables:
+        posts, counts = tables.stage(key, "posts", lambda: posts_from_csv_folder(found, settings))
+        n = counts["rows"]
+        if n:
+            _, new = store_posts(tables, key, batch_id, posts, settings)
+            n = n if new is None else new
+        places = [t.select("source_file") for t in found.tables]
+        tables.change("file_ledger", key, lambda: maintenance.table_ledger_rows(reduce(DataFrame.unionAll, places), settings, batch_id))
+    tables.change("rejected_rows", key, lambda: found.rejects.withColumn("batch_id", F.lit(batch_id)))
+    tables.finish(key, posts=n)
+    return n
+
+
 def digest_summaries(messages: DataFrame, settings: Settings) -> DataFrame:
     """One company summary per digest mail, whatever its body holds."""
     return with_digest_numbers(messages).withColumns({

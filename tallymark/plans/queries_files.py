@@ -14,13 +14,14 @@ from ..config import Settings
 from ..operators import demographics, maintenance, posts, reports, rollups
 from ..session import scratch
 from ..sources import mail
+from ..sources.csv_files import posts_from_csv_folder, read_csv_folder
 from ..sources.files import decode_chunks, file_route, line_breaks_in_cells, read_large_csv
 from ..sources.snapshots import read_snapshots, snapshot_metrics, snapshot_posts
 from ..sources.tables import PageTables
 from ..streaming.folder import start_batches, stream_files
 from . import ingest
 from . import sqltext as q
-from .adapters import activity, as_binary, as_csv_files, hourly_export, hourly_posts, split_events
+from .adapters import activity, as_binary, as_csv_files, hourly_export, hourly_posts, quoted, split_events
 from .queries_tables import _KIND, _fold_sql, _rollup_sql, _shown, HOURLY, MERGE_MAX_SQL, NOW
 from .queries_values import by_turn, turn_sql
 from .registry import query, table
@@ -103,6 +104,44 @@ def csv_exports(spark: SparkSession, folder: str) -> DataFrame:
     return _digested(posts.posts_from_chunks(decode_chunks(files), NOW))
 
 
+def _csv_folder(spark: SparkSession, folder: str) -> str:
+    """The export as text files of 1000 posts: every other one below two lines and with its columns turned round, and
+    after each tenth post a row with too many cells."""
+    rows = _document_export(table(spark, folder, "documents"), "doc_id")
+    shown = [c for c in rows.columns if c != "doc_id"]
+    number, key = F.floor(F.col("doc_id") / 1000), F.col("doc_id")
+    turned = number % 2 == 1
+
+    def line(values: list[Column]) -> Column:
+        return F.when(turned, F.concat_ws(",", *values[::-1])).otherwise(F.concat_ws(",", *values))
+
+    names = [F.lit(f'"{c}"') for c in shown]
+    heads = rows.groupBy(number.alias("file")).agg(F.min("doc_id").alias("doc_id")).select(
+        "file", F.lit(-1).cast("long").alias("n"),
+        F.concat(F.when(turned, F.lit("Report of the page\n\n")).otherwise(""), line(names)).alias("value"),
+    )
+    body = line([quoted(F.col(f"`{c}`")) for c in shown])
+    lines = rows.select(number.alias("file"), key.alias("n"), F.when(key % 10 == 3, F.concat(body, F.lit("\n"), body, F.lit(',"x","y"'))).otherwise(body).alias("value"))
+    path = scratch(spark, "csv-folder")
+    lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "n").select("file", "value").write.partitionBy("file").text(path)
+    return path
+
+
+@query(_DOC_POSTS)
+def csv_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of two layouts, some with lines above the header, through Spark's CSV reader."""
+    found = read_csv_folder(spark, _csv_folder(spark, folder), NOW)
+    return _digested(posts_from_csv_folder(found, NOW))
+
+
+@query("SELECT 'more cells than the header' AS reason, count(*) AS n FROM documents WHERE doc_id % 10 = 3")
+def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that no column can be told for, kept aside by a batch into the tables."""
+    tables = PageTables(spark, scratch(spark, "tables"), Settings(key_buckets=8))
+    ingest.ingest_csv_folder(spark, _csv_folder(spark, folder), tables, NOW, "b1")
+    return tables.read("rejected_rows").groupBy("reason").agg(F.count("*").alias("n"))
+
+
 @query(
     """SELECT 'Café #é' || c_custkey || ', ' || c_name AS title, CAST(c_custkey AS BIGINT) AS impressions,
       ['utf-8', 'utf-16', 'cp1252', 'utf-8-sig'][1 + c_custkey // 300 % 4] AS encoding FROM customer"""

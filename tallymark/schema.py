@@ -75,6 +75,7 @@ TABLES = {
         "path string, file_name string, mtime timestamp, n_bytes bigint, kind string, "
         "rows bigint, status string, error string, batch_id string, processed_at timestamp"
     ),
+    "rejected_rows": "path string, record string, reason string, batch_id string",
 }
 SNAPSHOT = (
     "timestamp string, total_posts bigint, "

@@ -2,7 +2,7 @@
 
 
 def all_queries():
-    from . import queries_files, queries_tables, queries_values  # noqa: F401 - they register themselves
+    from . import queries_files, queries_runs, queries_tables, queries_values  # noqa: F401 - they register themselves
     from .registry import QUERIES
 
     return dict(QUERIES)

@@ -12,6 +12,7 @@ the join carries 16-byte keys, and the known side is the list of licences.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -102,9 +103,55 @@ NAMES = {
     "CC-BY-NC-4.0": ["CC BY-NC 4.0", "the Creative Commons Attribution-NonCommercial 4.0 International License"],
     "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal"],
 }
-SUBJECTS = ["", "This work is ", "This software is ", "This project is ", "This file is ", "This document is "]
+SUBJECTS = [
+    "", "This work is ", "This software is ", "This project is ", "This file is ", "This document is ", "This code is ", "This program is ",
+    "This library is ", "This package is ", "This module is ", "This repository is ", "The code is ", "The source code is ",
+]
 VERBS = ["licensed under ", "released under ", "distributed under ", "available under "]
 
+# Lines that say no more than a licence's name.
+TITLE_LINES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "License: MIT"],
+    "Apache-2.0": ["Apache License", "Apache License 2.0", "Apache License, Version 2.0", "License: Apache-2.0"],
+    "GPL-3.0": ["GNU General Public License v3.0", "GNU General Public License, version 3", "GNU GPLv3", "License: GPL-3.0"],
+    "GPL-2.0": ["GNU General Public License v2.0", "GNU General Public License, version 2", "GNU GPLv2", "License: GPL-2.0"],
+    "LGPL-3.0": ["GNU Lesser General Public License v3.0", "GNU LGPLv3"],
+    "AGPL-3.0": ["GNU Affero General Public License v3.0", "GNU AGPLv3"],
+    "MPL-2.0": ["Mozilla Public License 2.0", "Mozilla Public License Version 2.0"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", "License: BSD-3-Clause"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License"],
+    "ISC": ["ISC License", "The ISC License"],
+    "CC0-1.0": ["CC0 1.0 Universal"],
+}
+
+# The notices that two stewards ask to be put at the head of files.
+HEADERS = {
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+}
+
+# Further identifiers of the SPDX list, and the families whose identifiers come with two endings.
+SPDX_IDS = (
+    "AFL-2.1 AFL-3.0 APSL-2.0 Artistic-1.0 Artistic-2.0 BlueOak-1.0.0 BSD-1-Clause BSD-3-Clause-Clear BSD-4-Clause BSL-1.0 "
+    "CC-BY-1.0 CC-BY-2.0 CC-BY-2.5 CC-BY-3.0 CC-BY-NC-3.0 CC-BY-NC-ND-3.0 CC-BY-NC-ND-4.0 CC-BY-NC-SA-3.0 CC-BY-NC-SA-4.0 "
+    "CC-BY-ND-3.0 CC-BY-ND-4.0 CC-BY-SA-3.0 CDDL-1.0 CDDL-1.1 CECILL-2.1 CPL-1.0 ECL-2.0 EPL-1.0 EPL-2.0 EUPL-1.1 EUPL-1.2 "
+    "FTL IJG MIT-0 MS-PL MS-RL MulanPSL-2.0 NCSA ODbL-1.0 OFL-1.0 OFL-1.1 OpenSSL OSL-3.0 PHP-3.01 PostgreSQL PSF-2.0 "
+    "Python-2.0 QPL-1.0 Ruby SSPL-1.0 TCL Unicode-DFS-2016 Unlicense UPL-1.0 Vim W3C WTFPL X11 Xnet ZPL-2.1"
+).split()
+SPDX_FAMILIES = "AGPL-3.0 GFDL-1.2 GFDL-1.3 GPL-1.0 GPL-2.0 GPL-3.0 LGPL-2.0 LGPL-2.1 LGPL-3.0".split()
+
 
 # Fixed value: canonical lines that say whose copyright it is.
 RIGHTS = r"^ *(copyright (c )?|c )\d{4}|^ *all rights reserved *$"
@@ -116,22 +163,28 @@ TITLES = (
     r"|apache|mozilla public|gnu (lesser |library |affero )?general public)( software)? license"
     r"( (mit|expat|isc|zlib|0bsd|bsd|bsd [0-4] clause|v?\d( \d)*|version \d( \d)*))?$"
 )
-HOLDERS = (
-    r"^copyright (c |by )?(?!(a|also|an|and|are|as|assignment|by|c|claim|conditions|disclaimer|doctrines?|for|given|holders?|if|in|interests?|is|it|laws?|licen[cs]es?|licensed"
+NO_HOLDER = (
+    r"(a|also|an|and|are|as|assignment|by|c|claim|conditions|disclaimer|doctrines?|for|given|holders?|if|in|interests?|is|it|laws?|licen[cs]es?|licensed"
     r"|like|line|notices?|of|on|or|owners?|owned|ownership|patent|permission|protection|related|resulting|rights?|statements?|status|that|the copyright|those"
-    r"|terms|this|to|treaty|under|with|works?)\b)[\p{L}\p{N}]"
+    r"|terms|this|to|treaty|under|with|works?)\b"
 )
+HOLDERS = rf"^copyright (c |by )?(?!{NO_HOLDER})[\p{{L}}\p{{N}}]"
 HEAD = 32  # letters by which the first paragraph of a known text is recognised before anything is digested
 
 
 def known_texts() -> list[tuple[str, str]]:
-    """``(licence, text)`` of the texts above and of all notices that subjects, verbs and names make."""
+    """``(licence, text)``: the texts above and those of ``licence_texts``, headers of files, titles, identifiers, and all
+    notices that subjects, verbs and names make."""
+    whole = [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))]
     notices = [
         (licence, f"{subject}{verb}{name}")
         for licence, names in NAMES.items() for name in names for subject in SUBJECTS for verb in VERBS
     ]
-    marks = [(licence, f"SPDX-License-Identifier: {licence}") for licence in sorted({*TEXTS, *NAMES})]
-    return [*TEXTS.items(), *notices, *marks]
+    titles = [(licence, title) for licence, some in TITLE_LINES.items() for title in some]
+    ids = {licence: licence for licence in (*TEXTS, *NAMES, *SPDX_IDS, *SPDX_FAMILIES, *(name for name, _ in whole))}
+    ids |= {f"{licence}-{end}": licence for licence in SPDX_FAMILIES for end in ("only", "or-later")} | {f"{licence}+": licence for licence in SPDX_FAMILIES}
+    marks = [(licence, f"SPDX-License-Identifier: {name}") for name, licence in sorted(ids.items())]
+    return [*TEXTS.items(), *whole, *HEADERS.items(), *notices, *titles, *marks]
 
 
 def canonical_lines(text: Column) -> Column:
@@ -238,7 +291,7 @@ def scan(docs: DataFrame, known: Iterable[tuple[str, str]] | None = None) -> Dat
 
 
 def sql() -> str:
-    """The same rows in DuckDB, over the whole ``documents``, but for passages."""
+    """The same rows in DuckDB, over the whole ``documents``."""
 
     def lines(text: str) -> str:
         line = "concat(' ', x, ' ')"
@@ -250,11 +303,23 @@ def sql() -> str:
     def said(name: str) -> str:
         return f"coalesce(array_to_string(list_filter({name}, lambda x: x <> ''), ' '), '')"
 
+    # Without lookahead: a holder's name is what follows the word and is none of the words that do within licences.
+    name = "regexp_replace(x, '^copyright (c |by )?', '')"
+    gone = f"regexp_matches(x, '{TITLES}') OR (x LIKE 'copyright %' AND regexp_matches({name}, '^[\\pL\\pN]') AND NOT regexp_matches({name}, '^{NO_HOLDER}'))"
+    bodies = (
+        f"list_filter(list_transform(string_split_regex(coalesce(array_to_string(list_transform(list_filter(lines, lambda x: x IS NOT NULL), "
+        f"lambda x: CASE WHEN {gone} THEN '' ELSE x END), chr(10)), ''), '\n{{2,}}'), lambda x: trim(replace(x, chr(10), ' '))), lambda x: x <> '')"
+    )
     known = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in pair)) for pair in known_texts())
     return f"""
-WITH known AS (
-  SELECT md5({said("lines")}) AS digest, min(licence) AS licence
-  FROM (SELECT licence, {lines("text")} AS lines FROM (VALUES {known}) AS t(licence, text)) GROUP BY 1
+WITH forms AS (
+  SELECT *, {bodies} AS parts FROM (SELECT licence, {lines("text")} AS lines FROM (VALUES {known}) AS t(licence, text))
+), known AS (
+  SELECT digest, min(licence) AS licence FROM (
+    SELECT md5({said("lines")}) AS digest, licence FROM forms
+    UNION ALL SELECT md5(array_to_string(parts, ' ')), licence FROM forms WHERE len(parts) > 1) GROUP BY 1
+), heads AS (
+  SELECT DISTINCT left(parts[1], {HEAD}) AS head, length(array_to_string(parts, ' ')) AS n FROM forms WHERE len(parts) > 1
 ), held AS (
   SELECT doc_id, {lines("coalesce(text, '')")} AS lines FROM documents
 ), paragraphs AS (
@@ -265,6 +330,11 @@ WITH known AS (
   UNION ALL
   SELECT doc_id, 'paragraph', unnest(range(len(parts))), unnest(list_transform(parts, lambda x: trim(replace(x, chr(10), ' ')))) FROM paragraphs
   UNION ALL
+  SELECT doc_id, 'passage', nth, replace(left(rest, n), chr(10), ' ') FROM (
+    SELECT doc_id, nth, n, array_to_string(parts[nth + 1:], chr(10)) AS rest
+    FROM (SELECT doc_id, parts, unnest(range(len(parts))) AS nth FROM (SELECT doc_id, {bodies} AS parts FROM held)) JOIN heads ON left(parts[nth + 1], {HEAD}) = head)
+  WHERE length(rest) >= n AND substr(rest, n + 1, 1) IN ('', chr(10))
+  UNION ALL
   SELECT * FROM (SELECT doc_id, 'line', unnest(range(len(lines))), unnest(lines) AS said FROM held) WHERE said <> ''
 )
 SELECT doc_id, scope, CAST(nth AS INT) AS nth, licence FROM stretches JOIN known ON md5(said) = digest

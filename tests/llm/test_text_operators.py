@@ -320,7 +320,7 @@ def test_licences_in_any_spelling(spark, none):
     ]
     found = bag(licences.scan(odd_documents(spark, rows)), "doc_id", "scope", "licence")
     whole = {k[0] for k in found if k[1] == "document"}
-    assert whole == {2, 3, None}
+    assert whole == {2, 3, None} and found[1, "line", "MIT"] == 1
     assert found[7, "line", "CC-BY-NC-4.0"] == 1 and not any(k[0] in (4, 5, 6, 8) for k in found)
     assert licences.scan(none).count() == 0
 
@@ -338,3 +338,25 @@ def test_full_texts_inside_documents(spark):
     assert found == Counter({
         (1, 0, "MIT"): 1, (2, 0, "MIT"): 1, (3, 1, "BSD-2-Clause"): 1, (3, 6, "MIT"): 1, (3, 9, "MIT"): 1, (4, 0, "ISC"): 1,
     })
+
+
+def test_known_side_covers_texts_headers_names_and_identifiers(spark):
+    """Hits in all four scopes, also by the SQL."""
+    import duckdb
+
+    apache, gpl = dict(licences.known_texts())["Apache-2.0"], (licences.Path(licences.__file__).parent / "licence_texts/GPL-3.0.txt").read_text()
+    full = (licences.Path(licences.__file__).parent / "licence_texts/Apache-2.0.txt").read_text()
+    rows = [
+        (1, full), (2, gpl), (3, "/*\n" + "\n".join(f" * {x}" for x in licences.HEADERS["Apache-2.0"].split("\n")) + "\n */\nint x;"), (4, "MIT License"),
+        (5, "x\nThis code is licensed under the MIT License.\ny"), (6, "# SPDX-License-Identifier: GPL-3.0-or-later\nimport x"), (7, "Notices\n\n" + full + "\n\nEnd."),
+        (8, "SPDX-License-Identifier: GPL-2.0+"), (9, None), (10, "Copyright Some One\n\n" + licences.HEADERS["MPL-2.0"]), (11, licences.TEXTS["MIT"] + "\n\nmore"),
+    ]
+    assert apache
+    found = bag(licences.scan(odd_documents(spark, rows)), "doc_id", "scope", "nth", "licence")
+    told = {(k[0], k[3]) for k in found}
+    assert {(1, "Apache-2.0"), (2, "GPL-3.0"), (3, "Apache-2.0"), (4, "MIT"), (5, "MIT"), (6, "GPL-3.0"), (7, "Apache-2.0"), (8, "GPL-2.0"), (10, "MPL-2.0"), (11, "MIT")} <= told
+    assert {k[1] for k in found} == {"document", "paragraph", "line", "passage"}
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    duck.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert Counter(duck.execute(licences.sql()).fetchall()) == found

@@ -122,9 +122,10 @@ def learn(
                         ["lang", "gram", "n"],
                     )
 
-    seen = (
+    seen = written(
         rows.where(drawn).select(number.alias("lang"), "text").mapInArrow(count, "lang int, gram long, n long")
-        .groupBy("gram", "lang").agg(F.sum("n").alias("n"))
+        .groupBy("gram", "lang").agg(F.sum("n").alias("n")),
+        "seen-grams",
     )
     # The share of a gram within its order is what is compared; totals differ by language, not by gram.
     frequent = seen.where(F.col("n") >= min_count)

@@ -11,6 +11,7 @@ from ..operators import maintenance, posts
 from ..session import scratch
 from ..sources.tables import PageTables
 from ..streaming.folder import watch_folder
+from ..streaming.mails import watch_mails
 from . import ingest
 from .adapters import as_csv_files, hourly_export, hourly_posts, split_events
 from .queries_files import _SHOWN_FOLD, _written_exports
@@ -221,3 +222,43 @@ def watched_folder(spark: SparkSession, folder: str) -> DataFrame:
     land(parts[half:], half)
     watch_folder(spark, landing, tables, NOW, offsets, max_files=50, clock=lambda: NOW.as_of).awaitTermination()
     return _shown(tables.read("post_analytics")).drop("created", "updated")
+
+
+@query(
+    """SELECT 'digests' AS kind, count(*) AS n, CAST(sum(s_suppkey) AS BIGINT) AS followers, CAST(sum(s_suppkey * 2) AS BIGINT) AS impressions
+    FROM supplier WHERE s_suppkey % 2 = 0
+    UNION ALL SELECT 'posts', count(*), 0, CAST(sum(s_suppkey) AS BIGINT) FROM supplier WHERE s_suppkey % 2 = 1
+    UNION ALL SELECT 'files', count(*), 0, 0 FROM supplier WHERE s_suppkey % 2 = 1"""
+)
+def mail_run(spark: SparkSession, folder: str) -> DataFrame:
+    """A folder of mails into the tables: digests and attached exports, each once, though the stream is started twice."""
+    key = F.col("s_suppkey").cast("string")
+    lead = F.concat(F.lit("From: Updates <updates@linkedin.example>\nMIME-Version: 1.0\nSubject: "))
+    digest = F.concat(
+        lead, F.lit("Your page update\nContent-Type: text/plain\n\n"), key, F.lit(" followers and "),
+        (F.col("s_suppkey") * 2).cast("string"), F.lit(" impressions\n"),
+    )
+    attached = F.concat(
+        lead, F.lit('Content export\nContent-Type: multipart/mixed; boundary="b"\n\n--b\nContent-Type: text/plain\n\nsee file\n--b\n'),
+        F.lit('Content-Type: text/csv\nContent-Disposition: attachment; filename="posts_'), key,
+        F.lit('.csv"\n\nPost title,Post link,Impressions\nPost '), key, F.lit(",https://page.example.com/"), key, F.lit(","), key, F.lit("\n--b--\n"),
+    )
+    place, offsets, tables = scratch(spark, "mails"), scratch(spark, "offsets"), _stored(spark)
+    table(spark, folder, "supplier").select(F.when(F.col("s_suppkey") % 2 == 0, digest).otherwise(attached).alias("value")).write.option(
+        "maxRecordsPerFile", 1
+    ).text(place)
+    for _ in range(2):
+        watch_mails(spark, place, tables, NOW, offsets, max_files=5000, clock=lambda: NOW.as_of).awaitTermination()
+    none = F.lit(0).cast("long")
+    told = [
+        tables.read("analytics_history").where("total_posts = 0").agg(
+            F.count("*").alias("n"), F.sum("followers_count").alias("followers"), F.sum("impressions").alias("impressions")
+        ).select(F.lit("digests").alias("kind"), "n", "followers", "impressions"),
+        tables.read("post_analytics").agg(F.count("*").alias("n"), none.alias("followers"), F.sum("impressions").alias("impressions")).select(
+            F.lit("posts").alias("kind"), "n", "followers", "impressions"
+        ),
+        tables.read("file_ledger").where("status = 'ok'").agg(F.count("*").alias("n")).select(
+            F.lit("files").alias("kind"), "n", none.alias("followers"), none.alias("impressions")
+        ),
+    ]
+    return told[0].unionByName(told[1]).unionByName(told[2])

@@ -11,6 +11,7 @@ from .strings import strip
 _WHOLE_NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 _WHOLE_INTEGER = r"^[+-]?\d+$"
 _FIRST_NUMBER = r"(\d+(?:\.\d+)?)"
+_UNROUNDED = 1e11
 
 
 def or_zero(c: Column) -> Column:
@@ -22,6 +23,11 @@ def finite(c: Column) -> Column:
     return F.when(F.abs(c) < float("inf"), c)
 
 
+def _once(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def number_from_text(text: Column) -> Column:
     """The whole text as a number, or NULL.
 
@@ -35,7 +41,7 @@ def number_from_text(text: Column) -> Column:
 def first_number(text: Column) -> Column:
     """The first run of digits in the text, thousands separators dropped; the sign is lost."""
     digits = F.regexp_extract(F.translate(text, "%,", ""), _FIRST_NUMBER, 1)
-    return finite(F.when(digits != "", digits.try_cast("double")))
+    return _once(digits, lambda d: finite(F.when(d != "", d.try_cast("double"))))
 
 
 def safe_int(text: Column) -> Column:
@@ -59,8 +65,12 @@ def digits_with_commas(text: Column) -> Column:
 
 
 def fraction_to_percent(value: Column) -> Column:
-    """0.0036 means 0.36 %; 0.99 means 99 %, 1 means 1 %."""
-    return F.bround(F.when((value > 0) & (value < 1), value * 100.0).otherwise(value), 6)
+    """0.0036 means 0.36 %; 0.99 means 99 %, 1 means 1 %.
+
+    From ``_UNROUNDED`` on a double has no six decimals to round, and rounding it would be slow.
+    """
+    scaled = F.when((value > 0) & (value < 1), value * 100.0).otherwise(value)
+    return F.when(F.abs(value) < _UNROUNDED, F.bround(scaled, 6)).otherwise(value)
 
 
 def clean_rate(text: Column) -> Column:
@@ -68,7 +78,7 @@ def clean_rate(text: Column) -> Column:
     t = strip(text)
     percent = t.endswith("%")
     value = number_from_text(F.when(percent, F.translate(t, "%,", "")).otherwise(F.translate(t, ",", "")))
-    return F.coalesce(F.when(percent, value).otherwise(fraction_to_percent(value)), F.lit(0.0))
+    return _once(value, lambda v: F.coalesce(F.when(percent, v).otherwise(fraction_to_percent(v)), F.lit(0.0)))
 
 
 def percent_of(part: Column, whole: Column, scale: int) -> Column:

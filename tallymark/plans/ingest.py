@@ -28,7 +28,7 @@ class Ingested:
 
 def _mark(rows: DataFrame, *columns: str) -> str:
     """A digest of some columns that does not depend on the order of the rows."""
-    found = rows.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*columns)).alias("x"), F.sum(F.hash(*columns)).alias("s")).first()
+    found = rows.select(*columns).agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*columns)).alias("x"), F.sum(F.hash(*columns)).alias("s")).first()
     return f"{found['n']}:{found['x']}:{found['s']}"
 
 
@@ -120,7 +120,7 @@ def ingest_files(
     """
     named = files.where(is_export_name(file_name(), settings.manual))
     key = f"{operation}/{batch_id}"
-    done = tables.begin(key, lambda: _mark(named, "path", "modificationTime"))
+    done = tables.begin(key, lambda: _mark(named.select("path", "modificationTime").coalesce(1), "path", "modificationTime"))
     if done is not None:
         return Ingested(done["posts"], done["demographics"], done["files"])
     # Decoding is the costly step and three consumers follow, so its result is written once.

@@ -21,8 +21,9 @@ import json
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from .. import constants as K
 from ..config import Settings
@@ -60,6 +61,11 @@ def _policy(entry: dict) -> str | None:
     return found.pop() if found else None
 
 
+def _folder_name(key: str) -> str:
+    """A batch key as part of a folder's name; two keys never share one."""
+    return f"{key.replace('/', '-')}-{hashlib.md5(key.encode()).hexdigest()[:12]}"
+
+
 def table_schema(name: str) -> T.StructType:
     return T.StructType.fromDDL(TABLES[name])
 
@@ -257,9 +263,10 @@ class PageTables:
             if not found.getPath().getName().startswith(keep or ("/",)):
                 system.delete(found.getPath(), True)
         for name in TABLES:
-            for kind in ("merge", "set", "drop"):
-                for path in (self._change_path(name, key, kind), f"{self._change_path(name, key, kind)}.counts"):
-                    self._delete(path)
+            place, system = self._file_system(self.path(name))
+            for found in system.listStatus(place):
+                if found.getPath().getName().startswith(f"change-{_folder_name(key)}-"):
+                    system.delete(found.getPath(), True)
 
     def forget_batch(self, key: str) -> None:
         """A batch that found nothing to do leaves its id free."""
@@ -274,8 +281,12 @@ class PageTables:
     def _write(self, path: str, rows: DataFrame, mode: str = "overwrite", **observed) -> dict:
         """Write rows and what is observed of them, in one job after their shuffles."""
         seen = Observation()
-        watched = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in observed.items()])
-        watched.write.mode(mode).parquet(path)
+        reason = F.col("_reason") if "_reason" in rows.columns else F.lit(None)
+        watched = rows.observe(
+            seen, F.count_if(reason.isNull()).alias("rows"), F.count_if(reason.isNotNull()).alias("rejected"),
+            *[c.alias(n) for n, c in observed.items()],
+        )
+        watched.where(reason.isNull()).drop("_reason").write.mode(mode).parquet(path)
         found = dict(seen.get) | {"schema": rows.schema.json()}
         self._keep(f"{path}.counts", json.dumps(found))
         return found
@@ -290,31 +301,51 @@ class PageTables:
         return self.spark.read.schema(schema).parquet(path), found
 
     # --- changes --------------------------------------------------------------------------
-    def _change_path(self, name: str, key: str, kind: str) -> str:
-        return f"{self.path(name)}/change-{key.replace('/', '-')}-{kind}"
-
-    def change(self, name: str, key: str, rows: Callable[[], DataFrame], kind: str = "merge", policy: str | None = None) -> dict:
+    def _reason(self, name: str, kind: str) -> Column:
+        """Why a row cannot be stored: part of its key is missing, or another row of the batch has it too."""
+        if name not in _KEYS or kind != "merge":
+            return F.lit(None).cast("string")
+        keys = _KEYS[name]
+        missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+        twice = F.count("*").over(Window.partitionBy(*keys)) > 1
+        return F.when(missing, "part of the key is missing").when(twice, "the key occurs twice")
+
+    def change(
+        self, name: str, key: str, rows: Callable[[], DataFrame], kind: str = "merge", policy: str | None = None, label: str = "",
+    ) -> dict:
         """Write the changes of a batch to one table, one row per key; seen by nobody before ``finish``.
 
         ``merge`` rows meet the stored rows by the rule of the table, ``set`` rows only set the columns they
         have, ``drop`` rows take their key away. Columns that rows do not have keep their stored values.
         ``policy`` is that of the posts; changes under another one must be compacted first.
-        Returns their number and, for tables that age, the least ``date_collected``.
+        ``merge`` rows without a whole key, and all rows of a key that the batch has twice, go to ``rejected_rows``;
+        the others are taken. Returns their number and, for tables that age, the least ``date_collected``.
         """
-        path, columns = self._change_path(name, key, kind), _stored_schema(name)
-        known = self._note(f"{path}.counts")
-        if known is None:
+        path, columns = f"{self.path(name)}/change-{_folder_name(key)}-{kind}{label}", _stored_schema(name)
+
+        def checked() -> DataFrame:
             given = rows()
-            supplied = [c for c in columns.names if c in given.columns]
             full = given.select(*[
-                F.col(f.name).cast(f.dataType) if f.name in supplied else F.lit(None).cast(f.dataType).alias(f.name) for f in columns
-            ]).withColumn("change_no", F.lit(self._began(key) + 1).cast("long"))
+                F.col(f.name).cast(f.dataType) if f.name in given.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in columns
+            ])
+            return full.withColumns({"change_no": F.lit(self._began(key) + 1).cast("long"), "_reason": self._reason(name, kind)})
+
+        known = self._note(f"{path}.counts")
+        if known is None:
             observed = {"oldest": oldest_of()} if name in _DATED and kind == "merge" else {}
-            found = self._write(path, full, **observed) | {"supplied": supplied}
+            given = set(rows().columns)
+            found = self._write(path, checked(), **observed) | {"supplied": [c for c in columns.names if c in given]}
             del found["schema"]
             self._keep(f"{path}.counts", json.dumps(found))
         else:
             found = json.loads(known)
+        if found["rejected"]:
+            record = F.to_json(F.struct(*columns.names)).alias("record")
+            self.change(
+                "rejected_rows", key,
+                lambda: checked().where("_reason IS NOT NULL").select(F.lit(name).alias("path"), record, F.col("_reason").alias("reason"), F.lit(key).alias("batch_id")),
+                label=f"-{name}",
+            )
         self._pending[key].append((name, {"path": path.removeprefix(f"{self.root}/"), "kind": kind, "key": key, "policy": policy, **found}))
         return found
 
@@ -361,7 +392,7 @@ class PageTables:
         for name, entry in state.items():
             if not entry["changes"]:
                 continue
-            path, by = f"{name}/base-{key.replace('/', '-')}", _PARTITION.get(name, (None,))[0]
+            path, by = f"{name}/base-{_folder_name(key)}", _PARTITION.get(name, (None,))[0]
             seen = Observation()
             observed = [oldest_of().alias("oldest")] if name in _DATED else []
             rows = self._bucketed(name, self._folded(name, entry))
@@ -388,7 +419,7 @@ class PageTables:
             place, system = self._file_system(self.path(name))
             for found in system.listStatus(place) if last else []:
                 path = f"{name}/{found.getPath().getName()}"
-                mine = any(path.startswith(f"{name}/change-{key.replace('/', '-')}") for key in running)
+                mine = any(path.startswith(f"{name}/change-{_folder_name(key)}-") for key in running)
                 if path.removesuffix(".counts") not in used and not mine:
                     system.delete(found.getPath(), True)
         for number in range(1, last - versions + 1):

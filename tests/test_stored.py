@@ -126,6 +126,21 @@ def test_changes_of_two_policies_do_not_mix(spark, tmp_path, settings):
     assert tables.read("post_analytics").first().impressions == 3
 
 
+def test_keys_are_checked_when_a_batch_publishes(spark, tmp_path, settings):
+    """A planted double and a missing key are found; the others are published."""
+    tables = PageTables(spark, str(tmp_path / "t"), settings)
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4), ("c", 5)], "post_id string, impressions long")
+    for _ in range(2):  # the second time from what is written
+        if tables.begin("b/1", lambda: "x") is None:
+            assert tables.change("post_analytics", "b/1", lambda: rows)["rows"] == 2
+    tables.finish("b/1")
+    assert sorted(r.post_id for r in tables.read("post_analytics").collect()) == ["a", "c"]
+    rejected = [(r.path, r.reason, '"impressions":%d' % n in r.record) for r, n in zip(tables.read("rejected_rows").orderBy("record").collect(), (4, 2, 3))]
+    assert sorted(rejected) == [
+        ("post_analytics", "part of the key is missing", True), ("post_analytics", "the key occurs twice", True), ("post_analytics", "the key occurs twice", True),
+    ]
+
+
 def test_dropped_rows_may_come_back(spark, tmp_path):
     tables = PageTables(spark, str(tmp_path / "t"), Settings())
     old, now = Settings(as_of=datetime(2025, 1, 1)), Settings(as_of=datetime(2025, 9, 1))

@@ -172,24 +172,38 @@ def test_a_clean_up_without_old_rows_reads_nothing(spark, tmp_path, settings, mo
 def test_exports_count_by_their_time(spark, tmp_path):
     """All orders of three exports give the same posts."""
     settings = Settings(as_of=datetime(2025, 9, 1), by_export_time=True, key_buckets=2)
-    exports = {
-        "posts_jan.csv": (datetime(2025, 1, 1), "old,https://x/1,,08/06/2025,50,5\nonly,https://x/2,,,1,1\n"),
-        "posts_feb.csv": (datetime(2025, 2, 1), "newer,https://x/1,Video,08/06/2025,90,1\n"),
-        "posts_mar.csv": (datetime(2025, 3, 1), "newest,https://x/1,Article,08/06/2025,70,9\n"),
-    }
+    exports = [[("a", 50, "old"), ("b", 1, "only")], [("a", 90, "newer")], [("a", 70, "newest"), ("c", 2, "last")]]
+    stamps = dict.fromkeys(("date_collected", "created_at", "updated_at"), settings.now)
     seen = set()
-    for n, order in enumerate(itertools.permutations(exports)):
+    for n, order in enumerate(itertools.permutations(range(3))):
         tables = PageTables(spark, str(tmp_path / f"t{n}"), settings)
-        for name in order:
-            at, text = exports[name]
-            put(tmp_path / f"in{n}" / name, name, HEADER + text, at)
-            ingest.ingest_folder(spark, str(tmp_path / f"in{n}" / name), tables, settings, name)
-            if n % 2 and name == order[1]:
+        for i in order:
+            at = F.lit(datetime(2025, 1 + i, 1).isoformat()).cast("timestamp")
+            full = [(k, v, v % 3, v % 2, 0, 0, v, 0.5, 1.5, title, 0) for k, v, title in exports[i]]
+            posts = incoming_frame(spark, full).withColumn("arrival", F.struct(at.alias("exported_at"), "arrival.*"))
+            tables.begin(f"b/{i}", lambda: "x")
+            tables.change(
+                "post_analytics", f"b/{i}",
+                lambda posts=posts: merge.fold_posts(posts).withColumns(stamps | {"exported_at": F.col("arrival.exported_at")}), policy="max",
+            )
+            tables.finish(f"b/{i}")
+            if n % 3 == 1 and i == order[1]:
                 tables.compact("k")
-        seen.add(tuple(rows_of(tables.read("post_analytics"))))
+        seen.add(tuple(rows_of(tables.read("post_analytics"), "updated_at")))
     assert len(seen) == 1 and any("'newest'" in r and "'impressions': 90" in r for r in seen.pop())
 
 
+def test_the_time_of_a_file_is_its_export_time(spark, tmp_path):
+    settings = Settings(as_of=datetime(2025, 9, 1), by_export_time=True, key_buckets=2)
+    tables = PageTables(spark, str(tmp_path / "t"), settings)
+    for month, title in ((3, "newest"), (1, "old")):
+        folder = str(tmp_path / str(month))
+        put(folder, "posts.csv", HEADER + f"{title},https://x/1,,08/06/2025,{90 - month},5\n", datetime(2025, month, 1))
+        ingest.ingest_folder(spark, folder, tables, settings, f"b{month}")
+    row = tables.read("post_analytics").first()
+    assert (row.post_title, row.impressions) == ("newest", 89)
+
+
 def test_jobs_of_a_batch(spark, tmp_path, settings):
     put(tmp_path / "in", "1_posts.csv", HEADER + "a,https://x/1,,08/06/2025,100,5\n")
     put(tmp_path / "in", "2_followers.csv", "Location,Members\nLagos,3\n")

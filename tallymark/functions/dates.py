@@ -1,8 +1,9 @@
 """Dates in many spellings, as native column expressions.
 
-The shapes exclude each other, so "try the formats in turn" is: find the shape,
-rewrite the text as year-month-day, and cast once. For ``a/b/year`` the preferred
-order of day and month counts if that date exists, else the other order.
+Two steps. The first settles the classes of tokens: it takes the clock off, wherever it
+stands, and writes what is left as numbers in one of few shapes. The shapes exclude each
+other, so the second step casts once. For ``a/b/year`` the preferred order of day and
+month counts if that date exists, else the other order.
 """
 
 from __future__ import annotations
@@ -17,56 +18,93 @@ _MONTH = (
     "(jan|january|feb|february|mar|march|apr|april|may|jun|june|jul|july|aug|august|"
     "sep|sept|september|oct|october|nov|november|dec|december)"
 )
-_WEEKDAY = r"(?:(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?[.,]?\s+)?"
-_LAST_CENTURY = r"^(\d{1,2}([/.-])\d{1,2}\2)(69|[7-9]\d)$"
-_THIS_CENTURY = r"^(\d{1,2}([/.-])\d{1,2}\2)(\d{2})$"
+_WEEKDAY = "(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?"
+_CENTURIES = [
+    (r"^(\d{1,2}([/.-])\d{1,2}\2)(69|[7-9]\d)$", "$119$3"),
+    (r"^(\d{1,2}([/.-])\d{1,2}\2)(\d{2})$", "$120$3"),
+]
 _SLASHED = r"^(\d{1,2})([/.-])(\d{1,2})\2(\d{4})$"
-_ISO = r"^(\d{4})([/-])(\d{1,2})\2(\d{1,2})$"
-_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
-_MONTH_FIRST = rf"(?i)^{_WEEKDAY}{_MONTH}\.?\s+(\d{{1,2}})(?:,\s*|\s+)(\d{{4}}|\d{{2}})$"
-_DAY_FIRST = rf"(?i)^{_WEEKDAY}(\d{{1,2}})[\s-]+{_MONTH}\.?[\s,-]+(\d{{4}}|\d{{2}})$"
+_DAYS = [
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+    (r"(?s)^(?!\d{4}-\d{1,2}-\d{1,2}\z).*$", ""),  # all else is no date
+]
+_LATE = r"3[2-9]|[4-9]\d"  # two digits that can only be a year
+_PLAIN = rf"^(?!(?:{_LATE})\D)\d{{1,2}}([/.-])\d{{1,2}}\1(?:\d{{4}}|\d{{2}})$|^\d{{4}}([/-])\d{{1,2}}\2\d{{1,2}}$|^\d{{8}}$"
+_TIME = r"\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?(?:\s*[AaPp][Mm])?+(?:\s*(?:Z|UTC|GMT|[+-]\d{2}:?\d{2}))?+"
+_EARLY_TIME = rf"^(.*?)(?<![\d:])({_TIME})(?![\w:+-])[\s,]+(.*\S.*)$"
 _CLOCK = (
-    r"^(.*?)[T\s,]+(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?\s*([AaPp][Mm])?\s*(Z|UTC|GMT|[+-]\d{2}:?\d{2})?$"
+    r"^(.*?)(?:(?<=\d)T|[\s,]+T?)\s*"
+    r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?\s*([AaPp][Mm])?\s*(Z|UTC|GMT|[+-]\d{2}:?\d{2})?$"
 )
+_BARE_HOUR = r"(?<![\d:.,])(\d{1,2})\s*([AaPp][Mm])\b"
+# Tokens: numbers, "m" for the name of a month, "o" behind an ordinal; one blank between them.
+_TOKENS = [
+    (rf"(?<![a-z])(?:{_WEEKDAY}|of|at|on)(?![a-z])", " "),
+    (rf"(?<![a-z]){_MONTH}(?![a-z])", " m "),
+    (r"(?<=\d)(?:st|nd|rd|th)(?![a-z])", "o"),
+    (r"^\d+\s*([/.-])\s*\d+\s*(?!\1)[/.-]\s*\d+$", "?"),  # two kinds of marks
+    (r"[\s,./;'-]+", " "),
+    (r"^ | $", ""),
+    (r"^(.+?) m( .+)?$", "m $1$2"),
+]
+_SHAPES = [
+    (r"^m (\d{4})$", "$1-m-1"),
+    (rf"^m (\d{{4}}|{_LATE}) (\d{{1,2}})o?$", "$1-m-$2"),
+    (r"^m (\d{2}) (\d{1,2})o$", "$1-m-$2"),
+    (r"^m (\d{1,2})o? (\d{4}|\d{2})$", "$2-m-$1"),
+    (r"^(1[789]\d\d|2[01]\d\d)$", "$1-1-1"),
+    (r"^(\d{4}) (\d{1,2})$", "$1-$2-1"),
+    (r"^(\d{1,2}) (\d{4})$", "$2-$1-1"),
+    (rf"^(\d{{4}}|{_LATE}) (\d{{1,2}})o? (\d{{1,2}})o?$", "$1-$2-$3"),
+    (r"^(\d{1,2})o? (\d{1,2})o? (\d{4}|\d{2})$", "$1/$2/$3"),
+    (r"^(69|[7-9]\d)-", "19$1-"),
+    (r"^(\d{2})-", "20$1-"),
+]
 
 
 def _int(text: Column) -> Column:
     return text.try_cast("int")
 
 
-def _named_day(text: Column, pattern: str, month: int, rest: str) -> Column:
-    """Year-month-day of a date with a month name; ``rest`` gives year and day as ``year-``, ``-day``."""
-    name = F.lower(F.substring(F.regexp_extract(text, pattern, month), 1, 3))
+def _rewritten(text: Column, rules: list[tuple[str, str]]) -> Column:
+    for pattern, by in rules:
+        text = F.regexp_replace(text, pattern, by)
+    return text
+
+
+def _clock_last(text: Column) -> Column:
+    """The clock behind the date; an hour with am or pm is a clock too."""
+    return _rewritten(text, [(_BARE_HOUR, "$1:00 $2"), (_EARLY_TIME, "$1 $3 $2")])
+
+
+def plain_day(text: Column) -> Column:
+    """The date part in numbers: ``y-m-d`` where the order is clear, ``a/b/y`` where it is not.
+
+    Reads names of months and weekdays, ordinals, years of four or two digits, and dates without a day (the
+    first). Four digits, or two above 31, in front are the year, then month, then day. Without a year, with
+    other words, or with two kinds of marks between three numbers, no date is read.
+    """
+    low = F.lower(text)
+    name = F.substring(F.regexp_extract(low, rf"(?<![a-z]){_MONTH}(?![a-z])", 1), 1, 3)
     number = F.floor((F.instr(F.lit(_MONTHS), name) + 2) / 3).cast("string")
-    return F.replace(F.regexp_replace(text, pattern, rest), F.lit("m"), number)
+    settled = _rewritten(_rewritten(low, _TOKENS), _SHAPES)
+    return F.when(text.rlike(_PLAIN), text).otherwise(F.regexp_replace(settled, r"(?<=^\d{4}-)m(?=-)", number))
 
 
 def parse_day(text: Column, day_first: bool = False) -> Column:
-    """The date-only spellings as midnight, or NULL. Two-digit years 69-99 lie in the last century."""
-    full = F.regexp_replace(F.regexp_replace(text, _LAST_CENTURY, "$119$3"), _THIS_CENTURY, "$120$3")
-    month_day, day_month = "$4-$1-$3", "$4-$3-$1"
-    preferred, other = (day_month, month_day) if day_first else (month_day, day_month)
-    slashed = F.coalesce(
-        F.regexp_replace(full, _SLASHED, preferred).try_cast("date"),
-        F.regexp_replace(full, _SLASHED, other).try_cast("date"),
-    )
-    spelled = (
-        F.when(text.rlike(_ISO), F.regexp_replace(text, _ISO, "$1-$3-$4"))
-        .when(text.rlike(_MONTH_FIRST), _named_day(text, _MONTH_FIRST, 1, "$3-m-$2"))
-        .when(text.rlike(_DAY_FIRST), _named_day(text, _DAY_FIRST, 2, "$3-m-$1"))
-        .when(text.rlike(_COMPACT), F.regexp_replace(text, _COMPACT, "$1-$2-$3"))
-    )
-    day = F.when(text.rlike(r"^\d{1,2}[/.-]\d{1,2}[/.-]"), slashed).otherwise(
-        F.regexp_replace(F.regexp_replace(spelled, r"^(69|[7-9]\d)-", "19$1-"), r"^(\d{2})-", "20$1-").try_cast("date")
-    )
-    return day.cast("timestamp")
+    """A ``plain_day`` as midnight, or NULL. Two-digit years 69-99 lie in the last century."""
+    orders = ["$4-$3-$1", "$4-$1-$3"] if day_first else ["$4-$1-$3", "$4-$3-$1"]
+    readings = [_rewritten(text, [*_CENTURIES, (_SLASHED, order), *_DAYS]).try_cast("date") for order in orders]
+    return F.coalesce(*readings).cast("timestamp")
 
 
 def split_clock(text: Column) -> tuple[Column, Column]:
-    """The date part of a trimmed text, and the time of day in microseconds (NULL if impossible).
+    """The date part of a trimmed text as ``plain_day``, and the time of day in microseconds (NULL if impossible).
 
     A zone is taken off the time, so the sum of both parts is UTC.
     """
+    text = _clock_last(text)
 
     def clock(group: int) -> Column:
         return F.regexp_extract(text, _CLOCK, group)
@@ -88,10 +126,10 @@ def split_clock(text: Column) -> tuple[Column, Column]:
     ).otherwise(0)
     seconds = hour * 3600 + (minute - zone_minutes) * 60 + second
     timed = text.contains(":")
-    day = F.when(timed, strip(clock(1))).otherwise(text)
+    day = strip(F.regexp_replace(text, _CLOCK, "$1"))
     within = (minute <= 59) & (second <= 59)
     shift = F.when(timed, F.when(within, seconds.cast("bigint") * 1000000 + micros)).otherwise(0)
-    return day, shift
+    return plain_day(day), shift
 
 
 def join_clock(day: Column, shift: Column) -> Column:

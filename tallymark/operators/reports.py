@@ -121,15 +121,14 @@ def ambiguous_dates(rows: DataFrame, raw: Column, campaign: Column, settings: Se
     )
     day, shift = dates.split_clock(strip(text))
     parts = parts.withColumns({"day": day, "shift": shift})
-    readings = parts.select(
-        "post_url",
-        "raw_created",
-        *[
-            dates.join_clock(dates.parse_day(F.col("day"), day_first), F.col("shift")).alias(name)
-            for name, day_first in (("dmy", True), ("mdy", False))
-        ],
-        "campaign_start",
-    ).where(F.col("dmy").isNotNull() & F.col("mdy").isNotNull())
+    readings = F.struct(*[
+        dates.join_clock(dates.parse_day(F.col("day"), day_first), F.col("shift")).alias(name)
+        for name, day_first in (("dmy", True), ("mdy", False))
+    ])
+    # A generator, so that the filter is not moved below it, where it would parse every date again.
+    readings = parts.select("post_url", "raw_created", F.inline(F.array(readings)), "campaign_start").where(
+        F.col("dmy").isNotNull() & F.col("mdy").isNotNull()
+    )
     first = F.make_timestamp(*[F.lit(v) for v in (K.PLAUSIBLE_FIRST_YEAR, 1, 1, 0, 0, 0)])
     last = F.make_timestamp(*[F.lit(v) for v in (settings.as_of.year + 1, 12, 31, 0, 0, 0)])
     chosen = dates.choose_order(F.col("dmy"), F.col("mdy"), start, first, last)

@@ -187,6 +187,56 @@ def parse_date_times(spark: SparkSession, folder: str) -> DataFrame:
     return parts.select("event_id", "raw", F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("moment"))
 
 
+# Spellings beyond the listed formats: strftime and date_format patterns, and how the text is read. "swapped" is the
+# day and month exchanged where the preferred order asks for it and the date exists.
+_SPELLINGS = [
+    ("%-d{th} %B %Y", "d'{th}' MMMM yyyy", "day"), ("%b %Y", "MMM yyyy", "month"), ("%B, %Y", "MMMM, yyyy", "month"),
+    ("10:00 %-m/%-d/%Y", "'10:00' M/d/yyyy", "month first"), ("10:00 %-d/%-m/%Y", "'10:00' d/M/yyyy", "day first"),
+    ("%Y %b %-d", "yyyy MMM d", "day"), ("%Y-%b-%d", "yyyy-MMM-dd", "day"), ("%Y %-d %B", "yyyy d MMMM", "day"),
+    ("%A %-d{th} of %B, %Y", "EEEE d'{th} of' MMMM, yyyy", "day"), ("%-d%b%Y", "dMMMyyyy", "day"),
+    ("%Y.%m.%d", "yyyy.MM.dd", "day"), ("%m/%Y", "MM/yyyy", "month"), ("%Y-%m", "yyyy-MM", "month"),
+    ("%-m %-d %Y", "M d yyyy", "month first"), ("%a %b %-d 10:00 UTC %Y", "EEE MMM d '10:00 UTC' yyyy", "day"),
+    ("10am %b %-d %Y", "'10am' MMM d yyyy", "day"), ("%-d %b %Y at 10:00", "d MMM yyyy 'at 10:00'", "day"),
+    ("%b %-d", "MMM d", "nothing"), ("%Y %b %-d 10:00 EST", "yyyy MMM d '10:00 EST'", "nothing"),
+    ("%-m/%-d-%Y", "M/d-yyyy", "nothing"), ("week of %B %Y", "'week of' MMMM yyyy", "nothing"), ("%Y", "yyyy", "year"),
+]
+
+
+def _ordinal_ending(day: str) -> str:
+    return f"CASE WHEN {day} IN (1, 21, 31) THEN 'st' WHEN {day} IN (2, 22) THEN 'nd' WHEN {day} IN (3, 23) THEN 'rd' ELSE 'th' END"
+
+
+def _spelled_sql(day_first: bool) -> str:
+    swapped = "CASE WHEN day(d) <= 12 THEN make_date(year(d), day(d), month(d)) ELSE d END"
+    read = {
+        "day": "d", "month": "date_trunc('month', d)::DATE", "year": "date_trunc('year', d)::DATE", "nothing": "NULL",
+        "month first": swapped if day_first else "d", "day first": "d" if day_first else swapped,
+    }
+    days = turn_sql("o_orderkey", *[read[r] for *_, r in _SPELLINGS])
+    hours = turn_sql("o_orderkey", *["10" if "10" in shown else "0" for shown, *_ in _SPELLINGS])
+    return f"strftime({days}::TIMESTAMP + to_hours({hours}), '%Y-%m-%d %H:%M')"
+
+
+@query(
+    f"""SELECT o_orderkey, replace({turn_sql('o_orderkey', *[f"strftime(d, '{shown}')" for shown, *_ in _SPELLINGS])},
+        '{{th}}', {_ordinal_ending('day(d)')}) AS raw,
+      {_spelled_sql(False)} AS month_first, {_spelled_sql(True)} AS day_first
+    FROM (SELECT o_orderkey, o_orderdate::DATE AS d FROM orders)"""
+)
+def general_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Dates in spellings that no format lists, in both orders."""
+    d = F.col("o_orderdate")
+    shown = by_turn(F.col("o_orderkey"), *[F.date_format(d, pattern) for _, pattern, _ in _SPELLINGS])
+    raw = F.replace(shown, F.lit("{th}"), F.expr(_ordinal_ending("day(o_orderdate)")))
+    texts = table(spark, folder, "orders").select("o_orderkey", raw.alias("raw"))
+    day, shift = dates.split_clock(F.col("raw"))
+    parts = texts.withColumns({"day": day, "shift": shift})
+    return parts.select("o_orderkey", "raw", *[
+        F.date_format(dates.join_clock(dates.parse_day(F.col("day"), first), F.col("shift")), "yyyy-MM-dd HH:mm").alias(name)
+        for name, first in (("month_first", False), ("day_first", True))
+    ])
+
+
 _AMBIGUOUS_AS_OF = Settings(as_of=datetime(2000, 6, 1))
 
 

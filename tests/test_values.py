@@ -1,7 +1,9 @@
 """Scalars on literals: one table per function."""
 
+import warnings
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,6 +88,47 @@ def test_dates_day_first(spark):
     }, lambda c: dates.parse_date(c, day_first=True))
 
 
+SPELLED = [
+    f"{before}{shape}{after}"
+    for shape in (
+        "5th January 2024", "2024 Jan 5", "2024 5 Jan", "2024-Jan-05", "January 5th, 2024", "Jan-5-2024",
+        "5th of January, 2024", "5jan2024", "05Jan24", "Jan 30 45", "5/Jan/2024", "5. January 2024", "5 jan. 2024", "Sept. 5, 2024",
+        "1/2/2024", "13/2/2024", "1 2 2024", "13 2 2024", "5-1 2024", "1/2 2024", "1,2,2024", "12 11 10", "2nd/3/2024",
+        "Friday, 5 January 2024", "31st Feb 2024", "Jan 0 2024", "32 Jan 2024", "5 Januar 2024", "(1/2/2024)", "1_2_2024",
+        "Jan 5 12024", "2 AUGUST 2024", "the 5th of May 2024",
+    )
+    for before, after in (
+        ("", ""), ("10:00 ", ""), ("", " 10:30 pm"), ("10am ", ""), ("", " at 10:00"), ("10:00:15.5 ", ""), ("", ", 10:00"),
+        ("10:00 UTC ", ""), ("", " 10:00 +0200"),
+    )
+] + ["Jan 2024", "2024 Jan", "January, 2024", "2024-Jan"]  # with a clock that parser takes today's day
+
+
+@pytest.mark.parametrize("day_first", [False, True])
+def test_general_dates_as_a_general_parser_reads_them(spark, day_first):
+    def general(text):
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            moment = pd.to_datetime(text, dayfirst=day_first, errors="coerce")
+        if moment is pd.NaT:
+            return None
+        return (moment.tz_convert("UTC").tz_localize(None) if moment.tzinfo else moment).to_pydatetime()
+
+    found = dict(zip(SPELLED, evaluate(spark, SPELLED, lambda c: dates.parse_date(c, day_first)), strict=True))
+    assert {t: (v, general(t)) for t, v in found.items() if v != general(t)} == {}
+
+
+def test_general_dates_that_are_decided_here(spark):
+    cases = {
+        "2024 01 05": D(2024, 1, 5), "2024.01.05": D(2024, 1, 5), "99/1/2": D(1999, 1, 2), "75 Jan 5": D(1975, 1, 5),
+        "24 Jan 5th": D(2024, 1, 5), "2024": D(2024, 1, 1), "01/2024": D(2024, 1, 1), "13/2024": None, "Jan 5": None, "10:00": None,
+        "Monday": None, "today": None, "5 Jan 2024 10:00 EST": None, "1/2/5": None, "1/2-2024": None, "m": None, "mmmmmmmm": None,
+        "Jan Feb 2024": None, "10:00 5 Jan 2024 BC": None, "10:00 11:00 5 Jan 2024": None, "5 Jan 2024 13 pm": None, "x" * 100_000: None, "1 " * 50_000: None,
+    }
+    check(spark, cases, dates.parse_date)
+    check(spark, cases, lambda c: dates.parse_date(c, True))
+
+
 def test_dates_with_time(spark):
     check(spark, {
         "2025-08-06 14:30:05": D(2025, 8, 6, 14, 30, 5), "2025-08-06T14:30:05.25Z": D(2025, 8, 6, 14, 30, 5, 250000),

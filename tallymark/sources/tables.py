@@ -9,6 +9,9 @@ the table; ``compact`` does the same once and makes the result the new base.
 A version is created only if it does not exist. A writer that began at an older version
 than the one it finds gets an error, and its batch starts anew when it is repeated.
 
+The base of the posts is bucketed and sorted by key. Buckets are known to a catalog only, so
+each session enters the base into its own, as an external table with a name out of its path.
+
 A batch has a key: the operation and the id it was given. A mark of its input stands
 beside it; a key that comes back with another input is an error. Whatever a batch writes is
 written once and kept with its counts, so one that was cut off goes on where it was.
@@ -30,7 +33,8 @@ from ..config import Settings
 from ..operators import merge
 from ..schema import TABLES
 
-# Base folders of keyed tables are cut by something the key determines, so a read of some keys or days reads only those.
+# Base folders of keyed tables are cut by something the key determines, so a read of some keys or days reads only those:
+# posts by Spark's own buckets, whose number stands in each row, the others by folders of days.
 _PARTITION = {
     "post_analytics": ("key_bucket", T.IntegerType()),
     "post_metrics_history": ("observed_date", T.DateType()),
@@ -169,7 +173,25 @@ class PageTables:
             return df
         if by == "collected_day":
             return df.withColumn(by, F.to_date("date_collected"))
-        return df.withColumn(by, F.pmod(F.xxhash64(*K.POST_KEY), F.lit(self.buckets)).cast("int"))
+        return df.withColumn(by, F.pmod(F.hash(*K.POST_KEY), F.lit(self.buckets)).cast("int"))  # as bucketBy counts them
+
+    def _qualified(self, path: str) -> str:
+        place, system = self._file_system(f"{self.root}/{path}")
+        return system.makeQualified(place).toString()
+
+    def _catalog_name(self, path: str) -> str:
+        return f"tallymark_base_{hashlib.md5(self._qualified(path).encode()).hexdigest()}"
+
+    def _opened(self, path: str, schema: T.StructType) -> DataFrame:
+        """A bucketed base as an external table of the session's catalog, which alone tells Spark of buckets."""
+        name, columns = self._catalog_name(path), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        if not self.spark.catalog.tableExists(name):
+            keys, place = ", ".join(K.POST_KEY), self._qualified(path).replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{place}'"
+            )
+        return self.spark.read.table(name)
 
     def _base(self, name: str, entry: dict, buckets: list | None = None) -> DataFrame:
         schema, by = _stored_schema(name), _PARTITION.get(name)
@@ -178,7 +200,10 @@ class PageTables:
             return self.spark.createDataFrame([], schema)
         if by is not None and by[0] not in columns:
             schema = _stored_schema(name).add(by[0], by[1])
-        rows = self.spark.read.schema(schema).parquet(f"{self.root}/{entry['base']}")
+        if name == "post_analytics":
+            rows = self._opened(entry["base"], schema)
+        else:
+            rows = self.spark.read.schema(schema).parquet(f"{self.root}/{entry['base']}")
         if buckets is not None:
             rows = rows.where(F.col(by[0]).isin(buckets))
         return rows.select(*columns)
@@ -200,26 +225,40 @@ class PageTables:
         return self._folded(name, entry, buckets).select(*table_schema(name).names)
 
     def _folded(self, name: str, entry: dict, buckets: list | None = None) -> DataFrame:
+        """The base with its changes. Base rows whose key no change has pass by as they are, without a shuffle: the
+        keys of the changes are broadcast if Spark finds them small, else they come to the buckets of the base."""
         base, columns = self._base(name, entry, buckets), _stored_schema(name).names
         if not entry["changes"]:
             return base
-        rows = base.withColumns({"change_no": F.lit(0).cast("long"), "kind": F.lit("base"), "supplied": F.lit(None).cast("array<string>")})
         alike: dict[tuple, list[str]] = {}
         for change in entry["changes"]:
             alike.setdefault((change["kind"], *change["supplied"]), []).append(f"{self.root}/{change['path']}")
         schema = _stored_schema(name).add("change_no", T.LongType())
-        for (kind, *supplied), paths in alike.items():
-            rows = rows.unionByName(self.spark.read.schema(schema).parquet(*paths).withColumns({
+        rows = reduce(DataFrame.unionByName, [
+            self.spark.read.schema(schema).parquet(*paths).withColumns({
                 "kind": F.lit(kind), "supplied": F.array(*[F.lit(c) for c in supplied]).cast("array<string>"),
-            }))
+            })
+            for (kind, *supplied), paths in alike.items()
+        ])
         if name not in _KEYS:
-            return rows.select(*columns)
+            return base.unionByName(rows.select(*columns))
+        keys, rest = _KEYS[name], None
+        if entry["base"] is not None:
+            touched = rows.select(*keys)
+            if name == "post_analytics":
+                touched = touched.repartition(self.buckets, *keys)
+            rest = base.join(touched, keys, "left_anti").select(*columns)
+            rows = rows.unionByName(base.join(touched, keys, "left_semi").withColumns({
+                "change_no": F.lit(0).cast("long"), "kind": F.lit("base"), "supplied": F.lit(None).cast("array<string>"),
+            }))
         partial = {c for kind, *supplied in alike for c in columns if kind != "drop" and c not in supplied}
         if any(kind == "drop" for kind, *_ in alike):
-            rows = merge.without_dropped(rows, _KEYS[name])
+            rows = merge.without_dropped(rows, keys)
         if name == "post_analytics":
-            return merge.fold_post_changes(rows, _policy(entry) or "max", partial).select(*columns)
-        return merge.fold_changes(rows, _KEYS[name], partial).select(*columns)
+            folded = merge.fold_post_changes(rows, _policy(entry) or "max", partial).select(*columns)
+        else:
+            folded = merge.fold_changes(rows, keys, partial).select(*columns)
+        return folded if rest is None else rest.unionByName(folded)
 
     # --- batches -------------------------------------------------------------------------
     def begin(self, key: str, mark: Callable[[], str]) -> dict | None:
@@ -396,11 +435,17 @@ class PageTables:
             seen = Observation()
             observed = [oldest_of().alias("oldest")] if name in _DATED else []
             rows = self._bucketed(name, self._folded(name, entry))
-            if by is not None:  # groups the rows of a partition and splits those that are large
+            if name == "post_analytics":  # one file per bucket
+                rows = rows.repartition(self.buckets, *K.POST_KEY)
+            elif by is not None:  # groups the rows of a day and splits those that are large
                 rows = rows.hint("rebalance", by)
             rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *observed)
             writer = rows.write.mode("overwrite")
-            (writer.partitionBy(by) if by is not None else writer).parquet(f"{self.root}/{path}")
+            if name == "post_analytics":
+                clustered = writer.bucketBy(self.buckets, *K.POST_KEY).sortBy(*K.POST_KEY)
+                clustered.option("path", self._qualified(path)).saveAsTable(self._catalog_name(path), format="parquet")
+            else:
+                (writer.partitionBy(by) if by is not None else writer).parquet(f"{self.root}/{path}")
             # A batch that is published but does not know it yet must find its key.
             open_ = [change["key"] for change in entry["changes"] if not self.done(change["key"])]
             bases[name] = {"base": path, "oldest": seen.get.get("oldest"), "changes": [], "keys": sorted({*open_, *entry.get("keys", [])})}
@@ -421,6 +466,8 @@ class PageTables:
                 path = f"{name}/{found.getPath().getName()}"
                 mine = any(path.startswith(f"{name}/change-{_folder_name(key)}-") for key in running)
                 if path.removesuffix(".counts") not in used and not mine:
+                    if path.startswith("post_analytics/base-"):
+                        self.spark.sql(f"DROP TABLE IF EXISTS {self._catalog_name(path)}")  # the entry, not the files
                     system.delete(found.getPath(), True)
         for number in range(1, last - versions + 1):
             self._delete(f"{self.root}/_current/{number:010d}")

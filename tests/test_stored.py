@@ -2,6 +2,7 @@
 
 import itertools
 import os
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -87,6 +88,29 @@ def test_a_batch_leaves_the_base_untouched(spark, tmp_path, settings):
     assert tables.read("post_analytics").where("post_title = 'u'").count() == 1000 and tables.read("post_analytics").count() == 3000
 
 
+def test_reading_changes_does_not_shuffle_the_base(spark, tmp_path, settings):
+    """Neither when the keys of the changes are broadcast, nor when they are too many for that."""
+    tables = PageTables(spark, str(tmp_path / "it's"), settings)
+    publish(spark, tables, "b/1", settings, [(f"p{i}", i, "t") for i in range(300)])
+    tables.compact("k1")
+    publish(spark, tables, "b/2", settings, [(f"p{i}", i + 1, "u") for i in range(290, 310)])
+    expected = rows_of(tables.read("post_analytics"))
+    assert len(expected) == 310
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = tables.read("post_analytics")
+        assert rows_of(found) == expected
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        assert plan.count("Bucketed: true") == 2, plan
+        sides = re.findall(r"SortMergeJoin .*Left(?:Anti|Semi).*\n((?:.*\n)*?).*Scan parquet", plan)
+        assert len(sides) == 2 and not any("Exchange" in side for side in sides), plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # A session that does not know the base yet finds its buckets too.
+    spark.sql(f"DROP TABLE {tables._catalog_name(tables._state()['post_analytics']['base'])}")
+    assert rows_of(PageTables(spark, str(tmp_path / "it's"), settings).read("post_analytics")) == expected
+
+
 def test_a_reader_keeps_its_version(spark, tmp_path, settings):
     tables = PageTables(spark, str(tmp_path / "t"), settings)
     publish(spark, tables, "b/1", settings, [("a", 1, "t")])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import Settings
 from ..functions import dates, numbers
@@ -40,6 +40,14 @@ def date_parts(cell: Column, name: str) -> list[Column]:
     return [cell["ts"].alias(f"{name}_ts"), day.alias(f"{name}_day"), shift.alias(f"{name}_shift")]
 
 
+def with_date_parts_settled(rows: DataFrame, name: str) -> DataFrame:
+    """Between both steps: a generator of one row, so that a filter on the date is not moved below the first step,
+    where it would split every text again, in one expression too large to compile."""
+    parts = [f"{name}_day", f"{name}_shift"]
+    others = [c for c in rows.columns if c not in parts]
+    return rows.select(*others, F.inline(F.array(F.struct(*parts))).alias(*parts))
+
+
 def date_from_parts(name: str, settings: Settings) -> Column:
     """Second step: a timestamp, NULL or ``as_of`` when there is none."""
     day = dates.parse_day(F.col(f"{name}_day"), settings.day_first)

@@ -82,6 +82,7 @@ def post_records(rows: DataFrame, found: dict[str, Column], settings: Settings,
         cells.as_rate(found["ctr"]).alias("file_ctr"),
         cells.as_rate(found["engagement_rate"]).alias("file_engagement"),
     ).where(F.col("title") != "")
+    got = cells.with_date_parts_settled(got, "created")
     return finish_posts(got.withColumn("post_date", cells.date_from_parts("created", settings)), settings)
 
 
@@ -136,6 +137,7 @@ def _manual_records(
         *[cells.as_int(found[m]).alias(m) for m in ("impressions", "clicks", "likes", "comments", "shares")],
         numbers.cap_percent(cells.as_float(found["engagement_rate"])).alias("engagement_rate"),
     )
+    got = cells.with_date_parts_settled(got, "created")
     got = got.withColumn("post_date", cells.date_from_parts("created", settings))
     company = F.lit(settings.company_id)
     return got.select(

@@ -41,17 +41,18 @@ class CsvFolder:
 
 
 def probe(spark: SparkSession, folder: str) -> DataFrame:
-    """``path, encoding, multiline, width, problem`` of every file, from its lines."""
+    """``path, encoding, multiline, problem`` of every file, from its lines. What is told of a line is all that is sorted."""
+    value = F.col("value")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
     lines = spark.read.text(folder, recursiveFileLookup=True).select(
-        "value", F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_path").alias("path"),
         F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("place"),
+        F.substring(value.cast("binary"), 1, 4).alias("lead"), F.is_valid_utf8(value).alias("utf8"),
+        (quotes % 2 == 1).alias("odd"), value.rlike(_CONTROLS).alias("controls"),
     )
-    raw, value, place = F.col("value").cast("binary"), F.col("value"), F.col("place")
-    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
     found = lines.groupBy("path").agg(
-        F.min_by(F.substring(raw, 1, 4), place).alias("lead"), F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-        F.bool_or(quotes % 2 == 1).alias("odd"), F.bool_or(value.rlike(_CONTROLS)).alias("controls"),
-        F.max(F.length(value) - F.length(F.replace(value, F.lit(","), F.lit("")))).alias("commas"),
+        F.min_by("lead", "place").alias("lead"), F.bool_and("utf8").alias("utf8"), F.bool_or("odd").alias("odd"),
+        F.bool_or("controls").alias("controls"),
     )
     lead = F.hex("lead")
     wide = lead.startswith("FFFE") | lead.startswith("FEFF")
@@ -60,35 +61,55 @@ def probe(spark: SparkSession, folder: str) -> DataFrame:
         .when(~wide & F.col("controls"), "control characters: this is no text")
     )
     encoding = F.when(wide, "UTF-16").when(F.col("utf8"), "UTF-8").otherwise("ISO-8859-1")
-    return found.select("path", encoding.alias("encoding"), (wide | F.col("odd")).alias("multiline"), (F.col("commas") + 1).alias("width"), problem.alias("problem"))
+    return found.select("path", encoding.alias("encoding"), (wide | F.col("odd")).alias("multiline"), problem.alias("problem"))
+
+
+def _options(encoding: str, multiline: bool) -> dict[str, str]:
+    return {
+        "columnNameOfCorruptRecord": _BROKEN, "multiLine": str(multiline), "encoding": encoding, "escape": '"',
+        "mode": "PERMISSIVE", "nullValue": "",
+    }
+
+
+def _text(cell: Column, encoding: str, manual: bool) -> Column:
+    return F.translate(cell, _CP1252_BYTES, _CP1252) if encoding == "ISO-8859-1" and not manual else cell
 
 
 def _read(spark: SparkSession, paths: list[str], names: list[str], encoding: str, multiline: bool, manual: bool) -> DataFrame:
     """Raw cells under ``names``, the raw text of rows that do not fit, and the place of each row."""
     schema = ", ".join(f"`{n}` string" for n in [*names, _BROKEN])
-    rows = (
-        spark.read.schema(schema).option("columnNameOfCorruptRecord", _BROKEN).option("multiLine", multiline)
-        .option("encoding", encoding).option("escape", '"').option("mode", "PERMISSIVE").option("nullValue", "").csv(paths)
-    )
-
-    def text(name: str) -> Column:
-        cell = F.col(f"`{name}`")
-        return F.translate(cell, _CP1252_BYTES, _CP1252) if encoding == "ISO-8859-1" and not manual else cell
-
+    rows = spark.read.schema(schema).options(**_options(encoding, multiline)).csv(paths)
     return rows.select(
-        *[text(n).alias(n) for n in [*names, _BROKEN]], F.col("_metadata.file_path").alias("_path"),
+        *[_text(F.col(f"`{n}`"), encoding, manual).alias(n) for n in [*names, _BROKEN]], F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
 
 
-def _heads(rows: DataFrame, names: list[str]) -> DataFrame:
-    """``path`` and the first rows of each file; tasks keep only their own first rows before they shuffle."""
+def _most_cells(record: Column) -> Column:
+    """As many cells as a raw record has at most: commas outside quoted cells, or all where a quote stands within a cell."""
+    bare = F.regexp_replace(record, r'"[^"]*"', "\x01")
+    odd = bare.rlike('[^,\x01]\x01|\x01[^,\x01]|"')
+    text = F.when(odd, record).otherwise(bare)
+    return F.length(text) - F.length(F.replace(text, F.lit(","), F.lit(""))) + 1
+
+
+def _heads(spark: SparkSession, paths: list[str], encoding: str, multiline: bool, manual: bool) -> DataFrame:
+    """``path`` and the first rows of each file; tasks keep only their own first rows before they shuffle.
+
+    Records are read whole, whatever their cells, and only those kept are cut into cells.
+    """
     first = Window.partitionBy("_path").orderBy("_block", "_row")
-    cells = F.array(*[F.col(n) for n in names])
-    cut = F.slice(cells, 1, F.greatest(F.lit(1), F.array_max(F.transform(cells, lambda c, i: F.when(c.isNotNull(), i + 1).otherwise(0)))))
+    rows = _read(spark, paths, ["cell"], encoding, multiline, True)
     top = rows.withColumn("at", F.row_number().over(first)).where(F.col("at") <= K.HEADER_SEARCH_ROWS)
-    return top.groupBy(F.col("_path").alias("path")).agg(F.array_sort(F.collect_list(F.struct("at", cut.alias("cells")))).alias("top"))
+    top = written(top.select("_path", "at", "cell", _BROKEN), "head-records")
+    width = top.agg(F.max(_most_cells(F.col(_BROKEN)))).first()[0] or 1
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    parsed = top.withColumn("record", F.from_csv(_BROKEN, schema, _options(encoding, multiline)))
+    cells = F.when(F.col(_BROKEN).isNull(), F.array("cell")).otherwise(F.array(*[F.col("record")[f"c{i}"] for i in range(width)]))
+    cells = F.transform(cells, lambda c: _text(c, encoding, manual))
+    cut = F.slice(F.col("cells"), 1, F.greatest(F.lit(1), F.array_max(F.transform("cells", lambda c, i: F.when(c.isNotNull(), i + 1).otherwise(0)))))
+    return parsed.withColumn("cells", cells).groupBy(F.col("_path").alias("path")).agg(F.array_sort(F.collect_list(F.struct("at", cut.alias("cells")))).alias("top"))
 
 
 def _unique(names: list[str]) -> list[str]:
@@ -115,13 +136,10 @@ def read_csv_folder(spark: SparkSession, folder: str, settings: Settings) -> Csv
     a data row that repeats one of its own file goes with them. Blank rows are none.
     """
     probed = written(probe(spark, folder), "probed-files")
-    groups = probed.where("problem IS NULL").groupBy("encoding", "multiline").agg(
-        F.collect_list("path").alias("paths"), F.max("width").alias("width")
-    ).collect()  # what is read must be named: one path per file
+    groups = probed.where("problem IS NULL").groupBy("encoding", "multiline").agg(F.collect_list("path").alias("paths")).collect()  # what is read must be named: one path per file
     heads = None
     for g in groups:
-        names = [f"c{i}" for i in range(g["width"])]
-        found = _heads(_read(spark, g["paths"], names, g["encoding"], g["multiline"], settings.manual), names)
+        found = _heads(spark, g["paths"], g["encoding"], g["multiline"], settings.manual)
         found = found.select("path", F.lit(g["encoding"]).alias("encoding"), F.lit(g["multiline"]).alias("multiline"), "top")
         heads = found if heads is None else heads.unionByName(found)
     bad_files = probed.where("problem IS NOT NULL").select("path", F.lit(None).cast("string").alias("record"), F.col("problem").alias("reason"))
@@ -135,14 +153,20 @@ def read_csv_folder(spark: SparkSession, folder: str, settings: Settings) -> Csv
     layouts = files.groupBy("encoding", "multiline", "names").agg(F.collect_list("path").alias("paths")).limit(LAYOUTS + 1).collect()
     if len(layouts) > LAYOUTS:
         raise ValueError(f"more than {LAYOUTS} layouts in one folder")
+    # Written by themselves, the lines to take out are as small to Spark as they are: paths and digests.
+    above = F.filter("top", lambda r: r["at"] <= F.col("header_row") + 1)
+    leads = written(
+        files.withColumn("width", F.size("names")).select("encoding", "multiline", "names", "width", F.col("path").alias("_path"), F.explode(above).alias("r"))
+        .withColumn("_hash", F.xxhash64(F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: F.get(F.col("r.cells"), i))))
+        .select("encoding", "multiline", "names", "_path", "_hash").distinct(), "csv-leads",
+    )
     tables, rejects = [], bad_files
     for layout in layouts:
         names = _unique(layout["names"])
         width = len(names)
         rows = _read(spark, layout["paths"], names, layout["encoding"], layout["multiline"], settings.manual)
-        lead = files.where((F.col("encoding") == layout["encoding"]) & (F.col("names") == F.array(*[F.lit(n) for n in layout["names"]]))).select(
-            F.col("path").alias("_path"), F.explode(F.filter("top", lambda r: r["at"] <= F.col("header_row") + 1)).alias("r")
-        ).select("_path", F.xxhash64(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.get(F.col("r.cells"), i))).alias("_hash")).distinct()
+        here = (F.col("encoding") == layout["encoding"]) & (F.col("multiline") == layout["multiline"]) & (F.col("names") == F.array(*[F.lit(n) for n in layout["names"]]))
+        lead = leads.where(here).select("_path", "_hash")
         cells = F.array(*[F.col(f"`{n}`") for n in names])
         rows = rows.withColumn("_hash", F.xxhash64(cells)).join(lead, ["_path", "_hash"], "left_anti")
         reason = F.when(

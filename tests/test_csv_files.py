@@ -2,6 +2,7 @@
 
 from tallymark.config import Settings
 from tallymark.operators.posts import posts_from_chunks
+from tallymark.sources import csv_files
 from tallymark.sources.csv_files import posts_from_csv_folder, read_csv_folder
 from tallymark.sources.files import decode_chunks
 
@@ -49,3 +50,21 @@ def test_no_files(spark, tmp_path):
     (tmp_path / "only.bin").write_bytes(b"\x00\x01")
     found = read_csv_folder(spark, f"file://{tmp_path}", Settings())
     assert found.tables == [] and posts_from_csv_folder(found, Settings()) is None and found.rejects.count() == 1
+
+
+def test_a_cell_with_thousands_of_commas_widens_nothing(spark, tmp_path, monkeypatch):
+    """Only the first records of a file are cut into as many cells as they may have."""
+    widths, read = [], csv_files._read
+    monkeypatch.setattr(csv_files, "_read", lambda spark, paths, names, *more: widths.append(len(names)) or read(spark, paths, names, *more))
+    long = "a," * 3000 + "\nb"
+    rows = "".join(f'post {n},https://x/{n},,{n},1\n' for n in range(20))
+    (tmp_path / "a.csv").write_text("\n" + HEADER + f'5" disk,https://x/d,,7,"1"\n{rows}"{long}",https://x/long,,8,1\n', newline="")
+    (tmp_path / "b.csv").write_text("Notes of\r\n" + HEADER.replace("\n", "\r\n") + f'"{long}",https://x/first,,9,1\r\n"q ""r"", s",https://x/q,,10,1\r\n', newline="")
+    (tmp_path / "c.csv").write_text('"Post\ntitle","Post link","Impressions"\n"two, three",https://x/c,11\n', newline="")
+    found = read_csv_folder(spark, f"file://{tmp_path}", Settings())
+    assert max(widths) == 5
+    told = {r.path.rsplit("/", 1)[1]: (r.header_row, r.names) for r in found.files.collect()}
+    names = HEADER.strip().split(",")
+    assert told == {"a.csv": (0, names), "b.csv": (1, names), "c.csv": (0, ["Post\ntitle", "Post link", "Impressions"])}
+    posts = {r.post_url: r.impressions for r in posts_from_csv_folder(found, Settings()).collect()}
+    assert posts == {f"https://x/{n}": n for n in range(20)} | {"https://x/d": 7, "https://x/long": 8, "https://x/first": 9, "https://x/q": 10, "https://x/c": 11}

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import constants as K
 from ..config import Settings
 from ..operators import demographics, maintenance, posts, reports, rollups
-from ..session import scratch
+from ..session import scratch, written
 from ..sources import mail
 from ..sources.csv_files import posts_from_csv_folder, read_csv_folder
 from ..sources.files import decode_chunks, file_route, line_breaks_in_cells, read_large_csv
@@ -329,7 +329,7 @@ def mail_archive(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("memory:/m"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("path"),
         F.encode(F.when(F.col("role") == "user", plain).otherwise(attached), "UTF-8").alias("content"),
     )
-    messages = mail.decode_messages(files)
+    messages = written(mail.decode_messages(files), "messages")  # two selections follow; a mail is parsed once
     name = F.regexp_extract("path", "memory:/(m[0-9-]+)", 1).alias("name")
     read = mail.digests(messages).select(
         name, "subject", F.md5(F.col("body").cast("binary")).alias("body"), F.lit(None).cast("string").alias("attachment")

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from email import policy
 from email.message import EmailMessage
 from email.parser import BytesParser
+from email.policy import EmailPolicy
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -17,6 +17,26 @@ from ..schema import MESSAGE
 
 
 _READABLE = ("text/html", "text/plain")
+_BATCH_MAILS, _BATCH_BYTES = 1000, 8 << 20  # read before they are handed on together
+
+
+class _ParsedOnce(EmailPolicy):
+    """The default policy parses a header at each look at it; here equal ones are parsed once by a task."""
+
+    def __init__(self):
+        super().__init__(seen={})
+
+    seen: dict = None  # a policy takes no attribute its class does not name
+
+    def header_fetch_parse(self, name: str, value):
+        if type(value) is not str or len(value) > 1000:
+            return super().header_fetch_parse(name, value)
+        found = self.seen.get((name, value))
+        if found is None:
+            if len(self.seen) >= 4096:
+                self.seen.clear()
+            found = self.seen[name, value] = super().header_fetch_parse(name, value)
+        return found
 
 
 def _attempt(read):
@@ -40,9 +60,9 @@ def _part_text(part: EmailMessage) -> str | None:
     return _clean(text)
 
 
-def _message_record(path: str, content: bytes) -> dict:
+def _message_record(path: str, content: bytes, policy: EmailPolicy) -> dict:
     """The fields of one mail. What cannot be read is NULL; the mail itself is never lost."""
-    message = _attempt(lambda: BytesParser(policy=policy.default).parsebytes(content)) or EmailMessage()
+    message = _attempt(lambda: BytesParser(policy=policy).parsebytes(content)) or EmailMessage()
     leaves = [p for p in _attempt(lambda: list(message.walk())) or [] if not p.is_multipart()]
     named = [(p, _clean(_attempt(p.get_filename))) for p in leaves]
     texts = (
@@ -66,9 +86,17 @@ def decode_messages(files: DataFrame) -> DataFrame:
     schema = to_arrow_schema(MESSAGE)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        records, size, policy = [], 0, _ParsedOnce()
         for batch in batches:
             for path, content in zip(*batch.columns):
-                yield pa.RecordBatch.from_pylist([_message_record(path.as_py(), content.as_py())], schema=schema)
+                raw = content.as_py()
+                records.append(_message_record(path.as_py(), raw, policy))
+                size += len(raw or b"")
+                if len(records) >= _BATCH_MAILS or size >= _BATCH_BYTES:
+                    yield pa.RecordBatch.from_pylist(records, schema=schema)
+                    records, size = [], 0
+        if records:
+            yield pa.RecordBatch.from_pylist(records, schema=schema)
 
     return files.select("path", "content").mapInArrow(decode, MESSAGE)
 

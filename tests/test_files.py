@@ -2,7 +2,9 @@
 
 import json
 from datetime import datetime
+from email.policy import EmailPolicy
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -250,6 +252,31 @@ def test_odd_mails_cost_only_what_is_odd(spark, tmp_path):
     assert "page update" in rows["raw.eml"].subject
 
 
+def test_equal_headers_are_parsed_once(monkeypatch):
+    """And mails are handed on together."""
+    parsed = []
+    kept = EmailPolicy.header_fetch_parse
+    monkeypatch.setattr(EmailPolicy, "header_fetch_parse", lambda self, name, value: parsed.append(name) or kept(self, name, value))
+    text = MESSAGE.format(kind="mixed", rest=ATTACHMENT).encode()
+    found = []
+
+    class Files:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, decode, schema):
+            batch = pa.RecordBatch.from_pydict({"path": [f"m{i}" for i in range(300)], "content": [text.replace(b"12 f", b"%d f" % i) for i in range(300)]})
+            found.extend(decode(iter([batch, batch])))
+
+    mail.decode_messages(Files())
+    rows = [r for b in found for r in b.to_pylist()]
+    assert len(found) == 1 and len(rows) == 600 and len(parsed) < 50
+    assert [r["body"].split()[0] for r in rows[:300]] == [str(i) for i in range(300)]
+    assert {(r["subject"], r["from"], tuple(a["name"] for a in r["attachments"])) for r in rows} == {
+        ("Weekly update ✓", "Page <news@linkedin.example>", ("x\\my/posts.CSV", "notes.txt"))
+    }
+
+
 def test_snapshots(spark, tmp_path):
     for i, clicks in enumerate((122, 0)):
         content = {

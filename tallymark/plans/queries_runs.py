@@ -244,8 +244,10 @@ def mail_run(spark: SparkSession, folder: str) -> DataFrame:
         F.lit('.csv"\n\nPost title,Post link,Impressions\nPost '), key, F.lit(",https://page.example.com/"), key, F.lit(","), key, F.lit("\n--b--\n"),
     )
     place, offsets, tables = scratch(spark, "mails"), scratch(spark, "offsets"), _stored(spark)
-    table(spark, folder, "supplier").select(F.when(F.col("s_suppkey") % 2 == 0, digest).otherwise(attached).alias("value")).write.option(
-        "maxRecordsPerFile", 1
+    mails = table(spark, folder, "supplier").select(F.when(F.col("s_suppkey") % 2 == 0, digest).otherwise(attached).alias("value"))
+    # A file per mail: many tasks write them, and each puts its own in place (the driver would move them one by one).
+    mails.repartition(8 * spark.sparkContext.defaultParallelism).write.option("maxRecordsPerFile", 1).option(
+        "mapreduce.fileoutputcommitter.algorithm.version", 2
     ).text(place)
     for _ in range(2):
         watch_mails(spark, place, tables, NOW, offsets, max_files=5000, clock=lambda: NOW.as_of).awaitTermination()

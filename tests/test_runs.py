@@ -16,7 +16,7 @@ from tallymark.plans import ingest
 from tallymark.plans.workbooks import workbook_bytes
 from tallymark.sources.files import list_files, read_large_csv
 from tallymark.sources.tables import PageTables
-from tallymark.streaming.folder import watch_folder
+from tallymark.streaming.folder import stream_files, watch_folder
 
 HEADER = "Post title,Post link,Content type,Created date,Impressions,Clicks\n"
 
@@ -252,6 +252,21 @@ def test_streams_into_the_same_tables_do_not_meet(spark, place, settings, tmp_pa
     assert set(posts_of(tables)) == {"p1", "p2", "old 1", "old 2"}
 
 
+def test_the_files_of_a_batch_are_listed_by_a_few_tasks(spark, place, settings, tmp_path):
+    folder, root = place
+    for n in range(60):
+        put(folder, f"my_posts_{n}.csv", HEADER + f"p{n},https://x/{n},,,{n},1\n")
+    listing, tables = "spark.sql.sources.parallelPartitionDiscovery.parallelism", PageTables(spark, root, settings)
+    spark.conf.unset(listing)
+    watch_folder(spark, folder, tables, settings, str(tmp_path / "checkpoint"), clock=lambda: settings.as_of).awaitTermination()
+    assert int(spark.conf.get(listing)) == 4 * spark.sparkContext.defaultParallelism < 60
+    assert {r.impressions for r in posts_of(tables).values()} == set(range(60))
+    spark.conf.set(listing, "2")
+    stream_files(spark, folder)
+    assert spark.conf.get(listing) == "2", "one that is set lower stays"
+    spark.conf.unset(listing)
+
+
 def test_stream(spark, place, settings, tmp_path):
     folder, root = place
     tables = PageTables(spark, root, settings)

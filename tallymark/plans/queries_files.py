@@ -564,7 +564,7 @@ def _stored_batch(tables: PageTables, key: str, rows: DataFrame, settings: Setti
 
 def _thirds(spark: SparkSession, folder: str) -> list[DataFrame]:
     """The days up to the 9th, those up to the 19th, and the rest."""
-    posted = hourly_posts(table(spark, folder, "events"), NOW)
+    posted = written(hourly_posts(table(spark, folder, "events"), NOW), "hourly-posts")  # each third is read several times
     day = F.dayofmonth("post_date")
     return [posted.where(day < 10), posted.where(day.between(10, 19)), posted.where(day > 19)]
 

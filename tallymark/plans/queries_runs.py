@@ -28,7 +28,8 @@ def _stored(spark: SparkSession, settings: Settings = NOW) -> PageTables:
 
 def _posts_batch(tables: PageTables, key: str, rows: DataFrame, settings: Settings) -> None:
     tables.begin(key, lambda: key)
-    ingest.store_posts(tables, key, key, rows, settings)
+    staged, _ = tables.stage(key, "posts", lambda: rows)
+    ingest.store_posts(tables, key, key, staged, settings)
     tables.finish(key)
 
 

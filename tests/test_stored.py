@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallymark import constants as K
 from tallymark.config import Settings
 from tallymark.operators import merge
-from tallymark.plans import ingest
+from tallymark.plans import ingest, queries_files, queries_runs
 from tallymark.sources.tables import OtherWriter, PageTables
 from test_merge import incoming_frame
 
@@ -239,3 +239,17 @@ def test_jobs_of_a_batch(spark, tmp_path, settings):
     finally:
         spark.sparkContext.setJobGroup("others", "others")
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted")) <= 24
+
+
+def test_the_posts_of_a_batch_are_made_once(spark, tmp_path, settings, monkeypatch):
+    """What a batch reads several times is written first."""
+    rows = [(n, datetime(2024, 1, 1 + n % 28, n % 24), n % 7, "view", 1.0, "{}") for n in range(200)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    thirds = queries_files._thirds(spark, str(tmp_path))
+    assert all("Aggregate" not in part._jdf.queryExecution().optimizedPlan().toString() for part in thirds)
+    assert sum(part.count() for part in thirds) == len({(r[1], r[2]) for r in rows})
+    given = []
+    monkeypatch.setattr(queries_runs.ingest, "store_posts", lambda tables, key, batch_id, posts, settings: given.append(posts))
+    tables = PageTables(spark, str(tmp_path / "tables"), settings)
+    queries_runs._posts_batch(tables, "b/1", queries_files.hourly_posts(spark.read.parquet(f"{tmp_path}/events.parquet"), settings), settings)
+    assert "Aggregate" not in given[0]._jdf.queryExecution().optimizedPlan().toString()

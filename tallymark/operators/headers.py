@@ -14,76 +14,108 @@ from ..functions.strings import has_any, strip
 from .columns import clean_header, is_blank_cell, name_blanks_by_value
 
 
+_SHORTEST_HINT = min(map(len, K.HEADER_HINTS))  # shorter cells hold none
+_SHORTEST_INDICATOR = min(map(len, K.HEADER_INDICATORS))
+
+
 def _tokens(row: Column) -> Column:
     return F.filter(F.transform(row, lambda c: F.lower(strip(c["s"]))), lambda t: t.isNotNull() & (t != ""))
 
 
+def _score(tokens: Column) -> Column:
+    hinted = lambda t: (F.length(t) >= _SHORTEST_HINT) & has_any(t, K.HEADER_HINTS)
+    return F.aggregate(tokens, F.lit(0), lambda total, t: total + F.when(hinted(t), 2).otherwise(1))
+
+
+def _hits(tokens: Column) -> Column:
+    def hits(t: Column) -> Column:
+        found = [F.when(t.contains(w), 1).otherwise(0) for w in K.HEADER_INDICATORS]
+        return F.when(F.length(t) >= _SHORTEST_INDICATOR, sum(found[1:], found[0])).otherwise(0)
+
+    return F.aggregate(tokens, F.lit(0), lambda total, t: total + hits(t))
+
+
 def hint_score(row: Column) -> Column:
     """Filled cells plus filled cells that contain a header hint."""
-    return F.aggregate(
-        _tokens(row), F.lit(0), lambda total, t: total + F.when(has_any(t, K.HEADER_HINTS), 2).otherwise(1)
-    )
+    return _score(_tokens(row))
 
 
 def indicator_count(row: Column) -> Column:
     """Pairs of an indicator and a cell that contains it."""
-
-    def hits(t: Column) -> Column:
-        found = [F.when(t.contains(w), 1).otherwise(0) for w in K.HEADER_INDICATORS]
-        return sum(found[1:], found[0])
-
-    return F.aggregate(_tokens(row), F.lit(0), lambda total, t: total + hits(t))
+    return _hits(_tokens(row))
 
 
 def filled_count(row: Column) -> Column:
     return F.size(_tokens(row))
 
 
+def row_tokens(head: Column) -> Column:
+    """Of each row the lower-case filled cells and the number of cells."""
+    return F.transform(head, lambda row: F.struct(_tokens(row).alias("tokens"), F.size(row).alias("cells")))
+
+
+def row_facts(tokens: Column) -> Column:
+    """What the rules ask of each row, out of ``row_tokens``: told once where several rules follow."""
+    return F.transform(tokens, lambda r: F.struct(
+        F.size(r["tokens"]).alias("filled"), r["cells"].alias("cells"), _score(r["tokens"]).alias("score"), _hits(r["tokens"]).alias("hits"),
+    ))
+
+
+class _Row:
+    """A row of the head: its cells, or what ``row_facts`` told of it."""
+
+    def __init__(self, row: Column, told: bool):
+        self.score = row["score"] if told else hint_score(row)
+        self.hits = row["hits"] if told else indicator_count(row)
+        self.filled = row["filled"] if told else filled_count(row)
+        self.cells = row["cells"] if told else F.size(row)
+
+
 def _first_row(head: Column, test) -> Column:
     return F.nullif(F.array_position(F.transform(head, test), True), F.lit(0)).cast("int") - 1
 
 
-def by_score(head: Column) -> Column:
+def by_score(head: Column, told: bool = False) -> Column:
     """The first row with the highest hint score; each row is scored once."""
-    ranked = F.transform(head, lambda row, i: F.struct(hint_score(row).alias("score"), (-i).alias("back")))
+    ranked = F.transform(head, lambda row, i: F.struct(_Row(row, told).score.alias("score"), (-i).alias("back")))
     return -F.array_max(ranked)["back"]
 
 
-def by_indicators(head: Column) -> Column:
+def by_indicators(head: Column, told: bool = False) -> Column:
     """The first row with two or more indicators, else row 0."""
-    return F.coalesce(_first_row(head, lambda r: indicator_count(r) >= 2), F.lit(0))
+    return F.coalesce(_first_row(head, lambda r: _Row(r, told).hits >= 2), F.lit(0))
 
 
-def by_named_columns(head: Column, sheet_rows: Column, probes: int = 6) -> Column:
+def by_named_columns(head: Column, sheet_rows: Column, probes: int = 6, told: bool = False) -> Column:
     """The first of the probed rows with two names, or more names than blanks, and data below."""
 
     def named(row: Column, i: Column) -> Column:
-        names = filled_count(row)
-        return ((names >= 2) | (names > F.size(row) - names)) & (i + 1 < sheet_rows)
+        row = _Row(row, told)
+        return ((row.filled >= 2) | (row.filled > row.cells - row.filled)) & (i + 1 < sheet_rows)
 
-    return F.coalesce(_first_row(F.slice(head, 1, probes), named), by_indicators(head))
+    return F.coalesce(_first_row(F.slice(head, 1, probes), named), by_indicators(head, told))
 
 
-def by_two_names(head: Column, sheet_rows: Column) -> Column:
+def by_two_names(head: Column, sheet_rows: Column, told: bool = False) -> Column:
     """The first of three rows with two names and data below, else row 0."""
     return F.coalesce(
-        _first_row(F.slice(head, 1, 3), lambda r, i: (filled_count(r) >= 2) & (i + 1 < sheet_rows)), F.lit(0)
+        _first_row(F.slice(head, 1, 3), lambda r, i: (_Row(r, told).filled >= 2) & (i + 1 < sheet_rows)), F.lit(0)
     )
 
 
-def header_position(head: Column, sheet_rows: Column, rule: str = "auto") -> Column:
-    """0-based row of the header. ``auto``: row 0 when it has two names, else the best score."""
+def header_position(head: Column, sheet_rows: Column, rule: str = "auto", told: bool = False) -> Column:
+    """0-based row of the header. ``auto``: row 0 when it has two names, else the best score. ``told``: ``head`` holds ``row_facts``."""
     if rule == "first":
         return F.lit(0)
     if rule == "score":
-        return by_score(head)
+        return by_score(head, told)
     if rule == "indicators":
-        return by_indicators(head)
+        return by_indicators(head, told)
     if rule == "named":
-        return by_named_columns(head, sheet_rows)
+        return by_named_columns(head, sheet_rows, told=told)
     if rule == "two_names":
-        return by_two_names(head, sheet_rows)
-    return F.when(filled_count(F.get(head, F.lit(0))) >= 2, F.lit(0)).otherwise(by_score(head))
+        return by_two_names(head, sheet_rows, told)
+    return F.when(_Row(F.get(head, F.lit(0)), told).filled >= 2, F.lit(0)).otherwise(by_score(head, told))
 
 
 def _first_values(head: Column, header_row: Column, later: Column, width: Column) -> Column:

@@ -550,14 +550,16 @@ _HITS = " + ".join(f"len(list_filter(tokens, lambda c: contains(c, '{w}')))" for
     FROM s GROUP BY doc_id"""
 )
 def header_rows(spark: SparkSession, folder: str) -> DataFrame:
-    head, rows = F.col("head"), F.col("sheet_rows")
-    return text_chunks(table(spark, folder, "documents")).select(
+    chunks = text_chunks(table(spark, folder, "documents")).select("doc_id", "sheet_rows", headers.row_tokens(F.col("head")).alias("tokens"))
+    told = chunks.select("doc_id", "sheet_rows", headers.row_facts(F.col("tokens")).alias("facts"))  # by all five rules
+    facts, rows = F.col("facts"), F.col("sheet_rows")
+    return told.select(
         "doc_id",
-        headers.by_score(head).alias("by_score"),
-        headers.by_indicators(head).alias("by_indicators"),
-        headers.header_position(head, rows, "auto").alias("auto"),
-        headers.header_position(head, rows, "named").alias("named"),
-        headers.header_position(head, rows, "two_names").alias("two_names"),
+        headers.by_score(facts, told=True).alias("by_score"),
+        headers.by_indicators(facts, told=True).alias("by_indicators"),
+        headers.header_position(facts, rows, "auto", told=True).alias("auto"),
+        headers.header_position(facts, rows, "named", told=True).alias("named"),
+        headers.header_position(facts, rows, "two_names", told=True).alias("two_names"),
     )
 
 

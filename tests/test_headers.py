@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallymark.config import Settings
 from tallymark.operators import columns, demographics, headers
+from tallymark.plans import queries_values
 from tallymark.schema import CELL
 
 GRID = "array<array<struct<s:string,num:double,ts:timestamp>>>"
@@ -119,3 +120,17 @@ def test_empty_columns_lose_their_name(spark):
     assert used["keys"] == ["", "link clicks", "column_2"]
     named = headers.with_header(chunk, Settings(drop_notes=True)).first()
     assert named["names"] == ["Clicks", "Link clicks", "Kind"]
+
+
+def test_rules_by_facts_told_once(spark, tmp_path):
+    texts = ["", " ", "a", "\n\nPost Title Impressions\nx y z", "one\ntwo words\ndate post clicks", "ctr\nét é\nDATE", "a  b\n" * 12, "Post\n1 2\n3", None]
+    documents = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    told = queries_values.header_rows(spark, str(tmp_path))
+    assert told._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1, "cells are prepared once"
+    head, rows = F.col("head"), F.col("sheet_rows")
+    plain = queries_values.text_chunks(documents).select(
+        "doc_id", headers.by_score(head), headers.by_indicators(head),
+        *[headers.header_position(head, rows, rule) for rule in ("auto", "named", "two_names")],
+    )
+    assert sorted(map(tuple, told.collect())) == sorted(map(tuple, plain.collect()))

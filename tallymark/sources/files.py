@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .. import constants as K
 from ..functions.strings import ends_with_any, has_any
 from ..schema import CHUNK
-from .decode import chunk_records
+from .decode import Cell, chunk_records
 
 CHUNK_ROWS = 2000
 _FLUSH_CELLS = 100_000
@@ -58,6 +59,28 @@ def is_download(name: Column) -> Column:
     return ~is_partial_download(name) & ends_with_any(low, K.EXPORT_EXTENSIONS) & has_any(low, K.DOWNLOAD_WORDS)
 
 
+def _offsets(lists: list[list]) -> pa.Array:
+    return pa.array(list(accumulate(map(len, lists), initial=0)), pa.int32())
+
+
+def _cell_lists(sheets: list[list[list[Cell]]], kind: pa.ListType) -> pa.ListArray:
+    """Rows of cells column by column, which is several times faster than cell by cell."""
+    rows = [row for sheet in sheets for row in sheet]
+    cells = list(zip(*[cell for row in rows for cell in row])) or [(), (), ()]
+    fields = list(kind.value_type.value_type)
+    flat = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(cells, fields)], fields=fields)
+    inner = pa.ListArray.from_arrays(_offsets(rows), flat, type=kind.value_type)
+    return pa.ListArray.from_arrays(_offsets(sheets), inner, type=kind)
+
+
+def _chunk_batch(records: list[dict], schema: pa.Schema) -> pa.RecordBatch:
+    columns = []
+    for field in schema:
+        values = [record[field.name] for record in records]
+        columns.append(_cell_lists(values, field.type) if field.name in ("head", "rows") else pa.array(values, field.type))
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
 # --- small files --------------------------------------------------------------------
 def decode_chunks(files: DataFrame, manual: bool = False, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """``binaryFile`` rows to chunks of cells.
@@ -76,10 +99,10 @@ def decode_chunks(files: DataFrame, manual: bool = False, chunk_rows: int = CHUN
                     records.append(record)
                     cells += sum(len(row) for row in record["rows"])
                     if cells >= _FLUSH_CELLS:
-                        yield pa.RecordBatch.from_pylist(records, schema=schema)
+                        yield _chunk_batch(records, schema)
                         records, cells = [], 0
         if records:
-            yield pa.RecordBatch.from_pylist(records, schema=schema)
+            yield _chunk_batch(records, schema)
 
     return files.select("path", "modificationTime", "content").mapInArrow(decode, CHUNK)
 

@@ -1,6 +1,7 @@
 """Readers on small generated files."""
 
 import json
+import tracemalloc
 from datetime import datetime
 from email.policy import EmailPolicy
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from tallymark.config import Settings
 from tallymark.operators import demographics, maintenance, posts, reports
 from tallymark.plans.workbooks import archive_bytes, workbook_bytes
-from tallymark.sources import files, mail
+from tallymark.sources import decode, files, mail
 from tallymark.sources.snapshots import read_snapshots, snapshot_metrics, snapshot_posts
 
 HEADER = "Post title,Post link,Content Type,Created date,Impressions,Clicks\n"
@@ -131,6 +132,15 @@ def test_many_chunks_keep_row_order(spark, tmp_path, settings):
     assert [r.post_title for r in rows] == [f"t{i}" for i in range(95)]
 
 
+def test_the_cells_of_a_file_are_never_held_together():
+    text = (HEADER + "".join(f"post {n},https://x/{n},,,{n},1\n" for n in range(20_000))).encode()
+    tracemalloc.start()
+    rows = [len(chunk["rows"]) for chunk in decode.chunk_records("a.csv", None, text, ["utf-8"], 2000)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == [2000] * 10 + [1] and peak < 8 * len(text)
+
+
 def test_views_stand_in_for_impressions(spark, tmp_path, settings):
     write(tmp_path, p__csv="Title,Impressions,Views,Clicks,Engagement rate\na,0,50,5,\nb,10,50,5,\nc,0,0,1,0.25\nd,0,0,1,250%\n")
     found = records(spark, tmp_path, settings)

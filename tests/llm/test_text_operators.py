@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -298,6 +299,30 @@ def test_scores(docs, none, monkeypatch):
     assert all(math.isfinite(r["score"]) for r in scoring.score(docs, F.lit(False), PIECES).collect())
 
 
+def test_tokens_of_parts(monkeypatch):
+    texts = [None, "", " \t", "A b\x0bA\x1cÄ\x85 \u2003c ", "x" * 50, " Ab  a\r\nb"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    for size in (scoring.PART, 3):
+        monkeypatch.setattr(scoring, "PART", size)
+        found = [(part["text"][r].as_py(), distinct[w].as_py()) for part, rows, words, distinct in scoring._tokens(batch) for r, w in zip(rows.tolist(), words.tolist())]
+        assert found == [(t, w.decode()) for t in texts for w in (t or "").encode().lower().split()]
+        assert sum(part.num_rows for part, *_ in scoring._tokens(batch)) == len(texts)
+
+
+def test_as_many_words_are_settled_in_place_as_the_bound_allows(spark, monkeypatch):
+    rows = [(i, "often " * 500 + f"seldom{i % 20} once{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept, broadcast = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(scoring, "HOT", 30)  # a thirtieth of all tokens is one word; 22 words occur twice or more
+    with monkeypatch.context() as watched:
+        watched.setattr(type(spark.sparkContext), "broadcast", lambda _, value: kept.append(value) or broadcast(value))
+        found = {r["doc_id"]: r["score"] for r in scoring.score(docs, F.lit(True), PIECES).collect()}
+    assert set(kept[-1][0].to_pylist()) == {"often", "", *(f"seldom{i}" for i in range(20))}
+    monkeypatch.setattr(scoring, "HOT", 1)
+    for r in scoring.score(docs, F.lit(True), PIECES).collect():
+        assert r["score"] == pytest.approx(found[r["doc_id"]])
+
+
 def test_word_probabilities_add_up_to_at_most_one(spark):
     rows = [(i, w) for i, w in enumerate(["a b a", "b c", "a d e", "f"] * 2)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -155,8 +155,10 @@ def with_header(chunks: DataFrame, settings: Settings) -> DataFrame:
 
 def sheet_rows(chunks: DataFrame, *keep: Column | str) -> DataFrame:
     """One row per data row below the header: ``cells``, ``arrival`` and the kept columns."""
-    exploded = chunks.select(
-        "file_name", "sheet_idx", "first_row", "header_row", *keep, F.posexplode("rows").alias("at", "cells")
+    # The kept columns stand in a select of their own: beside a generator they would be evaluated above it, per row.
+    told = chunks.select("file_name", "sheet_idx", "first_row", "header_row", *keep, "rows")
+    exploded = told.select(
+        *[c for c in told.columns if c != "rows"], F.posexplode("rows").alias("at", "cells")
     ).withColumn("row_idx", F.col("first_row") + F.col("at"))
     return (
         exploded.where((F.col("row_idx") > F.col("header_row")) & ~F.forall("cells", is_blank_cell))

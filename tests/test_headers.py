@@ -89,6 +89,18 @@ def test_rows(spark):
     assert [r.data for r in out] == [True, True, False, False, True, True]
 
 
+def test_kept_columns_are_told_once_per_chunk(spark):
+    cells = [[(f"v{i}", None, None)] for i in range(40)]
+    chunks = spark.createDataFrame(
+        [("a.csv", 0, 0, 0, cells), ("a.csv", 0, 40, 0, cells), ("b.csv", 0, 0, 0, cells)],
+        f"file_name string, sheet_idx int, first_row bigint, header_row int, rows {GRID}",
+    )
+    found = headers.sheet_rows(chunks, F.col("first_row").alias("start"), F.uuid().alias("told")).collect()
+    assert len(found) == 39 + 40 + 39  # without the header rows
+    assert len({r["told"] for r in found}) == 3
+    assert {(r["source_file"], r["start"]) for r in found} == {("a.csv", 0), ("a.csv", 40), ("b.csv", 0)}
+
+
 def test_drop_empty_columns(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, None, None)], "a int, b string, c string")
     assert columns.drop_empty_columns(df).columns == ["a", "c"]

@@ -9,6 +9,7 @@ POST_KEY = ["post_id"]
 HISTORY_KEY = ["company_id", "post_id", "observed_date"]
 FOLLOWER_KEY = ["company_id", "demographic_type", "demographic_value", "date_collected"]
 COMPANY_KEY = ["company_id"]
+BULKY_COLUMNS = ["post_content", "post_url", "post_title", "hashtags", "mentions"]
 
 # --- limits -----------------------------------------------------------------
 CONTENT_LENGTH = 2000

@@ -38,15 +38,21 @@ def number_from_text(text: Column) -> Column:
     return finite(F.when(t.rlike(_WHOLE_NUMBER), t.try_cast("double")))
 
 
+def _first_digits(text: Column) -> Column:
+    return F.regexp_extract(F.translate(text, "%,", ""), _FIRST_NUMBER, 1)
+
+
 def first_number(text: Column) -> Column:
     """The first run of digits in the text, thousands separators dropped; the sign is lost."""
-    digits = F.regexp_extract(F.translate(text, "%,", ""), _FIRST_NUMBER, 1)
-    return _once(digits, lambda d: finite(F.when(d != "", d.try_cast("double"))))
+    return _once(_first_digits(text), lambda d: finite(F.when(d != "", d.try_cast("double"))))
 
 
 def safe_int(text: Column) -> Column:
-    """The first number, cut to an integer; 0 without one."""
-    return or_zero(first_number(text).try_cast("bigint"))
+    """The first number, cut to an integer; 0 without one.
+
+    A zero in front changes no number and makes one where there is none, so every cast succeeds and nothing is tested.
+    """
+    return or_zero(F.concat(F.lit("0"), _first_digits(text)).try_cast("double").try_cast("bigint"))
 
 
 def safe_float(text: Column) -> Column:
@@ -78,7 +84,8 @@ def clean_rate(text: Column) -> Column:
     t = strip(text)
     percent = t.endswith("%")
     value = number_from_text(F.when(percent, F.translate(t, "%,", "")).otherwise(F.translate(t, ",", "")))
-    return _once(value, lambda v: F.coalesce(F.when(percent, v).otherwise(fraction_to_percent(v)), F.lit(0.0)))
+    rate = _once(value, lambda v: F.coalesce(F.when(percent, v).otherwise(fraction_to_percent(v)), F.lit(0.0)))
+    return F.when(text.isNull(), 0.0).otherwise(rate)  # most exports have no column of rates
 
 
 def percent_of(part: Column, whole: Column, scale: int) -> Column:

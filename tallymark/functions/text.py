@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
+from ..session import built_once
 from .strings import text_has_any, text_or_blank, unless_blank
 
 
@@ -39,12 +40,17 @@ def with_post_type(df: DataFrame, raw: Column, *texts: Column, name: str = "post
     make it again for every word.
     """
     word = F.lower(text_or_blank(raw))
-    kind, text = F.col("_kind"), F.col("_text")
     prepared = df.withColumns({
         "_kind": F.when(word.isin(K.DISTRIBUTION_WORDS), "").otherwise(word),
         "_text": F.lower(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in texts])),
     })
-    found = (
+    return prepared.withColumn(name, _type_found()).drop("_kind", "_text")
+
+
+@built_once
+def _type_found() -> Column:
+    kind, text = F.col("_kind"), F.col("_text")
+    return (
         F.when(kind.contains("video") | text.contains("video"), "video")
         .when(text_has_any(kind, K.IMAGE_TYPE_WORDS) | text_has_any(text, K.IMAGE_TEXT_WORDS), "image")
         .when(text_has_any(kind, K.DOCUMENT_TYPE_WORDS) | text_has_any(text, K.DOCUMENT_TEXT_WORDS), "document")
@@ -53,7 +59,6 @@ def with_post_type(df: DataFrame, raw: Column, *texts: Column, name: str = "post
         .when(text.contains("http"), "article")
         .otherwise("text")
     )
-    return prepared.withColumn(name, found).drop("_kind", "_text")
 
 
 def _tagged(text: Column, sign: str, pattern: str) -> Column:

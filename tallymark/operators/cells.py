@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import Settings
 from ..functions import dates, numbers
 from ..functions.strings import strip, text_or_blank
+from ..session import built_once
 
 
 def as_text(cell: Column) -> Column:
@@ -50,8 +51,14 @@ def with_date_parts_settled(rows: DataFrame, name: str) -> DataFrame:
 
 def date_from_parts(name: str, settings: Settings) -> Column:
     """Second step: a timestamp, NULL or ``as_of`` when there is none."""
-    day = dates.parse_day(F.col(f"{name}_day"), settings.day_first)
-    moment = F.coalesce(F.col(f"{name}_ts"), dates.join_clock(day, F.col(f"{name}_shift")))
-    if settings.tz_offset_hours:
-        moment = F.timestamp_micros(F.unix_micros(moment) + F.lit(int(settings.tz_offset_hours * 3600000000)))
+    moment = _moment(name, settings.day_first, settings.tz_offset_hours)
     return F.coalesce(moment, settings.now) if settings.missing_date == "now" else moment
+
+
+@built_once
+def _moment(name: str, day_first: bool, tz_offset_hours: float) -> Column:
+    day = dates.parse_day(F.col(f"{name}_day"), day_first)
+    moment = F.coalesce(F.col(f"{name}_ts"), dates.join_clock(day, F.col(f"{name}_shift")))
+    if tz_offset_hours:
+        moment = F.timestamp_micros(F.unix_micros(moment) + F.lit(int(tz_offset_hours * 3600000000)))
+    return moment

@@ -8,6 +8,7 @@ from .. import constants as K
 from ..config import Settings
 from ..functions import numbers
 from ..functions.strings import has_any
+from ..session import built_once
 from . import cells, columns, headers
 from .posts import is_posts_sheet
 
@@ -65,16 +66,19 @@ def effective_sheet() -> Column:
     return F.when(F.col("kind") == "xlsx", F.col("sheet")).otherwise(F.lit("demographics"))
 
 
+@built_once
+def _of_sheet(manual: bool) -> list[Column]:
+    """What is told of a sheet once: the category and the positions of the roles."""
+    places = role_positions(F.col("keys"), manual)
+    kind = demographic_type(effective_sheet(), manual).alias("demographic_type")
+    return [kind, *[p.alias(f"at_{role}") for role, p in places.items()]]
+
+
 def demographics_from_chunks(chunks: DataFrame, settings: Settings, followers: DataFrame | None = None) -> DataFrame:
     """Every sheet of a workbook, or the one sheet of any other file, to follower records."""
     sheets = headers.with_header(chunks.where((F.col("kind") == "xlsx") | is_posts_sheet()), settings)
-    places = role_positions(F.col("keys"), settings.manual)
-    rows = headers.sheet_rows(
-        sheets,
-        demographic_type(effective_sheet(), settings.manual).alias("demographic_type"),
-        *[p.alias(f"at_{role}") for role, p in places.items()],
-    )
-    found = {role: F.get(F.col("cells"), F.col(f"at_{role}")) for role in places}
+    rows = headers.sheet_rows(sheets, *_of_sheet(settings.manual))
+    found = {role: F.get(F.col("cells"), F.col(f"at_{role}")) for role in ("value", "count", "percentage")}
     if settings.manual:
         rows = rows.where(F.col("at_value").isNotNull() & F.col("at_count").isNotNull())
     return demographic_records(rows, found, settings, followers)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import constants as K
 from ..config import Settings
 from ..functions.strings import has_any, strip
+from ..session import built_once
 from .columns import clean_header, is_blank_cell, name_blanks_by_value
 
 
@@ -129,11 +130,14 @@ def _first_values(head: Column, header_row: Column, later: Column, width: Column
     return F.transform(F.sequence(F.lit(0), width - 1), first)
 
 
+@built_once
+def _header_row(rule: str) -> Column:
+    return header_position(F.col("head"), F.col("sheet_rows"), rule)
+
+
 def with_header(chunks: DataFrame, settings: Settings) -> DataFrame:
     """Adds ``header_row``, ``names`` (clean) and ``keys`` (lower case, for matching)."""
-    df = chunks.where(F.size("head") > 0).withColumn(
-        "header_row", header_position(F.col("head"), F.col("sheet_rows"), settings.header)
-    )
+    df = chunks.where(F.size("head") > 0).withColumn("header_row", _header_row(settings.header))
     raw = F.transform(F.get(F.col("head"), F.col("header_row")), lambda c: c["s"])
     names = clean_header(raw)
     if settings.drop_notes or settings.drop_empty_columns:

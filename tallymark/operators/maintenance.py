@@ -37,11 +37,12 @@ def unprocessed(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def ledger_rows(chunks: DataFrame, settings: Settings, batch_id: str) -> DataFrame:
     """One row per decoded file: rows, state and error, for unreadable files too."""
+    n_rows = F.col("n_rows") if "n_rows" in chunks.columns else F.size("rows")
     return chunks.groupBy("path", "mtime").agg(
         F.first("file_name").alias("file_name"),
         F.first("n_bytes").alias("n_bytes"),
         F.first("kind").alias("kind"),
-        F.sum(F.size("rows")).cast("bigint").alias("rows"),
+        F.sum(n_rows).cast("bigint").alias("rows"),
         F.first("status").alias("status"),
         F.first("error").alias("error"),
     ).select(

@@ -168,21 +168,24 @@ def without_dropped(rows: DataFrame, keys: list[str]) -> DataFrame:
     return kept.where(F.col("gone").isNull() | (F.col("change_no") > F.col("gone"))).drop("gone")
 
 
-def _last(columns: list[str], partial: set[str], order: Column) -> list[Column]:
-    """The last value of each column; those that some changes lack come from the last change that has them."""
+def _last(columns: list[str], partial: set[str], order: Column) -> tuple[list[Column], list[str]]:
+    """The last value of each column, and what to select of it; those that some changes lack come from the last change that
+    has them. The bulky texts of a row are kept apart, so who selects none of them neither reads nor moves them."""
     whole = [c for c in columns if c not in partial]
+    groups = {"kept": [c for c in whole if c not in K.BULKY_COLUMNS], "texts": [c for c in whole if c in K.BULKY_COLUMNS]}
     there = {c: F.when((F.col("kind") == "base") | F.array_contains("supplied", c), order) for c in partial}
-    return [
-        F.max_by(F.struct(*whole), order).alias("kept"),
+    aggregates = [
+        *[F.max_by(F.struct(*names), order).alias(group) for group, names in groups.items() if names],
         *[F.max_by(F.struct(c), there[c])[c].alias(c) for c in columns if c in partial],
     ]
+    return aggregates, [*[f"{group}.*" for group, names in groups.items() if names], *[c for c in columns if c in partial]]
 
 
 def fold_changes(rows: DataFrame, keys: list[str], partial: set[str]) -> DataFrame:
     """Last write wins on ``keys``."""
     columns = [c for c in rows.columns if c not in (*keys, "change_no", "kind", "supplied")]
-    folded = rows.groupBy(*keys).agg(*_last(columns, partial - set(keys), F.col("change_no")))
-    return folded.select(*keys, "kept.*", *[c for c in columns if c in partial])
+    last, shown = _last(columns, partial - set(keys), F.col("change_no"))
+    return rows.groupBy(*keys).agg(*last).select(*keys, *shown)
 
 
 def fold_post_changes(rows: DataFrame, policy: str, partial: set[str]) -> DataFrame:
@@ -202,8 +205,9 @@ def fold_post_changes(rows: DataFrame, policy: str, partial: set[str]) -> DataFr
         c: F.min_by(F.col(c), F.when(F.col(c).isNotNull() & merged, F.col("change_no"))) for c in ("date_collected", "created_at")
     }
     single = F.count_if(merged) == 1
+    last, shown = _last(columns, partial & set(columns), F.struct("exported_at", "change_no"))
     folded = rows.groupBy(*K.POST_KEY).agg(
-        *_last(columns, partial & set(columns), F.struct("exported_at", "change_no")),
+        *last,
         *[F.when(single, F.max(m)).otherwise(F.max(or_zero(F.col(m)))).alias(m) for m in metrics],
         *[c.alias(n) for n, c in first.items()],
         F.when(F.count("*") > 1, F.max_by("updated_at", "change_no"))
@@ -211,9 +215,7 @@ def fold_post_changes(rows: DataFrame, policy: str, partial: set[str]) -> DataFr
         F.count_if(merged).alias("copies"),
         F.max("exported_at").alias("exported_at"),
     )
-    out = folded.select(
-        *K.POST_KEY, "kept.*", *[c for c in columns if c in partial], *metrics, *_DB_COLUMNS, "copies", "exported_at"
-    )
+    out = folded.select(*K.POST_KEY, *shown, *metrics, *_DB_COLUMNS, "copies", "exported_at")
     if policy == "max":
         fresh = recomputed_rates()
         out = out.withColumns({r: F.when(F.col("copies") > 1, fresh[r]).otherwise(F.col(r)) for r in _RATES})

@@ -8,6 +8,7 @@ from .. import constants as K
 from ..config import Settings
 from ..functions import numbers, text
 from ..functions.strings import has_any
+from ..session import built_once
 from . import cells, columns, headers
 
 
@@ -18,19 +19,23 @@ def is_posts_sheet(manual: bool = False) -> Column:
     return F.col("sheet_idx") == F.coalesce(named, F.lit(0))
 
 
-def _mapping(settings: Settings) -> dict[str, list[str]]:
-    return K.MANUAL_POST_COLUMNS if settings.manual else K.POST_COLUMNS
+def _mapping(manual: bool) -> dict[str, list[str]]:
+    return K.MANUAL_POST_COLUMNS if manual else K.POST_COLUMNS
+
+
+@built_once
+def _places(manual: bool) -> list[Column]:
+    return [
+        columns.position_of(F.col("keys"), candidates, word_match=manual).alias(f"at_{logical}")
+        for logical, candidates in _mapping(manual).items()
+    ]
 
 
 def posts_from_chunks(chunks: DataFrame, settings: Settings) -> DataFrame:
     """Decoded files, each with its own header, to post records."""
-    mapping = _mapping(settings)
+    mapping = _mapping(settings.manual)
     sheet = headers.with_header(chunks.where(is_posts_sheet(settings.manual)), settings)
-    places = [
-        columns.position_of(F.col("keys"), candidates, word_match=settings.manual).alias(f"at_{logical}")
-        for logical, candidates in mapping.items()
-    ]
-    rows = headers.sheet_rows(sheet, F.col("path"), *places)
+    rows = headers.sheet_rows(sheet, F.col("path"), *_places(settings.manual))
     if settings.drop_notes:
         rows = rows.where(columns.is_data_row(F.col("cells")))
     found = {
@@ -46,7 +51,7 @@ def posts_from_table(df: DataFrame, settings: Settings, source_file: str | None
     ``df`` may bring ``source_file`` and ``arrival`` (see ``read_large_csv``).
     """
     own = [c for c in df.columns if c not in ("source_file", "arrival")]
-    found = columns.flat_cells(df.select(*[F.col(f"`{c}`") for c in own]), _mapping(settings), settings.manual)
+    found = columns.flat_cells(df.select(*[F.col(f"`{c}`") for c in own]), _mapping(settings.manual), settings.manual)
     if "source_file" not in df.columns:
         df = df.withColumn("source_file", F.lit(source_file))
     if "arrival" not in df.columns:
@@ -58,7 +63,7 @@ def posts_from_table(df: DataFrame, settings: Settings, source_file: str | None
                 F.monotonically_increasing_id().alias("row"),
             ),
         )
-    names = {l: columns.find_column(own, c, settings.manual) for l, c in _mapping(settings).items()}
+    names = {l: columns.find_column(own, c, settings.manual) for l, c in _mapping(settings.manual).items()}
     absent = {l: F.lit(n is None) for l, n in names.items()}
     return post_records(df, found, settings, absent)
 
@@ -68,10 +73,15 @@ def post_records(rows: DataFrame, found: dict[str, Column], settings: Settings,
     if settings.manual:
         return _manual_records(rows, found, settings, absent)
     rows = rows.select("source_file", "arrival", *[c.alias(f"{l}_cell") for l, c in found.items()])
-    found = {l: F.col(f"{l}_cell") for l in found}
-    got = rows.select(
-        "source_file",
-        "arrival",
+    got = cells.with_date_parts_settled(rows.select("source_file", "arrival", *_values()).where(F.col("title") != ""), "created")
+    return finish_posts(got.withColumn("post_date", cells.date_from_parts("created", settings)), settings)
+
+
+@built_once
+def _values() -> list[Column]:
+    """The values out of the cells, before those of a row are settled together."""
+    found = {l: F.col(f"{l}_cell") for l in K.POST_COLUMNS}
+    return [
         cells.as_text(found["title"]).alias("title"),
         cells.as_text(found["link"]).alias("url"),
         cells.as_text(found["content_type"]).alias("raw_type"),
@@ -81,39 +91,41 @@ def post_records(rows: DataFrame, found: dict[str, Column], settings: Settings,
         *[cells.as_int(found[m]).alias(m) for m in ("clicks", "likes", "comments", "shares")],
         cells.as_rate(found["ctr"]).alias("file_ctr"),
         cells.as_rate(found["engagement_rate"]).alias("file_engagement"),
-    ).where(F.col("title") != "")
-    got = cells.with_date_parts_settled(got, "created")
-    return finish_posts(got.withColumn("post_date", cells.date_from_parts("created", settings)), settings)
+    ]
 
 
 def finish_posts(got: DataFrame, settings: Settings) -> DataFrame:
     """Clean values to records: fallbacks, rates, type, id, tags."""
+    df = got.withColumn("impressions", F.when(F.col("shown") == 0, F.col("views")).otherwise(F.col("shown")))
+    df = text.with_post_type(df, F.col("raw_type"), F.col("title"), F.col("url"))
+    return df.select(*_record(settings.company_id))
+
+
+@built_once
+def _record(company_id: str) -> list[Column]:
     title, url = F.col("title"), F.col("url")
     clicks, impressions = F.col("clicks"), F.col("impressions")
-    df = got.withColumn("impressions", F.when(F.col("shown") == 0, F.col("views")).otherwise(F.col("shown")))
-    df = text.with_post_type(df, F.col("raw_type"), title, url)
     computed = numbers.engagement(F.col("likes"), F.col("comments"), F.col("shares"), clicks, impressions)
-    return df.select(
+    return [
         text.make_post_id(text.urn_of(url), url, title, F.col("post_date")).alias("post_id"),
-        F.lit(settings.company_id).alias("company_id"),
+        F.lit(company_id).alias("company_id"),
         F.substring(title, 1, K.CONTENT_LENGTH).alias("post_content"),
-        "post_date",
-        "impressions", "clicks", "likes", "comments", "shares",
+        *[F.col(c) for c in ("post_date", "impressions", "clicks", "likes", "comments", "shares")],
         impressions.alias("reach"),
         numbers.cap_percent(F.when(impressions > 0, computed).otherwise(F.col("file_engagement"))).alias(
             "engagement_rate"
         ),
         F.when(F.col("file_ctr") > 0, F.col("file_ctr"))
         .otherwise(numbers.compute_ctr(clicks, impressions)).alias("ctr"),
-        "post_type",
+        F.col("post_type"),
         url.alias("post_url"),
         F.substring(title, 1, K.TITLE_LENGTH).alias("post_title"),
         text.hashtags(title).alias("hashtags"),
         text.mentions(title).alias("mentions"),
         F.col("post_date").isNull().alias("date_missing"),
-        "source_file",
-        "arrival",
-    )
+        F.col("source_file"),
+        F.col("arrival"),
+    ]
 
 
 def _manual_records(

@@ -14,8 +14,9 @@ from ..functions.digest import with_digest_numbers
 from ..operators import maintenance, merge, rollups
 from ..operators.demographics import demographics_from_chunks
 from ..operators.posts import posts_from_chunks, posts_from_table
+from ..session import side_by_side
 from ..sources.csv_files import posts_from_csv_folder, read_csv_folder
-from ..sources.files import decode_chunks, file_name, file_route, is_export_name, list_files
+from ..sources.files import dealt_out, decode_chunks, file_name, is_export_name, list_files, with_route
 from ..sources.tables import PageTables, table_schema
 
 
@@ -60,18 +61,21 @@ def store_posts(tables: PageTables, key: str, batch_id: str, posts: DataFrame, s
                 tables.near("post_analytics", posts), _with_all_columns(posts, "post_analytics"), K.POST_KEY
             ),
         )
-        tables.change("post_analytics", key, lambda: fresh, policy=settings.policy)
-        taken, n = fresh, counts["rows"]
-    else:
-        tables.change(
+        side_by_side(
+            lambda: tables.change("post_analytics", key, lambda: fresh, policy=settings.policy),
+            lambda: _store_summaries(tables, key, batch_id, fresh, settings),
+        )
+        return fresh, counts["rows"]
+    side_by_side(
+        lambda: tables.change(
             "post_analytics", key,
             lambda: merge.fold_posts(posts.drop("date_missing", "source_file"), settings.policy).withColumns(stamps),
-            policy=settings.policy,
-        )
-        tables.change("post_metrics_history", key, lambda: merge.history_rows(posts, settings))
-        taken, n = posts, None
-    _store_summaries(tables, key, batch_id, taken, settings)
-    return taken, n
+            policy=settings.policy, folded=True,
+        ),
+        lambda: tables.change("post_metrics_history", key, lambda: merge.history_rows(posts, settings), folded=True),
+        lambda: _store_summaries(tables, key, batch_id, posts, settings),
+    )
+    return posts, None
 
 
 def _followers(tables: PageTables, settings: Settings) -> DataFrame:
@@ -89,12 +93,16 @@ def _store_summaries(tables: PageTables, key: str, batch_id: str, posts: DataFra
     staged, _ = tables.stage(
         key, "summaries", lambda: rollups.summary_rows(per_file, settings, _followers(tables, settings))
     )
-    tables.change(
-        "company_analytics", key, lambda: merge.last_per_key(staged, K.COMPANY_KEY, "source_file").drop("source_file")
-    )
-    if not settings.manual:
+
+    def company() -> None:
+        rows = merge.last_per_key(staged, K.COMPANY_KEY, "source_file").drop("source_file")
+        tables.change("company_analytics", key, lambda: rows, folded=True)
+
+    def history() -> None:
         tables.change("analytics_history", key, lambda: staged.withColumn("batch_id", F.lit(batch_id)))
 
+    side_by_side(company, *([] if settings.manual else [history]))
+
 
 def store_demographics(tables: PageTables, key: str, records: DataFrame, settings: Settings) -> tuple[DataFrame, int | None]:
     """Changes to the follower rows. ``records`` must be staged and not empty. Returns what was taken."""
@@ -116,7 +124,8 @@ def ingest_files(
     """``binaryFile`` rows into the tables. Repeating a batch repeats nothing.
 
     A batch id that comes back with other files is an error. ``report`` names a folder
-    for the validation report of the posts taken.
+    for the validation report of the posts taken. What a batch writes rests on the chunks of
+    its files and on the tables as published, so posts, demographics and ledger are written side by side.
     """
     named = files.where(is_export_name(file_name(), settings.manual))
     key = f"{operation}/{batch_id}"
@@ -124,36 +133,58 @@ def ingest_files(
     if done is not None:
         return Ingested(done["posts"], done["demographics"], done["files"])
     # Decoding is the costly step and three consumers follow, so its result is written once.
-    chunks, _ = tables.stage(key, "chunks", lambda: decode_chunks(named, settings.manual))
-    route = file_route(F.col("file_name"), settings.manual)
-    taken_posts, counts = tables.stage(
-        key, "posts", lambda: _dated(posts_from_chunks(chunks.where(route == "posts"), settings).drop("path"), chunks, settings)
-    )
-    n_posts = counts["rows"]
-    followers = _followers(tables, settings)
-    taken_records, counts = tables.stage(
-        key, "demographics",
-        lambda: demographics_from_chunks(chunks.where(route == "demographics"), settings, followers),
+    chunks, seen = tables.stage(
+        key, "routed_chunks", lambda: with_route(decode_chunks(named, settings.manual), settings.manual),
+        files=F.count_if((F.col("first_row") == 0) & (F.col("sheet_idx") == 0)),
+        posts=F.count_if(F.col("route") == "posts"), demographics=F.count_if(F.col("route") == "demographics"),
     )
-    n_records = counts["rows"]
-    if n_posts:
-        taken_posts, new = store_posts(tables, key, batch_id, taken_posts, settings)
-        n_posts = n_posts if new is None else new
-    if n_records:
-        taken_records, new = store_demographics(tables, key, taken_records, settings)
-        n_records = n_records if new is None else new
-    if report is not None:
-        maintenance.write_validation_report(taken_posts, report, batch_id)
 
-    def ledger() -> DataFrame:
-        rows = maintenance.ledger_rows(chunks, settings, batch_id)
-        if not settings.manual:
-            return rows
+    def routed(route: str) -> DataFrame:
+        return chunks.where(F.col("route") == route)
+
+    def known(rows: DataFrame, route: str) -> DataFrame:
+        # Where a batch has no such file, Spark is told so: it plans no rows, without a job and without code to compile.
+        return rows if seen[route] else rows.where(F.lit(False))
+
+    def posts() -> tuple[DataFrame, int]:
+        def records() -> DataFrame:
+            dealt = dealt_out(routed("posts"), seen["posts"], seen["files"])
+            return known(_dated(posts_from_chunks(dealt, settings).drop("path"), chunks, settings), "posts")
+
+        staged, counts = tables.stage(key, "posts", records)
+        if not counts["rows"]:
+            return staged, 0
+        taken, new = store_posts(tables, key, batch_id, staged, settings)
+        return taken, counts["rows"] if new is None else new
+
+    def demographics() -> tuple[DataFrame, int]:
+        def records() -> DataFrame:
+            return known(demographics_from_chunks(routed("demographics"), settings, _followers(tables, settings)), "demographics")
+
+        staged, counts = tables.stage(key, "demographics", records)
+        if not counts["rows"]:
+            return staged, 0
+        taken, new = store_demographics(tables, key, staged, settings)
+        return taken, counts["rows"] if new is None else new
+
+    def ledger() -> int:
+        return tables.change("file_ledger", key, lambda: maintenance.ledger_rows(chunks, settings, batch_id))["rows"]
+
+    def older_ledger(taken: list[DataFrame]) -> int:
         # The older scan files away only what gave records, so the rest is tried again.
-        names = [t.select(F.col("source_file").alias("file_name")) for t in (taken_posts, taken_records)]
-        return rows.join(names[0].unionAll(names[1]).distinct(), "file_name", "left_semi")
+        names = [t.select(F.col("source_file").alias("file_name")) for t in taken]
+        fruitful = names[0].unionAll(names[1]).distinct()
+        rows = maintenance.ledger_rows(chunks, settings, batch_id).join(fruitful, "file_name", "left_semi")
+        return tables.change("file_ledger", key, lambda: rows)["rows"]
 
-    result = Ingested(n_posts, n_records, tables.change("file_ledger", key, ledger)["rows"])
+    if settings.manual:
+        (taken_posts, n_posts), (taken_records, n_records) = side_by_side(posts, demographics)
+        n_files = older_ledger([taken_posts, taken_records])
+    else:
+        (taken_posts, n_posts), (n_files, (_, n_records)) = side_by_side(posts, lambda: (ledger(), demographics()))
+    if report is not None:
+        maintenance.write_validation_report(taken_posts, report, batch_id)
+    result = Ingested(n_posts, n_records, n_files)
     tables.finish(key, posts=result.posts, demographics=result.demographics, files=result.files)
     return result
 

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+import weakref
+from collections.abc import Callable
+from functools import wraps
 
+from pyspark import InheritableThread, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -41,6 +45,44 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{run}/{label}-{uuid.uuid4().hex}"
 
 
+def side_by_side(*tasks: Callable[[], object]) -> list:
+    """What the tasks return, in their order. They run at once, so the jobs of one fill the cores that another leaves idle;
+    all have ended before an error of one is raised."""
+    results: list = [None] * len(tasks)
+    errors: list[BaseException] = []
+
+    def run(n: int) -> None:
+        try:
+            results[n] = tasks[n]()
+        except BaseException as problem:  # noqa: BLE001 - raised below, in the thread that asked
+            errors.append(problem)
+
+    others = [InheritableThread(target=run, args=(n,)) for n in range(1, len(tasks))]  # they keep the caller's job group
+    for thread in others:
+        thread.start()
+    run(0)
+    for thread in others:
+        thread.join()
+    if errors:
+        raise errors[0]
+    return results
+
+
+def built_once(build: Callable) -> Callable:
+    """For columns that only their arguments decide: made once per Spark context and then used again by every batch.
+    A set of columns takes thousands of calls into the JVM, which a stream of many batches would repeat."""
+    found: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+    @wraps(build)
+    def get(*args):
+        mine = found.setdefault(SparkContext._active_spark_context, {})
+        if args not in mine:
+            mine[args] = build(*args)
+        return mine[args]
+
+    return get
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession

@@ -107,6 +107,21 @@ def decode_chunks(files: DataFrame, manual: bool = False, chunk_rows: int = CHUN
     return files.select("path", "modificationTime", "content").mapInArrow(decode, CHUNK)
 
 
+def with_route(chunks: DataFrame, manual: bool = False) -> DataFrame:
+    """The route and the number of rows of each chunk as columns of their own. Written so, chunks of another route are passed
+    over by their statistics, and who asks for the number of rows reads no cell."""
+    return chunks.withColumns({"route": file_route(F.col("file_name"), manual), "n_rows": F.size("rows")})
+
+
+def dealt_out(chunks: DataFrame, n_chunks: int, n_files: int) -> DataFrame:
+    """A task reads the chunks of whole files, so few large files keep few cores busy; then their chunks are dealt to all cores."""
+    cores = chunks.sparkSession.sparkContext.defaultParallelism
+    if n_files >= cores or n_chunks <= n_files:
+        return chunks
+    n = min(n_chunks, cores)
+    return chunks.repartitionById(n, F.pmod(F.hash("path", "sheet_idx") + F.floor(F.col("first_row") / CHUNK_ROWS), F.lit(n)).cast("int"))
+
+
 def read_chunks(spark: SparkSession, folder: str, manual: bool = False) -> DataFrame:
     """All export files of a folder as chunks, whatever their size; a task holds one file at a time."""
     files = spark.read.format("binaryFile").load(folder)
